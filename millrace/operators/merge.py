@@ -27,8 +27,10 @@ from millrace.functions.predicates import (
     change_columns,
     changed,
     changed_plain,
+    changed_value,
     expired_before,
     is_active,
+    is_closed,
 )
 from millrace.operators.cleansing import dedupe_by_key
 from millrace.operators.projection import ACTIVE, END, START, UPDATED, add_history_columns
@@ -248,7 +250,7 @@ def _merge_lookup(active: DataFrame, batch: DataFrame, keys, compared, run_ts) -
     still_active = (
         _prefixed(active, _SINK, needed)
         .join(_prefixed(batch, _BATCH, needed), _on(keys), "inner")
-        .filter(~changed(_pairs(compared)))
+        .filter(~changed_value(_pairs(compared)))
         .select(*[_of(_BATCH, k).alias(k) for k in keys])
     )
     new = batch.join(still_active, list(keys), "left_anti").select(*schema.names)
@@ -274,7 +276,7 @@ def scd2_merge(
     are. Comparison is NULL-safe over the table's columns minus ``exclude``.
     """
     active = sink.filter(is_active(ACTIVE))
-    past = sink.filter(~is_active(ACTIVE))
+    past = sink.filter(is_closed(ACTIVE))
     merged = merge_active(active, batch, keys, run_ts, exclude, duplicates, null_keys, strategy)
     if not with_outcome:
         return merged.drop(OUTCOME).unionByName(past)

@@ -13,9 +13,6 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # IsActive/EndDay give a handful of output folders per task: write them
-    # side by side instead of sorting the whole table by partition first.
-    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

@@ -29,6 +29,7 @@ from millrace.sinks import folders
 
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 _LOAD, _DAY = "load_id", "EndDay"
+_OPEN_FILES = "16"
 
 
 @dataclass(frozen=True)
@@ -142,12 +143,19 @@ class HistoryTable:
     # -- writing ---------------------------------------------------------
     def _write(self, rows: DataFrame, version: int) -> None:
         day = F.when(~F.col(ACTIVE), F.coalesce(F.col(END).cast("date").cast("string"), F.lit(_NO_DAY)))
-        # A folder of an attempt that never published may be there: replace it.
-        (
-            rows.withColumn(ACTIVE, F.coalesce(F.col(ACTIVE), F.lit(False))).withColumn(_DAY, day)
-            .write.mode("overwrite").partitionBy(ACTIVE, _DAY)
-            .parquet(f"{self.root}/{_LOAD}={version}")
-        )
+        rows = rows.withColumn(ACTIVE, F.coalesce(F.col(ACTIVE), F.lit(False))).withColumn(_DAY, day)
+        # A few folders per task: written side by side, not sorted by folder first.
+        setting = "spark.sql.maxConcurrentOutputFileWriters"
+        before = self.spark.conf.get(setting, None)
+        self.spark.conf.set(setting, _OPEN_FILES)
+        try:
+            # A folder of an attempt that never published may be there: replace it.
+            rows.write.mode("overwrite").partitionBy(ACTIVE, _DAY).parquet(f"{self.root}/{_LOAD}={version}")
+        finally:
+            if before is None:
+                self.spark.conf.unset(setting)
+            else:
+                self.spark.conf.set(setting, before)
 
     def _advance(self, pointer: dict, version: int, keep_active: bool = False) -> dict:
         base = f"{_LOAD}={version}"

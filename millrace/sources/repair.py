@@ -72,17 +72,36 @@ def _count(delimiter: str) -> Column:
 
 
 def _number_records(segments: DataFrame, fields: int) -> DataFrame:
-    """Adds ``record``: 0 for the header line, then 1, 2, … per file."""
-    per_record = fields - 1
+    """Adds ``record``: 0 for the header line, then 1, 2, … per file.
+
+    ``edge`` marks records that may have pieces in a neighbouring block: the
+    first and the last one of a block.
+    """
+    per_record = F.lit(fields - 1)
     block_totals = segments.groupBy("path", "block").agg(F.sum("delimiters").alias("total"))
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = block_totals.select(
-        "path", "block", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset")
-    )
+    offsets = block_totals.withColumn("offset", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
     before = Window.partitionBy("path", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     counted = segments.withColumn("running", F.coalesce(F.sum("delimiters").over(before), F.lit(0)))
-    return counted.join(offsets, ["path", "block"]).withColumn(
-        "record", F.floor((F.col("offset") + F.col("running")) / F.lit(per_record)).cast("bigint")
+    placed = counted.join(offsets, ["path", "block"])
+
+    def record_at(count: Column) -> Column:
+        return F.floor(count / per_record).cast("bigint")
+
+    record = record_at(F.col("offset") + F.col("running"))
+    first, last = record_at(F.col("offset")), record_at(F.col("offset") + F.col("total"))
+    return placed.withColumns({"record": record, "edge": (record == first) | (record == last)})
+
+
+def _assemble(pieces: DataFrame, *keys: str) -> DataFrame:
+    return pieces.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("place_in_file", "segment"))).alias("pieces"),
+        F.sum("delimiters").alias("delimiters"),
+        F.first("file_name").alias("file_name"),
+        F.first("file_modification_time").alias("file_modification_time"),
+    ).select(
+        "path", "record", "delimiters", "file_name", "file_modification_time",
+        F.array_join(F.transform("pieces", lambda piece: piece["segment"]), "\r").alias("text"),
     )
 
 
@@ -114,17 +133,14 @@ def read_repaired(
         raise ValueError("record ends are found by counting delimiters: at least two columns are needed")
     segments = read_segments(spark, paths, encoding).withColumn("delimiters", _count(delimiter))
     numbered = _number_records(segments, len(header))
-    records = numbered.groupBy("path", "record").agg(
-        F.sort_array(F.collect_list(F.struct("block", "place", "segment"))).alias("pieces"),
-        F.sum("delimiters").alias("delimiters"),
-        F.first("file_name").alias("file_name"),
-        F.first("file_modification_time").alias("file_modification_time"),
-    )
-    text = F.array_join(F.transform("pieces", lambda piece: piece["segment"]), "\r")
-    cut = F.regexp_replace(text, "^\n", "")
-    split = records.select(
+    numbered = numbered.withColumn("place_in_file", F.struct("block", "place"))
+    # Whole records inside a block are put together where the running count
+    # left them; only the few at block edges are shuffled once more.
+    inside = _assemble(numbered.filter(~F.col("edge")), "path", "block", "record")
+    across = _assemble(numbered.filter("edge"), "path", "record")
+    split = inside.unionByName(across).select(
         "path", "record", "delimiters", "file_name", "file_modification_time",
-        F.split(cut, re.escape(delimiter)).alias("fields"),
+        F.split(F.regexp_replace("text", "^\n", ""), re.escape(delimiter)).alias("fields"),
     )
     return _checked(split, header, mode).select(
         *[_field(i).alias(name) for i, name in enumerate(header)], "file_name", "file_modification_time"
