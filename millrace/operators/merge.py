@@ -350,22 +350,25 @@ def scd1_upsert(
     """Update matched rows from the batch, insert the rest.
 
     Columns in ``exclude`` and columns the batch lacks keep the table's value
-    on an update. One full outer join; rows without a key pass by the join.
+    on an update. The table may hold several rows of a key: a left join, unlike
+    a full outer one, lets Spark split a hot key or broadcast a small batch.
+    Rows without a key pass by the joins.
     """
     schema = sink.schema
     keys = _resolve_keys(schema, keys)
     given = {c.lower() for c in batch.columns} - {c.lower() for c in exclude} - {k.lower() for k in keys}
+    taken = [f.name for f in schema.fields if f.name.lower() in given]
     keyed, keyless = prepare_batch(batch, schema, keys, duplicates, null_keys)
     missing = _any_null(keys)
-    joined = _prefixed(sink.filter(~missing), _SINK).join(_prefixed(keyed, _BATCH), _on(keys), "full_outer")
-    projection = []
-    for f in schema.fields:
-        from_batch = F.col(_SINK).isNull()
-        if f.name.lower() in given:
-            from_batch = F.col(_BATCH).isNotNull()
-        value = F.when(from_batch, _of(_BATCH, f.name)).otherwise(_of(_SINK, f.name))
-        projection.append(value.alias(f.name))
-    result = joined.select(*projection).unionByName(sink.filter(missing))
+    present = sink.filter(~missing)
+    looked_up = _prefixed(present, _SINK).join(_prefixed(keyed, _BATCH, [*keys, *taken]), _on(keys), "left")
+    hit = F.col(_BATCH).isNotNull()
+    updated = looked_up.select(*[
+        (F.when(hit, _of(_BATCH, n)).otherwise(_of(_SINK, n)) if n in taken else _of(_SINK, n)).alias(n)
+        for n in schema.names
+    ])
+    new = keyed.join(present.select(*keys).distinct(), keys, "left_anti").select(*schema.names)
+    result = updated.unionByName(new).unionByName(sink.filter(missing))
     return result if keyless is None else result.unionByName(keyless)
 
 

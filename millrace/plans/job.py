@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -15,6 +15,7 @@ from millrace.operators.pipeline import apply_pipeline, find_actions
 from millrace.operators.projection import add_audit_columns, add_history_columns, order_columns
 from millrace.operators.watermark import HwmPolicy, filter_hwm, next_mark_column
 from millrace.session import work_path
+from millrace.sinks import folders
 from millrace.sinks.history_table import HistoryTable, MergeCounts, history_schema
 from millrace.sinks.state import HwmState
 from millrace.sinks.targets import write_target
@@ -44,6 +45,8 @@ class JobConfig:
     null_keys: str = "insert"
     retention_days: int | None = None
     properties_root: str | None = None
+    #: Reads sources that are not files, e.g. ``lambda spark, mark: read_jdbc(…)``.
+    reader: Callable[[SparkSession, str], DataFrame | None] | None = None
 
     def __post_init__(self) -> None:
         if not self.entity:
@@ -106,6 +109,9 @@ class JobResult:
 
 def read_source(spark: SparkSession, config: JobConfig, mark: str, run_ts: str) -> DataFrame | None:
     """New raw data. Only the file-time policy can skip files before reading them."""
+    if config.reader is not None:
+        raw = config.reader(spark, mark)
+        return filter_hwm(raw, config.policy, mark) if config.policy.kind == "audit" else raw
     if config.policy.kind == "file_mtime":
         return incremental_read(spark, config.source, mark, config.path_filter, run_ts=run_ts)
     if config.policy.kind == "audit":
@@ -133,10 +139,14 @@ class Staged:
     """A batch written to the shared folder, with what was counted on the way."""
 
     frame: DataFrame
+    path: str
     rows_read: int
     rows: int
     next_mark: str | None
 
+    def discard(self) -> None:
+        folders.remove(self.frame.sparkSession, self.path)
+
 
 def stage(raw: DataFrame, config: JobConfig, mark: str, run_ts: str, target_columns: Sequence[str]) -> Staged:
     """Cleanse, filter by the mark, order columns, and write the batch once.
@@ -161,6 +171,7 @@ def stage(raw: DataFrame, config: JobConfig, mark: str, run_ts: str, target_colu
     counted = staged_seen.get
     return Staged(
         frame=spark.read.schema(frame.schema).parquet(path),
+        path=path,
         rows_read=read_seen.get["rows"],
         rows=counted["rows"],
         next_mark=counted.get("mark"),
@@ -188,11 +199,13 @@ def run_job(spark: SparkSession, config: JobConfig, run_ts: str | datetime | Non
         result.rows_read, result.rows_staged = staged.rows_read, staged.rows
         if staged.rows:
             batch = run_actions(staged.frame, config)
-            result.counts = apply_batch(batch, table, config, stamp)
+            known = None if config.actions else staged.rows
+            result.counts = apply_batch(batch, table, config, stamp, known)
             next_mark = stamp if config.policy.next == "run_ts" else staged.next_mark
             result.hwm = state.write(
                 config.entity, next_mark, result.counts.affected, config.source_name, stamp
             )
+        staged.discard()
     if config.retention_days:
         try:
             result.purged = table.purge(config.retention_days, stamp)
@@ -210,11 +223,15 @@ def run_actions(df: DataFrame, config: JobConfig) -> DataFrame:
     return df
 
 
-def apply_batch(batch: DataFrame, table: HistoryTable, config: JobConfig, run_ts: str) -> MergeCounts:
+def apply_batch(
+    batch: DataFrame, table: HistoryTable, config: JobConfig, run_ts: str, known_rows: int | None = None
+) -> MergeCounts:
+    """Write a cleansed batch to the target by the job's process."""
     options = {}
     if config.process.lower() in ("scd2", "merge", "upsert"):
         options = {"duplicates": config.duplicates, "null_keys": config.null_keys}
-    return write_target(batch, table, config.process, config.catalogue.natural_key, run_ts, **options)
+    keys = config.catalogue.natural_key
+    return write_target(batch, table, config.process, keys, run_ts, known_rows, **options)
 
 
 def empty_batch(spark: SparkSession, config: JobConfig) -> DataFrame:

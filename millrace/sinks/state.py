@@ -41,11 +41,10 @@ class HwmState:
     def write(self, entity: str, hwm: str | None, rows_affected: int = 0, source: str | None = None, run_ts=None) -> str:
         """Append a mark; an absent mark repeats the stored one. Call after the data is published."""
         mark = hwm if hwm is not None else self.read(entity, source)
-        rows = self.spark.createDataFrame(
-            [(entity, source, str(mark), int(rows_affected or 0))],
-            "entity string, source string, hwm string, rows_affected bigint",
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(entity).alias("entity"), F.lit(source).cast("string").alias("source"), F.lit(str(mark)).alias("hwm"),
+            F.lit(int(rows_affected or 0)).cast("bigint").alias("rows_affected"),
+            time_literal(run_ts).alias("written_at"),
         )
-        rows.withColumn("written_at", time_literal(run_ts)).coalesce(1).write.mode("append").partitionBy(
-            "entity"
-        ).parquet(self.path)
+        row.write.mode("append").partitionBy("entity").parquet(self.path)
         return str(mark)

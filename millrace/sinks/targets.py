@@ -52,14 +52,16 @@ def write_target(
     process: str,
     keys: Sequence[str] = (),
     run_ts=None,
+    known_rows: int | None = None,
     **options,
 ) -> MergeCounts:
     """Apply a change frame to a history table by process name.
 
     overwrite, append (every row a new version), upsert (update in place) or
-    scd2 (new versions for changes).
+    scd2 (new versions for changes). An empty frame leaves the table alone;
+    give ``known_rows`` where it is known, to save looking.
     """
-    if df is None or df.isEmpty():
+    if df is None or known_rows == 0 or (known_rows is None and df.isEmpty()):
         return MergeCounts()
     name = process.strip().lower()
     if name in HISTORY_NAMES:

@@ -10,6 +10,7 @@ from millrace.operators.watermark import FIRST_MARK, LAST_MARK
 # The log's columns and its folder of valid rows.
 LOG_SCHEMA = "FilePath string, NumberOfRows int, FileName string, ProcessedDateTime timestamp"
 CURRENT = "Status=Current"
+_TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def log_path(entity_path: str, entity: str) -> str:
@@ -36,7 +37,8 @@ def type_log(raw: DataFrame) -> DataFrame:
 def append_log(rows: DataFrame, path: str) -> None:
     """Add rows (the four columns, in any order) to the current log."""
     named = rows.select("FilePath", "NumberOfRows", "FileName", F.col("ProcessedDateTime").cast("timestamp"))
-    named.write.mode("append").option("header", True).csv(f"{path.rstrip('/')}/{CURRENT}")
+    writer = named.write.mode("append").option("header", True).option("timestampFormat", _TIME_TEXT)
+    writer.csv(f"{path.rstrip('/')}/{CURRENT}")
 
 
 def files_to_process(

@@ -14,13 +14,14 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.projection import add_history_columns, order_columns
 from millrace.plans.job import JobConfig, apply_batch, cleanse, run_actions, target_table
 from millrace.session import work_path
+from millrace.sinks import folders
 from millrace.sources.delimited import csv_options, read_delimited
 
 
 def open_stream(spark: SparkSession, config: JobConfig, max_files: int | None = None) -> DataFrame:
     """New delimited files of the source as a stream of string rows with lineage columns."""
     path = f"{config.source.path}{config.path_filter or ''}"
-    columns = [c for c in read_delimited(spark, path, config.source.fmt, lineage=False).columns]
+    columns = read_delimited(spark, path, config.source.fmt, lineage=False).columns
     reader = spark.readStream.options(**csv_options(config.source.fmt))
     reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
     if max_files:
@@ -52,6 +53,7 @@ def run_stream(
         frame.write.parquet(path)
         staged = session.read.schema(frame.schema).parquet(path)
         apply_batch(run_actions(staged, config), table, config, stamp)
+        folders.remove(session, path)
 
     writer = open_stream(spark, config, max_files).writeStream.foreachBatch(merge_batch)
     writer = writer.option("checkpointLocation", checkpoint)

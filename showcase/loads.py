@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.catalogue import FileFormat, catalogue_from
@@ -175,11 +177,12 @@ def _zoneless(df: DataFrame) -> DataFrame:
 
 def _config(spark: SparkSession, **overrides) -> JobConfig:
     root = work_path(spark, "load")
-    return JobConfig(**{**dict(
+    config = JobConfig(
         entity="cleansed.sales.Orders", catalogue=catalogue_from(_JOB_DOCUMENT),
         source=RawEntity(f"{root}/raw/orders", "orders", _FORMAT), path_filter="/*",
         target_path=f"{root}/cleansed/orders", state_path=f"{root}/state",
-    ), **overrides})
+    )
+    return replace(config, **overrides)
 
 
 @query("history_job", _LOADED_SQL)
@@ -189,7 +192,7 @@ def history_job(spark: SparkSession, folder: str) -> DataFrame:
     first, second = _drops(spark, folder)
     write_delimited(first, f"{config.source.path}/drop=1", _FORMAT)
     run_job(spark, config, _FIRST_TS)
-    later = JobConfig(**{**config.__dict__, "path_filter": "/drop=2", "state_path": f"{config.state_path}-2"})
+    later = replace(config, path_filter="/drop=2", state_path=f"{config.state_path}-2")
     write_delimited(second, f"{config.source.path}/drop=2", _FORMAT)
     run_job(spark, later, _SECOND_TS)
     return _zoneless(HistoryTable(spark, config.target_path).read())
