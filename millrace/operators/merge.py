@@ -170,11 +170,6 @@ def pick_strategy(batch: DataFrame, strategy: str = "auto") -> str:
     return "lookup" if size is not None and 0 <= size <= limit else "outer"
 
 
-def _row(schema: T.StructType, values: dict[str, Column], outcome: str) -> Column:
-    fields = [values[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
-    return F.struct(*fields, F.lit(outcome).alias(OUTCOME))
-
-
 def _stay_or_expire(schema: T.StructType, is_changed: Column, run_ts) -> list[Column]:
     """The sink row after the merge: closed when changed, else as it was."""
     stamp = time_literal(run_ts)
@@ -225,17 +220,21 @@ def _merge_outer(active: DataFrame, batch: DataFrame, keys, compared, run_ts) ->
     missing = _any_null(keys)
     unique = assert_unique(active.filter(~missing), keys, "the table's active versions (use strategy='lookup')")
     joined = _prefixed(unique, _SINK).join(_prefixed(batch, _BATCH), _on(keys), "full_outer")
-    is_changed = F.col(_SINK).isNotNull() & F.col(_BATCH).isNotNull() & changed(_pairs(compared))
-    kept = _row(schema, {f.name: _of(_SINK, f.name) for f in schema.fields}, KEPT)
-    closed_columns = {f.name: c for f, c in zip(schema.fields, _stay_or_expire(schema, F.lit(True), run_ts))}
-    closed = _row(schema, closed_columns, EXPIRED)
-    new = _row(schema, {f.name: _of(_BATCH, f.name) for f in schema.fields}, INSERTED)
-    rows = (
-        F.when(is_changed, F.array(closed, new))
-        .when(F.col(_SINK).isNotNull(), F.array(kept))
-        .otherwise(F.array(new))
+    in_sink = F.col(_SINK).isNotNull()
+    is_changed = in_sink & F.col(_BATCH).isNotNull() & changed(_pairs(compared))
+    # One joined row gives one row, or two when the version changed. Only the
+    # outcome's name is exploded; columns are picked afterwards.
+    outcomes = (
+        F.when(is_changed, F.array(F.lit(EXPIRED), F.lit(INSERTED)))
+        .when(in_sink, F.array(F.lit(KEPT)))
+        .otherwise(F.array(F.lit(INSERTED)))
     )
-    merged = joined.select(F.inline(rows))
+    told = joined.withColumn(OUTCOME, F.explode(outcomes))
+    expired, inserted = F.col(OUTCOME) == EXPIRED, F.col(OUTCOME) == INSERTED
+    merged = told.select(*[
+        F.when(inserted, _of(_BATCH, n)).otherwise(staying).alias(n)
+        for n, staying in zip(schema.names, _stay_or_expire(schema, expired, run_ts))
+    ], OUTCOME)
     unmatched = active.filter(missing).withColumn(OUTCOME, F.lit(KEPT))
     return merged.unionByName(unmatched)
 

@@ -33,6 +33,15 @@ def dedupe_by_key(spark: SparkSession, folder: str) -> DataFrame:
     return cleansing.dedupe_by_key(table(spark, folder, "events"), "user_id, event_type: ts, event_id")
 
 
+@query("dedupe_hot_key", """
+SELECT * EXCLUDE (place) FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC NULLS LAST, o_orderkey ASC) AS place FROM orders
+) WHERE place = 1""")
+def dedupe_hot_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Three keys, each with a third of all rows: one row per key and task is shuffled."""
+    return cleansing.dedupe_by_key(table(spark, folder, "orders"), "o_orderstatus: o_totalprice, o_orderkey asc")
+
+
 @query("dedupe_dirty_key", """
 SELECT * EXCLUDE (place) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate ASC NULLS LAST,

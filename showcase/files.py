@@ -16,6 +16,7 @@ from millrace.session import work_path
 from millrace.sinks.targets import output_path, write_delimited_target
 from millrace.sources import (
     RawEntity,
+    append_log,
     incremental_read,
     read_delimited,
     read_files,
@@ -111,6 +112,24 @@ def incremental_read_(spark: SparkSession, folder: str) -> DataFrame:
     return new.select(F.col("o_orderkey").cast("bigint"), "o_orderpriority", "MemberType")
 
 
+@query("incremental_read_by_log", """
+SELECT o_orderkey, o_orderstatus FROM orders
+WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '2000-01-01'""")
+def incremental_read_by_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder per year; the log says when each was processed, and two marks choose three of them."""
+    path, fmt = work_path(spark, "logged"), FileFormat(multiline=False)
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    orders.write.partitionBy("year").option("header", True).csv(path)
+    entity = RawEntity(path, "orders", fmt, log=work_path(spark, "orders.meta"))
+    per_year = orders.groupBy("year").agg(F.count(F.lit(1)).cast("int").alias("NumberOfRows"))
+    append_log(per_year.select(
+        F.lit(".").alias("FilePath"), "NumberOfRows", F.format_string("year=%d", "year").alias("FileName"),
+        F.make_timestamp("year", *[F.lit(n) for n in (12, 31, 0, 0, 0)]).alias("ProcessedDateTime"),
+    ), entity.log_folder)
+    found = incremental_read(spark, entity, "1996-12-31 00:00:00", upper="1999-12-31 00:00:00")
+    return found.select(F.col("o_orderkey").cast("bigint"), "o_orderstatus")
+
+
 @query("overwrite_roundtrip", "SELECT p_partkey, p_name, p_size FROM part WHERE p_size > 25")
 def overwrite_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The second write replaces the first."""

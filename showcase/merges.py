@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.functions.predicates import DEFAULT_EXCLUDE
 from millrace.operators import merge
+from millrace.operators.cleansing import dedupe_by_key
 from millrace.operators.projection import add_history_columns
+from millrace.session import work_path
+from millrace.sinks import HistoryTable, write_target
 from showcase.fixtures import (
     BATCH_SQL,
+    CUT,
     HISTORY_SQL,
     NTZ,
     ORDER_KEY,
@@ -82,6 +87,80 @@ def append_all(spark: SparkSession, folder: str) -> DataFrame:
     return merge.append_all(order_history(spark, folder), order_batch(spark, folder), RUN_TS)
 
 
+@query("scd2_null_keys", f"""WITH {HISTORY_SQL}, {BATCH_SQL.replace("SELECT o_orderkey, o_custkey,", "SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS o_orderkey, o_custkey,", 1)},
+hit AS (
+  SELECT s.o_orderkey FROM sink s JOIN batch b ON s.o_orderkey = b.o_orderkey AND s."IsActive"
+  WHERE s.o_totalprice IS DISTINCT FROM b.o_totalprice OR s.o_orderstatus IS DISTINCT FROM b.o_orderstatus
+)
+SELECT s.o_orderkey, s.o_custkey, s.o_orderstatus, s.o_totalprice, s.o_orderpriority, s."InsertedDateTime",
+       CASE WHEN h.o_orderkey IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE s."UpdatedDateTime" END AS "UpdatedDateTime",
+       s."EffectiveStartDate",
+       CASE WHEN h.o_orderkey IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE s."EffectiveEndDate" END AS "EffectiveEndDate",
+       s."IsActive" AND h.o_orderkey IS NULL AS "IsActive"
+FROM sink s LEFT JOIN hit h ON s.o_orderkey = h.o_orderkey AND s."IsActive"
+UNION ALL
+SELECT b.* FROM batch b WHERE NOT EXISTS (
+  SELECT 1 FROM sink s WHERE s.o_orderkey = b.o_orderkey AND s."IsActive"
+    AND s.o_orderkey NOT IN (SELECT o_orderkey FROM hit))""")
+def scd2_null_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the batch has no key: such rows match nothing and are inserted."""
+    open_orders = table(spark, folder, "orders").filter("o_orderstatus = 'P'").select("o_orderkey")
+    batch = order_batch(spark, folder).join(open_orders.withColumn("open", F.lit(True)), "o_orderkey", "left")
+    keyless = batch.withColumn("o_orderkey", F.when(F.col("open").isNull(), F.col("o_orderkey"))).drop("open")
+    return merge.scd2_merge(order_history(spark, folder), keyless, ORDER_KEY, RUN_TS, strategy="outer")
+
+
+_LATEST = ["o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]
+
+
+@query("scd2_latest_per_key", f"""WITH ranked AS (
+  SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority, o_orderdate, o_orderdate < TIMESTAMP '{CUT}' AS early,
+         row_number() OVER (PARTITION BY o_custkey, o_orderdate < TIMESTAMP '{CUT}' ORDER BY o_orderdate DESC, o_orderkey DESC) AS place
+  FROM orders),
+s AS (SELECT * FROM ranked WHERE early AND place = 1), b AS (SELECT * FROM ranked WHERE NOT early AND place = 1),
+hit AS (SELECT s.o_custkey FROM s JOIN b USING (o_custkey)
+        WHERE s.o_orderstatus <> b.o_orderstatus OR s.o_orderpriority <> b.o_orderpriority)
+SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority, o_orderdate, o_orderdate AS "EffectiveStartDate",
+       CASE WHEN o_custkey IN (FROM hit) THEN TIMESTAMP '{RUN_TS}' END AS "EffectiveEndDate",
+       o_custkey NOT IN (FROM hit) AS "IsActive" FROM s
+UNION ALL
+SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority, o_orderdate, TIMESTAMP '{RUN_TS}', CAST(NULL AS TIMESTAMP), TRUE
+FROM b WHERE o_custkey IN (FROM hit) OR o_custkey NOT IN (SELECT o_custkey FROM s)""")
+def scd2_latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch with many rows per customer: the latest order of each counts."""
+    orders = table(spark, folder, "orders").select(*_LATEST)
+    late = F.col("o_orderdate") >= F.lit(CUT).cast(NTZ)
+    known = dedupe_by_key(orders.filter(~late), "o_custkey: o_orderdate, o_orderkey").withColumns({
+        "EffectiveStartDate": F.col("o_orderdate"), "EffectiveEndDate": F.lit(None).cast(NTZ), "IsActive": F.lit(True),
+    })
+    return merge.scd2_merge(
+        known, orders.filter(late), ["o_custkey"], RUN_TS, exclude=[*DEFAULT_EXCLUDE, "o_orderkey", "o_orderdate"],
+        duplicates=["o_orderdate", "o_orderkey"],
+    )
+
+
+@query("history_table_merge", f"{PASSES_SQL} SELECT * FROM pass_one UNION ALL SELECT * FROM pass_two")
+def history_table_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """The merge on a stored table: active versions rewritten, closed ones added."""
+    stored = _stored_history(spark, folder)
+    stored.merge(order_batch(spark, folder), ORDER_KEY, RUN_TS)
+    return stored.read()
+
+
+@query("history_table_append", f"WITH {HISTORY_SQL}, {BATCH_SQL} SELECT * FROM sink UNION ALL SELECT * FROM batch")
+def history_table_append(spark: SparkSession, folder: str) -> DataFrame:
+    stored = _stored_history(spark, folder)
+    write_target(order_batch(spark, folder), stored, "append", ORDER_KEY, RUN_TS)
+    return stored.read()
+
+
+def _stored_history(spark: SparkSession, folder: str) -> HistoryTable:
+    history = order_history(spark, folder)
+    stored = HistoryTable(spark, work_path(spark, "history"), history.schema).create()
+    stored.replace(history)
+    return stored
+
+
 _PURGE_TS = "1999-01-01 12:00:00"
 
 
@@ -91,6 +170,15 @@ def retention_purge(spark: SparkSession, folder: str) -> DataFrame:
     return merge.retention_purge(order_history(spark, folder), 400, _PURGE_TS)
 
 
+@query("history_table_purge", f"""WITH {HISTORY_SQL}
+SELECT * FROM sink WHERE "IsActive" OR NOT ("EffectiveEndDate" < DATE '1999-01-01' - INTERVAL 400 DAY)""")
+def history_table_purge(spark: SparkSession, folder: str) -> DataFrame:
+    """Retention on a stored table: folders of old end days are let go unread."""
+    stored = _stored_history(spark, folder)
+    stored.purge(400, _PURGE_TS)
+    return stored.read()
+
+
 _SUPPLIER_TS, _UPSERT_TS = "2001-01-01 00:00:00", RUN_TS
 
 
