@@ -25,13 +25,15 @@ def _attributes(catalogue: Catalogue | Sequence[Attribute]) -> list[Attribute]:
     return list(catalogue.attributes if isinstance(catalogue, Catalogue) else catalogue)
 
 
-def _to_type(column: Column, attribute: Attribute, lenient: bool) -> Column:
+def _to_type(column: Column, source: T.DataType, attribute: Attribute, lenient: bool) -> Column:
     target = attribute.data_type
-    if attribute.format and isinstance(target, (T.DateType, T.TimestampType)):
-        text, pattern = column.cast("string"), F.lit(attribute.format)
+    # A format says how text is written; dates and times are cast as they are.
+    if attribute.format and isinstance(source, T.StringType):
         if isinstance(target, T.DateType):
-            return F.try_to_date(text, attribute.format) if lenient else F.to_date(text, attribute.format)
-        return F.try_to_timestamp(text, pattern) if lenient else F.to_timestamp(text, attribute.format)
+            return F.try_to_date(column, attribute.format) if lenient else F.to_date(column, attribute.format)
+        if isinstance(target, T.TimestampType):
+            pattern = F.lit(attribute.format)
+            return F.try_to_timestamp(column, pattern) if lenient else F.to_timestamp(column, attribute.format)
     return column.try_cast(target) if lenient else column.cast(target)
 
 
@@ -56,7 +58,7 @@ def _plan(
         target = attribute.data_type
         column = F.col(f"`{found.name}`")
         matches = same_type(found.dataType, target)
-        expression = column if matches else _to_type(column, attribute, on_error == "null")
+        expression = column if matches else _to_type(column, found.dataType, attribute, on_error == "null")
         zone = (attribute.timezone or default_tz) if isinstance(target, T.TimestampType) else None
         # A column that already was a timestamp has been shifted by an earlier
         # run as far as we can tell; shifting it again would move the instant.

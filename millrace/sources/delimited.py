@@ -12,7 +12,7 @@ Paths = str | Sequence[str]
 LINEAGE = ("file_name", "file_modification_time")
 
 
-def _listed(paths: Paths) -> list[str]:
+def listed(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
@@ -50,7 +50,7 @@ def read_delimited(
         reader = reader.option("pathGlobFilter", path_filter).option("recursiveFileLookup", "true")
     if columns:
         reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
-    frame = reader.csv(_listed(paths))
+    frame = reader.csv(listed(paths))
     if not lineage:
         return frame
     return frame.select("*", *[F.col(f"_metadata.{name}") for name in LINEAGE])
@@ -61,7 +61,7 @@ def headers_by_file(spark: SparkSession, paths: Paths) -> DataFrame:
 
     One text scan; per task and file only the first line is shuffled.
     """
-    lines = spark.read.text(_listed(paths)).select(
+    lines = spark.read.text(listed(paths)).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),

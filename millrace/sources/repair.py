@@ -19,9 +19,10 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.sources.delimited import Paths, _listed
+from millrace.sources.blocks import joined_text, read_blocks, with_counts
+from millrace.sources.delimited import Paths, listed
 
 _MODES = ("FAILFAST", "PERMISSIVE", "DROPMALFORMED")
 
@@ -43,15 +44,8 @@ def _decoded(encoding: str) -> Column:
 
 def read_segments(spark: SparkSession, paths: Paths, encoding: str = "UTF-16LE") -> DataFrame:
     """Text between carriage returns with its place: file, block, position."""
-    reader = spark.read.option("lineSep", "\r").option("encoding", encoding)
-    return reader.text(_listed(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-        F.ltrim(_decoded(encoding), F.lit("﻿")).alias("segment"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_modification_time").alias("file_modification_time"),
-    )
+    text = F.ltrim(_decoded(encoding), F.lit("﻿"))
+    return read_blocks(spark, listed(paths), "\r", text, encoding)
 
 
 def read_header(spark: SparkSession, paths: Paths, delimiter: str, encoding: str = "UTF-16LE") -> list[str]:
@@ -78,12 +72,7 @@ def _number_records(segments: DataFrame, fields: int) -> DataFrame:
     first and the last one of a block.
     """
     per_record = F.lit(fields - 1)
-    block_totals = segments.groupBy("path", "block").agg(F.sum("delimiters").alias("total"))
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = block_totals.withColumn("offset", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
-    before = Window.partitionBy("path", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    counted = segments.withColumn("running", F.coalesce(F.sum("delimiters").over(before), F.lit(0)))
-    placed = counted.join(offsets, ["path", "block"])
+    placed = with_counts(segments, "delimiters")
 
     def record_at(count: Column) -> Column:
         return F.floor(count / per_record).cast("bigint")
@@ -95,14 +84,11 @@ def _number_records(segments: DataFrame, fields: int) -> DataFrame:
 
 def _assemble(pieces: DataFrame, *keys: str) -> DataFrame:
     return pieces.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("place_in_file", "segment"))).alias("pieces"),
+        joined_text("\r").alias("text"),
         F.sum("delimiters").alias("delimiters"),
         F.first("file_name").alias("file_name"),
         F.first("file_modification_time").alias("file_modification_time"),
-    ).select(
-        "path", "record", "delimiters", "file_name", "file_modification_time",
-        F.array_join(F.transform("pieces", lambda piece: piece["segment"]), "\r").alias("text"),
-    )
+    ).select("path", "record", "delimiters", "file_name", "file_modification_time", "text")
 
 
 def _field(position: int) -> Column:
@@ -133,7 +119,6 @@ def read_repaired(
         raise ValueError("record ends are found by counting delimiters: at least two columns are needed")
     segments = read_segments(spark, paths, encoding).withColumn("delimiters", _count(delimiter))
     numbered = _number_records(segments, len(header))
-    numbered = numbered.withColumn("place_in_file", F.struct("block", "place"))
     # Whole records inside a block are put together where the running count
     # left them; only the few at block edges are shuffled once more.
     inside = _assemble(numbered.filter(~F.col("edge")), "path", "block", "record")

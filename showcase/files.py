@@ -21,6 +21,7 @@ from millrace.sources import (
     read_delimited,
     read_files,
     read_many,
+    read_multiline,
     read_repaired,
     read_whole_text,
     write_delimited,
@@ -47,6 +48,14 @@ def scan_delimited(spark: SparkSession, folder: str) -> DataFrame:
     return _talk(read_delimited(spark, path, fmt))
 
 
+@query("scan_multiline", _TALK_SQL)
+def scan_multiline(spark: SparkSession, folder: str) -> DataFrame:
+    """The same scan, each file read by many tasks in spite of the line breaks."""
+    path, fmt = work_path(spark, "multiline"), FileFormat(delimiter="||")
+    write_delimited(table(spark, folder, "conversations"), path, fmt)
+    return _talk(read_multiline(spark, path, fmt))
+
+
 @query("scan_by_format", """
 SELECT 'json' AS format, p_partkey, p_name, p_retailprice FROM part
 UNION ALL SELECT 'orc', p_partkey, p_name, p_retailprice FROM part

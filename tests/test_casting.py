@@ -72,6 +72,12 @@ def test_formats(spark):
     assert out.selectExpr("d", "cast(t as string)", "e").first() == (dt.date(2024, 2, 28), "2024-02-28 10:11:12", None)
 
 
+def test_formats_are_for_text_only(spark):
+    df = spark.sql("select timestamp'2024-02-28 10:11:12' t, date'2024-02-28' d")
+    out = cast_attributes(df, [Attribute("t", "date", format="dd/MM/yyyy"), Attribute("d", "datetime", format="dd/MM/yyyy")])
+    assert out.selectExpr("cast(t as string)", "cast(d as string)").first() == ("2024-02-28", "2024-02-28 00:00:00")
+
+
 def test_zone_applies_once_and_never_to_dates(spark):
     df = spark.createDataFrame([("2024-07-01 12:00:00", "2024-07-01")], "t string, d string")
     attributes = [Attribute("t", "datetime", timezone="Europe/London"), Attribute("d", "date", timezone="Europe/London")]
@@ -91,9 +97,9 @@ def test_default_zone_and_precedence(spark):
 
 
 def test_catalogue_case_wins_and_other_columns_stay(spark):
-    df = spark.createDataFrame([("1", "keep")], "tenantref string, other string")
-    out = cast_attributes(df, [Attribute("TenantRef", "string"), Attribute("Absent", "int")])
-    assert out.columns == ["TenantRef", "other"]
+    df = spark.createDataFrame([("1", "keep")], "customerref string, other string")
+    out = cast_attributes(df, [Attribute("CustomerRef", "string"), Attribute("Absent", "int")])
+    assert out.columns == ["CustomerRef", "other"]
 
 
 def test_outcome_counts(spark):
@@ -129,7 +135,7 @@ def test_entity_check(spark):
 
 
 def test_step_with_a_path_and_a_zone(spark, tmp_path):
-    folder = tmp_path / "adls" / "cleansed"
+    folder = tmp_path / "lake" / "cleansed"
     folder.mkdir(parents=True)
     (folder / "Orders.properties").write_text(
         '{"Catalogue": {"Schema": {"Attributes": [{"Name": "t", "Type": "datetime"}]}}}')
@@ -138,7 +144,7 @@ def test_step_with_a_path_and_a_zone(spark, tmp_path):
     (tmp_path / "definition").mkdir()
     out = cast_step(df, str(folder / "Orders.properties") + "|Europe/London", context)
     assert out.selectExpr("cast(t as string)").first()[0] == "2024-07-01 13:00:00"
-    relative = cast_step(df, "adls/cleansed/Orders|Europe/London", context)
+    relative = cast_step(df, "lake/cleansed/Orders|Europe/London", context)
     assert relative.first() == out.first()
 
 

@@ -20,49 +20,49 @@ from tests.conftest import rows
 SINK = {
     "Extended": {"Cleanse": {
         "CleansingTransformations": [
-            {"RenameAttributes": "TNT_REF:TenantReference, USAGE_CD:UsageCode"},
+            {"RenameAttributes": "CUST_REF:CustomerReference, STATUS_CD:Status"},
             {"CastAttributes": "true"},
-            {"CalculateAttribute": ["hashedKey:sha2(concat_ws('||', TenantReference), 256)", "fileName:file_name"]},
+            {"CalculateAttribute": ["hashedKey:sha2(concat_ws('||', CustomerReference), 256)", "fileName:file_name"]},
         ],
-        "SourceEntities": [{"EFQN": "raw.sales.Tenant"}],
+        "SourceEntities": [{"EFQN": "raw.sales.Customer"}],
         "SourceFilePathFilter": "/*.csv",
     }},
-    "System": {"EntityPath": "cleansed/tenant"},
-    "Catalogue": {"Schema": {"NaturalKey": ["TenantReference"], "Attributes": [
-        {"Name": "TenantReference", "Type": "int", "OrdinalPosition": 1},
-        {"Name": "UsageCode", "Type": "nvarchar", "OrdinalPosition": 2},
+    "System": {"EntityPath": "cleansed/customer"},
+    "Catalogue": {"Schema": {"NaturalKey": ["CustomerReference"], "Attributes": [
+        {"Name": "CustomerReference", "Type": "int", "OrdinalPosition": 1},
+        {"Name": "Status", "Type": "nvarchar", "OrdinalPosition": 2},
         {"Name": "fileDate", "Type": "date", "OrdinalPosition": 3},
         {"Name": "fileName", "Type": "string", "OrdinalPosition": 4},
         {"Name": "hashedKey", "Type": "string", "OrdinalPosition": 5},
     ]}},
 }
 SOURCE = {"System": {
-    "EntityPath": "tenant", "EntityName": "Tenant", "AllowedRetention": "30", "IsHousekeepingEnabled": "true",
+    "EntityPath": "customer", "EntityName": "Customer", "AllowedRetention": "30", "IsHousekeepingEnabled": "true",
     "FileFormat": {"Extension": ".csv", "ColumnDelimiter": ",", "Header": "true"},
 }}
 
 
 def config(tmp_path, **changes):
-    (tmp_path / "raw" / "tenant").mkdir(parents=True, exist_ok=True)
+    (tmp_path / "raw" / "customer").mkdir(parents=True, exist_ok=True)
     job = JobConfig.from_documents(
-        "cleansed.sales.Tenant", SINK, SOURCE, f"{tmp_path}/raw", f"{tmp_path}/lake", f"{tmp_path}/state")
+        "cleansed.sales.Customer", SINK, SOURCE, f"{tmp_path}/raw", f"{tmp_path}/lake", f"{tmp_path}/state")
     return replace(job, **changes)
 
 
 def drop(tmp_path, name, *lines):
     time.sleep(0.05)
-    (tmp_path / "raw" / "tenant" / name).write_text("TNT_REF,USAGE_CD,fileDate\n" + "\n".join(lines) + "\n")
+    (tmp_path / "raw" / "customer" / name).write_text("CUST_REF,STATUS_CD,fileDate\n" + "\n".join(lines) + "\n")
 
 
 def stored(spark, job):
     table = HistoryTable(spark, job.target_path)
-    return rows(table.read().select("TenantReference", "UsageCode", "IsActive", F.col("EffectiveEndDate").cast("string")))
+    return rows(table.read().select("CustomerReference", "Status", "IsActive", F.col("EffectiveEndDate").cast("string")))
 
 
 def test_documents_make_a_config(tmp_path):
     job = config(tmp_path)
-    assert job.source_name == "raw.sales.Tenant" and job.path_filter == "/*.csv" and job.retention_days == 30
-    assert job.source.path == f"{tmp_path}/raw/tenant" and job.target_path == f"{tmp_path}/lake/cleansed/tenant"
+    assert job.source_name == "raw.sales.Customer" and job.path_filter == "/*.csv" and job.retention_days == 30
+    assert job.source.path == f"{tmp_path}/raw/customer" and job.target_path == f"{tmp_path}/lake/cleansed/customer"
     with pytest.raises(ValueError, match="NaturalKey"):
         config(tmp_path, catalogue=catalogue_from({"Catalogue": {"Schema": {"Attributes": []}}}))
     with pytest.raises(ValueError, match="entity name"):
@@ -100,7 +100,7 @@ def test_loads_by_date_with_max_as_next_mark(spark, tmp_path):
 
 def test_mark_column_outside_the_catalogue(spark, tmp_path):
     attributes = [a for a in SINK["Catalogue"]["Schema"]["Attributes"] if a["Name"] != "fileDate"]
-    document = {**SINK, "Catalogue": {"Schema": {"NaturalKey": ["TenantReference"], "Attributes": attributes}}}
+    document = {**SINK, "Catalogue": {"Schema": {"NaturalKey": ["CustomerReference"], "Attributes": attributes}}}
     job = config(tmp_path, policy=HwmPolicy("date", "fileDate", next="max"), catalogue=catalogue_from(document))
     drop(tmp_path, "one.csv", "1,A,2024-01-01")
     assert run_job(spark, job, "2024-02-01 00:00:00").hwm == "2024-01-01"
@@ -110,7 +110,7 @@ def test_retention_after_a_load(spark, tmp_path):
     job = config(tmp_path)
     drop(tmp_path, "one.csv", "1,A,2024-01-01")
     run_job(spark, job, "2024-01-01 00:00:00")
-    (tmp_path / "raw" / "tenant" / "one.csv").unlink()
+    (tmp_path / "raw" / "customer" / "one.csv").unlink()
     drop(tmp_path, "two.csv", "1,B,2024-01-02")
     result = run_job(spark, job, "2024-01-02 00:00:00")
     assert result.purged == [] and len(stored(spark, job)) == 2
@@ -119,7 +119,7 @@ def test_retention_after_a_load(spark, tmp_path):
 
 
 def test_actions_run_between_staging_and_merge(spark, tmp_path):
-    register_action("drop_a", lambda df, job: df.filter("UsageCode <> 'A'"))
+    register_action("drop_a", lambda df, job: df.filter("Status <> 'A'"))
     job = config(tmp_path, actions=("drop_a",))
     drop(tmp_path, "one.csv", "1,A,2024-01-01", "2,B,2024-01-01")
     assert run_job(spark, job).counts.inserted == 1
@@ -134,13 +134,13 @@ def test_a_failed_load_keeps_the_mark(spark, tmp_path):
     with pytest.raises(Exception, match="duplicate key"):
         run_job(spark, job)
     assert HwmState(spark, job.state_path).read(job.entity, job.source_name) == FIRST_MARK
-    ordered = config(tmp_path, duplicates="UsageCode")
+    ordered = config(tmp_path, duplicates="Status")
     assert run_job(spark, ordered).counts.inserted == 1
     assert stored(spark, job) == [(1, "B", True, None)]
 
 
 def test_table_sources_by_audit_columns(spark, tmp_path):
-    schema = "TNT_REF string, USAGE_CD string, fileDate string, InsertedDateTime timestamp, UpdatedDateTime timestamp, file_name string"
+    schema = "CUST_REF string, STATUS_CD string, fileDate string, InsertedDateTime timestamp, UpdatedDateTime timestamp, file_name string"
     path = f"{tmp_path}/raw/table"
     job = config(tmp_path, policy=HwmPolicy("audit", next="max"),
                  source=RawEntity(path, "table", FileFormat(extension=".parquet")))
@@ -154,7 +154,7 @@ def test_table_sources_by_audit_columns(spark, tmp_path):
 
 
 def test_own_reader(spark, tmp_path):
-    data = spark.sql("select '1' TNT_REF, 'A' USAGE_CD, '2024-01-01' fileDate, 'f' file_name")
+    data = spark.sql("select '1' CUST_REF, 'A' STATUS_CD, '2024-01-01' fileDate, 'f' file_name")
     job = config(tmp_path, reader=lambda session, mark: data if mark == FIRST_MARK else None)
     assert run_job(spark, job).counts.inserted == 1
     assert run_job(spark, job).rows_read == 0

@@ -22,6 +22,7 @@ from millrace.sources import (
     read_jdbc,
     read_log,
     read_many,
+    read_multiline,
     read_repaired,
     read_whole_text,
     type_log,
@@ -77,6 +78,37 @@ def test_many_files_by_position_and_by_name(spark, tmp_path):
         read_many(spark, [])
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_multiline_across_blocks_equals_the_plain_reader(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    pieces = ["a", "b,", '"', "\n", "\r\n", "", " ", "\\", "é", "||", "#", "\n\n", "long text " * 3]
+    data = [
+        (i, *["".join(rng.choice(pieces) for _ in range(rng.randint(0, 5))) or None for _ in range(3)])
+        for i in range(80)
+    ]
+    df = spark.createDataFrame(data, "id int, a string, b string, c string")
+    escape = "\\" if seed else '"'
+    fmt = FileFormat(delimiter="||" if seed == 2 else ",", escape=escape)
+    df.repartition(3).write.option("header", True).option("sep", fmt.delimiter).option("escape", escape).csv(f"{tmp_path}/in")
+    want = rows(read_delimited(spark, f"{tmp_path}/in", fmt).drop("file_modification_time"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "90")
+    try:
+        got = rows(read_multiline(spark, f"{tmp_path}/in", fmt).drop("file_modification_time"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(want) == 80 and got == want
+
+
+def test_multiline_without_header_and_with_crlf(spark, tmp_path):
+    path = write(tmp_path / "a.csv", '1,"x\r\ny"\r\n\r\n2,z\r\n')
+    df = read_multiline(spark, path, FileFormat(header=False), columns=["id", "t"], lineage=False)
+    assert rows(df) == [("1", "x\r\ny"), ("2", "z")]
+    bad = write(tmp_path / "b.csv", "id,t\n1,x\n2\n")
+    with pytest.raises(Exception):
+        read_multiline(spark, bad).collect()
+
+
 # -- other sources ---------------------------------------------------------
 def test_formats(spark, tmp_path):
     spark.range(3).write.json(f"{tmp_path}/j")
