@@ -164,6 +164,7 @@ class FileFormat:
     multiline: bool = True
     unescaped_quotes: str = "STOP_AT_DELIMITER"
     nul_interleaved: bool = False
+    split_multiline: bool = False
 
     @property
     def read_format(self) -> str:
@@ -184,6 +185,7 @@ class FileFormat:
             multiline=as_flag(lookup(section, "MultiLine"), base.multiline),
             unescaped_quotes=lookup(section, "UnescapedQuoteHandling", base.unescaped_quotes),
             nul_interleaved=as_flag(lookup(section, "StripEvenCharactersFromRawFile"), False),
+            split_multiline=as_flag(lookup(section, "SplitMultiLine"), False),
         )
 
 

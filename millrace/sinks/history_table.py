@@ -3,15 +3,16 @@
 Plain Parquet has no MERGE and no DELETE, so every load writes a new folder and
 then publishes it by creating the next pointer file:
 
-``load_id=<n>/IsActive=true/…``            all active versions after load n
-``load_id=<n>/IsActive=false/EndDay=<d>/…``  versions closed by load n
-``_pointer/<n>.json``                      what readers see
+``load_id=<n>/IsActive=true/…``                 all active versions after load n
+``load_id=<n>/IsActive=false/EndMonth=<m>/…``   versions closed by load n
+``_pointer/<n>.json``                           what readers see
 
 A load rewrites the active versions only; closed versions are written once and
 never again. Readers use the newest pointer, so a failed load leaves nothing
-visible, and two loads cannot publish the same number. Retention drops whole
-``EndDay`` folders from the pointer without reading a row. Where a table format
-with row-level operations is installed, use ``merge_into`` instead.
+visible, and two loads cannot publish the same number. Retention is a change of
+the pointer: months before the cutoff are let go unread, and the month it falls
+into is filtered by day. Where a table format with row-level operations is
+installed, use ``merge_into`` instead.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from millrace.operators.merge import EXPIRED, INSERTED, KEPT, OUTCOME, merge_act
 from millrace.operators.projection import ACTIVE, END, HISTORY_COLUMNS, INSERTED as INSERTED_TS, START, UPDATED
 from millrace.sinks import folders
 
-_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
-_LOAD, _DAY = "load_id", "EndDay"
+_NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+_LOAD, _MONTH = "load_id", "EndMonth"
 _OPEN_FILES = "16"
 
 
@@ -114,43 +115,52 @@ class HistoryTable:
         stored = T.StructType(
             [f for f in schema.fields if f.name != ACTIVE]
             + [T.StructField(_LOAD, T.LongType()), T.StructField(ACTIVE, T.BooleanType()),
-               T.StructField(_DAY, T.StringType())]
+               T.StructField(_MONTH, T.StringType())]
         )
         frame = self.spark.read.schema(stored).option("basePath", self.root).parquet(*paths)
         return frame.select(*schema.names)
 
-    def _active_paths(self, pointer: dict) -> list[str]:
-        return [f"{self.root}/{folder}" for folder in pointer["active"]]
+    def _load_active(self, pointer: dict) -> DataFrame:
+        return self._load(pointer, [f"{self.root}/{folder}" for folder in pointer["active"]])
 
-    def _closed_paths(self, pointer: dict) -> list[str]:
-        return [f"{self.root}/{folder}/{_DAY}={day}" for folder, days in pointer["closed"].items() for day in days]
+    def _load_closed(self, pointer: dict) -> DataFrame:
+        by_start: dict[str, list[str]] = {}
+        for folder, entry in pointer["closed"].items():
+            paths = [f"{self.root}/{folder}/{_MONTH}={month}" for month in entry["months"]]
+            by_start.setdefault(entry["from"] or "", []).extend(paths)
+        result = self._load(pointer, by_start.pop("", []))
+        for start, paths in by_start.items():
+            kept = F.col(END).isNull() | (F.col(END) >= F.lit(start).cast("date"))
+            result = result.unionByName(self._load(pointer, paths).filter(kept))
+        return result
 
     def read(self) -> DataFrame:
         """All versions."""
         pointer = self._require()
-        return self._load(pointer, self._active_paths(pointer) + self._closed_paths(pointer))
+        return self._load_active(pointer).unionByName(self._load_closed(pointer))
 
     def active(self) -> DataFrame:
         """Active versions only; closed folders are not listed, let alone read."""
-        pointer = self._require()
-        return self._load(pointer, self._active_paths(pointer))
+        return self._load_active(self._require())
 
     def closed(self) -> DataFrame:
         """Closed versions only."""
-        pointer = self._require()
-        return self._load(pointer, self._closed_paths(pointer))
+        return self._load_closed(self._require())
 
     # -- writing ---------------------------------------------------------
-    def _write(self, rows: DataFrame, version: int) -> None:
-        day = F.when(~F.col(ACTIVE), F.coalesce(F.col(END).cast("date").cast("string"), F.lit(_NO_DAY)))
-        rows = rows.withColumn(ACTIVE, F.coalesce(F.col(ACTIVE), F.lit(False))).withColumn(_DAY, day)
+    def _write(self, rows: DataFrame, version: int, many_months: bool = False) -> None:
+        rows = rows.withColumn(ACTIVE, F.coalesce(F.col(ACTIVE), F.lit(False)))
+        rows = rows.withColumn(_MONTH, F.when(~F.col(ACTIVE), F.date_format(END, "yyyy-MM")))
+        if many_months:
+            # Few files per month, large months split: adaptive execution sees to both.
+            rows = rows.hint("rebalance", ACTIVE, _MONTH)
         # A few folders per task: written side by side, not sorted by folder first.
         setting = "spark.sql.maxConcurrentOutputFileWriters"
         before = self.spark.conf.get(setting, None)
         self.spark.conf.set(setting, _OPEN_FILES)
         try:
             # A folder of an attempt that never published may be there: replace it.
-            rows.write.mode("overwrite").partitionBy(ACTIVE, _DAY).parquet(f"{self.root}/{_LOAD}={version}")
+            rows.write.mode("overwrite").partitionBy(ACTIVE, _MONTH).parquet(f"{self.root}/{_LOAD}={version}")
         finally:
             if before is None:
                 self.spark.conf.unset(setting)
@@ -164,7 +174,8 @@ class HistoryTable:
         closed_folder = f"{base}/{ACTIVE}=false"
         if f"{ACTIVE}=false" in written:
             names = folders.children(self.spark, f"{self.root}/{closed_folder}")
-            closed[closed_folder] = [n.split("=", 1)[1] for n in names if n.startswith(f"{_DAY}=")]
+            months = [n.split("=", 1)[1] for n in names if n.startswith(f"{_MONTH}=")]
+            closed[closed_folder] = {"months": months, "from": None}
         active = list(pointer["active"]) if keep_active else []
         if f"{ACTIVE}=true" in written:
             active.append(f"{base}/{ACTIVE}=true")
@@ -173,7 +184,8 @@ class HistoryTable:
     def _store(self, rows: DataFrame, keep_active: bool, keep_closed: bool) -> None:
         pointer = self._require()
         version = pointer["version"] + 1
-        self._write(rows.select(*T.StructType.fromJson(pointer["schema"]).names), version)
+        named = rows.select(*T.StructType.fromJson(pointer["schema"]).names)
+        self._write(named, version, many_months=not keep_closed)
         if not keep_closed:
             pointer = {**pointer, "closed": {}}
         self._publish(self._advance(pointer, version, keep_active))
@@ -194,7 +206,7 @@ class HistoryTable:
         """Merge a batch of current rows; one write job also yields the counts."""
         pointer = self._require()
         version = pointer["version"] + 1
-        active = self._load(pointer, self._active_paths(pointer))
+        active = self._load_active(pointer)
         merged = merge_active(active, batch, keys, run_ts, **options)
         seen = Observation(f"merge-{version}")
         merged = merged.observe(seen, *[
@@ -208,21 +220,23 @@ class HistoryTable:
     def purge(self, days: int, run_ts=None) -> list[str]:
         """Forget closed versions that ended more than ``days`` days before the run's date.
 
-        A metadata change: ``EndDay`` folders before the cutoff leave the
-        pointer. :meth:`vacuum` deletes their files later.
+        Returns the folders let go or cut short. :meth:`vacuum` deletes files later.
         """
-        today = _as_date(run_ts)
-        cutoff = (today - timedelta(days=int(days))).isoformat()
+        cutoff = (_as_date(run_ts) - timedelta(days=int(days))).isoformat()
         pointer = self._require()
-        kept, dropped = {}, []
-        for folder, ends in pointer["closed"].items():
-            stay = [d for d in ends if d == _NO_DAY or d >= cutoff]
-            dropped += [f"{folder}/{_DAY}={d}" for d in ends if d not in stay]
-            if stay:
-                kept[folder] = stay
-        if dropped:
+        kept, changed = {}, []
+        for folder, entry in pointer["closed"].items():
+            months = [m for m in entry["months"] if m == _NO_MONTH or m >= cutoff[:7]]
+            changed += [f"{folder}/{_MONTH}={m}" for m in entry["months"] if m not in months]
+            start = entry["from"]
+            if cutoff[:7] in months and not cutoff.endswith("-01") and (start or "") < cutoff:
+                start = cutoff
+                changed.append(f"{folder}/{_MONTH}={cutoff[:7]}")
+            if months:
+                kept[folder] = {"months": months, "from": start}
+        if changed:
             self._publish({**pointer, "version": pointer["version"] + 1, "closed": kept})
-        return dropped
+        return changed
 
     def vacuum(self, keep_versions: int = 1) -> list[str]:
         """Delete folders the newest ``keep_versions`` pointers do not refer to."""
@@ -231,7 +245,7 @@ class HistoryTable:
         for name in names[-max(keep_versions, 1):]:
             pointer = json.loads(folders.read_text(self.spark, f"{self._pointers}/{name}"))
             alive.update(pointer["active"])
-            alive.update(f"{f}/{_DAY}={d}" for f, ends in pointer["closed"].items() for d in ends)
+            alive.update(f"{f}/{_MONTH}={m}" for f, entry in pointer["closed"].items() for m in entry["months"])
         newest = int(names[-1].split(".")[0]) if names else 0
         removed = []
         for load in folders.children(self.spark, self.root):
@@ -241,8 +255,8 @@ class HistoryTable:
                 if part == f"{ACTIVE}=true":
                     candidates = [f"{load}/{part}"]
                 elif part == f"{ACTIVE}=false":
-                    ends = folders.children(self.spark, f"{self.root}/{load}/{part}")
-                    candidates = [f"{load}/{part}/{d}" for d in ends if d.startswith(f"{_DAY}=")]
+                    months = folders.children(self.spark, f"{self.root}/{load}/{part}")
+                    candidates = [f"{load}/{part}/{m}" for m in months if m.startswith(f"{_MONTH}=")]
                 else:
                     continue
                 removed += [c for c in candidates if c not in alive]

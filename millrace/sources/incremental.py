@@ -13,9 +13,12 @@ from millrace.operators.projection import add_extra_columns
 from millrace.operators.watermark import OLDEST_FILE_MARK
 from millrace.sources.delimited import read_delimited, read_many
 from millrace.sources.files import read_files
+from millrace.sources.multiline import read_multiline
 from millrace.sources.processing_log import file_list, files_to_process, log_path, read_log
 from millrace.sources.repair import read_repaired
 
+_DELIMITED = ("csv", "txt", "dat", "tsv")
+
 
 @dataclass(frozen=True)
 class RawEntity:
@@ -40,7 +43,9 @@ def read_entity_files(spark: SparkSession, entity: RawEntity, paths: str | Seque
     """Files of an entity by its format, repaired where the format says so, with lineage columns."""
     if entity.fmt.nul_interleaved:
         return read_repaired(spark, paths, entity.fmt.delimiter)
-    if entity.fmt.read_format in ("csv", "txt", "dat", "tsv"):
+    if entity.fmt.read_format in _DELIMITED:
+        if entity.fmt.multiline and entity.fmt.split_multiline:
+            return read_multiline(spark, paths, entity.fmt)
         return read_delimited(spark, paths, entity.fmt)
     return read_files(spark, paths, entity.fmt, lineage=True)
 
@@ -67,8 +72,8 @@ def incremental_read(
         files = file_list(files_to_process(read_log(spark, entity.log_folder), entity.path, hwm, upper))
         if not files:
             return None
-        if entity.fmt.nul_interleaved or entity.fmt.read_format not in ("csv", "txt", "dat", "tsv"):
-            frame = read_entity_files(spark, entity, files)
+        if by_name and entity.fmt.read_format in _DELIMITED and not entity.fmt.nul_interleaved:
+            frame = read_many(spark, files, entity.fmt, by_name=True)
         else:
-            frame = read_many(spark, files, entity.fmt, by_name=by_name)
+            frame = read_entity_files(spark, entity, files)
     return add_extra_columns(frame, extra_columns, run_ts)

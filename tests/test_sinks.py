@@ -49,26 +49,38 @@ def test_empty_table_then_empty_batch(spark, tmp_path):
     assert table.merge(frame(spark, [(1, "a", "p", "h", NEW, NEW)], BATCH), KEYS, TS) == MergeCounts(unchanged=1)
 
 
+def load_values(spark, table, times):
+    for value, ts in zip("pqrstu", times):
+        table.merge(frame(spark, [(1, "a", value, "h", NEW, NEW)], BATCH), KEYS, ts)
+
+
 def test_closed_folders_are_written_once(spark, tmp_path):
     table = table_at(spark, tmp_path)
-    for number, value in enumerate("pqr", start=1):
-        table.merge(frame(spark, [(1, "a", value, "h", NEW, NEW)], BATCH), KEYS, f"2024-06-0{number} 00:00:00")
-    assert sorted(p.name for p in tmp_path.glob("load_id=*/IsActive=false/EndDay=*")) == ["EndDay=2024-06-02", "EndDay=2024-06-03"]
+    load_values(spark, table, ["2024-06-01 00:00:00", "2024-06-02 00:00:00", "2024-07-03 00:00:00"])
+    folders = sorted(str(p.relative_to(tmp_path)) for p in tmp_path.glob("load_id=*/IsActive=false/EndMonth=*"))
+    assert folders == ["load_id=2/IsActive=false/EndMonth=2024-06", "load_id=3/IsActive=false/EndMonth=2024-07"]
     ends = table.closed().selectExpr("v", "cast(EffectiveEndDate as string)")
-    assert rows(ends) == [("p", "2024-06-02 00:00:00"), ("q", "2024-06-03 00:00:00")]
+    assert rows(ends) == [("p", "2024-06-02 00:00:00"), ("q", "2024-07-03 00:00:00")]
 
 
-def test_purge_equals_the_plan_and_vacuum_keeps_what_is_read(spark, tmp_path):
+@pytest.mark.parametrize("run_ts", [
+    "2024-06-02 00:00:00", "2024-06-04 00:00:00", "2024-07-01 00:00:00", "2024-07-02 00:00:00", "2024-07-05 00:00:00",
+    "2024-08-01 00:00:00"])
+def test_purge_equals_the_plan_and_vacuum_keeps_what_is_read(spark, tmp_path, run_ts):
     table = table_at(spark, tmp_path)
-    for number, value in enumerate("pqrs", start=1):
-        table.merge(frame(spark, [(1, "a", value, "h", NEW, NEW)], BATCH), KEYS, f"2024-06-0{number} 12:00:00")
-    want = as_text(merge.retention_purge(table.read(), 1, "2024-06-04 00:00:00"))
-    dropped = table.purge(1, "2024-06-04 00:00:00")
-    assert len(dropped) == 1 and as_text(table.read()) == want
-    assert table.purge(1, "2024-06-04 00:00:00") == []
-    removed = table.vacuum()
-    assert dropped[0] in removed and len(removed) == 4
+    load_values(spark, table, [
+        "2024-06-01 12:00:00", "2024-06-02 00:00:00", "2024-06-03 12:00:00", "2024-07-01 00:00:00", "2024-07-04 01:00:00"])
+    want = as_text(merge.retention_purge(table.read(), 1, run_ts))
+    table.purge(1, run_ts)
+    assert as_text(table.read()) == want
+    assert table.purge(1, run_ts) == []
+    # Versions added later are not cut by an earlier purge.
+    old = frame(spark, [(9, "z", "p", "h", NEW, NEW, NEW, "2024-06-01 00:00:00", False)], SCHEMA)
+    table.append(old)
+    want = sorted([*want, *as_text(old)], key=repr)
     assert as_text(table.read()) == want
+    assert any("IsActive=true" in path for path in table.vacuum())
+    assert as_text(table.read()) == want and table.vacuum() == []
 
 
 def test_failed_load_is_invisible_and_repeatable(spark, tmp_path):

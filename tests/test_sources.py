@@ -284,6 +284,13 @@ def test_repair_refuses_carriage_return_bytes_across_characters(spark, tmp_path)
         read_repaired(spark, f"{tmp_path}/a.dat", columns=["a", "b"]).collect()
 
 
+def test_entity_format_chooses_the_split_reader(spark, tmp_path):
+    write(tmp_path / "T" / "a.csv", 'id,t\n1,"x\ny"\n')
+    fmt = FileFormat.from_document({"System": {"FileFormat": {"SplitMultiLine": "true"}}})
+    found = incremental_read(spark, RawEntity(f"{tmp_path}/T", "T", fmt), path_filter="/*.csv")
+    assert rows(found.select("id", "t", "file_name")) == [("1", "x\ny", "a.csv")]
+
+
 def test_entity_format_chooses_the_repair(spark, tmp_path):
     write(tmp_path / "T" / "a.dat", 'a|*b\r\n"1"|*"x"\r\n', "utf-16le")
     entity = RawEntity(f"{tmp_path}/T", "T", FileFormat(extension=".dat", delimiter="|*", nul_interleaved=True))
