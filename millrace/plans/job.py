@@ -131,7 +131,14 @@ def cleanse(df: DataFrame, config: JobConfig, run_ts: str) -> DataFrame:
 
 
 def target_table(spark: SparkSession, config: JobConfig) -> HistoryTable:
-    return HistoryTable(spark, config.target_path, history_schema(config.catalogue.schema)).create()
+    """The target, created when absent; raises when it lacks catalogue columns, which would be lost."""
+    wanted = history_schema(config.catalogue.schema)
+    table = HistoryTable(spark, config.target_path, wanted).create()
+    stored = {name.lower() for name in table.schema.names}
+    absent = [name for name in wanted.names if name.lower() not in stored]
+    if absent:
+        raise ValueError(f"the table at {config.target_path} lacks the catalogue columns {absent}")
+    return table
 
 
 @dataclass

@@ -3,9 +3,9 @@
 Plain Parquet has no MERGE and no DELETE, so every load writes a new folder and
 then publishes it by creating the next pointer file:
 
-``load_id=<n>/IsActive=true/…``                 all active versions after load n
-``load_id=<n>/IsActive=false/EndMonth=<m>/…``   versions closed by load n
-``_pointer/<n>.json``                           what readers see
+``load_id=<n>-<x>/IsActive=true/…``                 all active versions after load n
+``load_id=<n>-<x>/IsActive=false/EndMonth=<m>/…``   versions closed by load n
+``_pointer/<n>.json``                               what readers see
 
 A load rewrites the active versions only; closed versions are written once and
 never again. Readers use the newest pointer, so a failed load leaves nothing
@@ -18,6 +18,7 @@ installed, use ``merge_into`` instead.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
@@ -69,9 +70,14 @@ class HistoryTable:
 
     def _pointer(self) -> dict | None:
         names = [n for n in folders.children(self.spark, self._pointers) if n.endswith(".json")]
-        if not names:
-            return None
-        return json.loads(folders.read_text(self.spark, f"{self._pointers}/{names[-1]}"))
+        for name in reversed(names):
+            try:
+                pointer = json.loads(folders.read_text(self.spark, f"{self._pointers}/{name}"))
+            except json.JSONDecodeError:
+                continue  # a writer stopped while creating it: the one before counts
+            # The number stays taken either way.
+            return {**pointer, "version": int(names[-1].split(".")[0])}
+        return None
 
     def _publish(self, pointer: dict) -> None:
         name = f"{self._pointers}/{pointer['version']:012d}.json"
@@ -114,7 +120,7 @@ class HistoryTable:
             return self.spark.createDataFrame([], schema)
         stored = T.StructType(
             [f for f in schema.fields if f.name != ACTIVE]
-            + [T.StructField(_LOAD, T.LongType()), T.StructField(ACTIVE, T.BooleanType()),
+            + [T.StructField(_LOAD, T.StringType()), T.StructField(ACTIVE, T.BooleanType()),
                T.StructField(_MONTH, T.StringType())]
         )
         frame = self.spark.read.schema(stored).option("basePath", self.root).parquet(*paths)
@@ -148,7 +154,8 @@ class HistoryTable:
         return self._load_closed(self._require())
 
     # -- writing ---------------------------------------------------------
-    def _write(self, rows: DataFrame, version: int, many_months: bool = False) -> None:
+    def _write(self, rows: DataFrame, version: int, many_months: bool = False) -> str:
+        """Write a load's rows to a folder of its own, whoever else is writing; returns its name."""
         rows = rows.withColumn(ACTIVE, F.coalesce(F.col(ACTIVE), F.lit(False)))
         rows = rows.withColumn(_MONTH, F.when(~F.col(ACTIVE), F.date_format(END, "yyyy-MM")))
         if many_months:
@@ -158,17 +165,17 @@ class HistoryTable:
         setting = "spark.sql.maxConcurrentOutputFileWriters"
         before = self.spark.conf.get(setting, None)
         self.spark.conf.set(setting, _OPEN_FILES)
+        base = f"{_LOAD}={version}-{uuid.uuid4().hex[:8]}"
         try:
-            # A folder of an attempt that never published may be there: replace it.
-            rows.write.mode("overwrite").partitionBy(ACTIVE, _MONTH).parquet(f"{self.root}/{_LOAD}={version}")
+            rows.write.partitionBy(ACTIVE, _MONTH).parquet(f"{self.root}/{base}")
         finally:
             if before is None:
                 self.spark.conf.unset(setting)
             else:
                 self.spark.conf.set(setting, before)
+        return base
 
-    def _advance(self, pointer: dict, version: int, keep_active: bool = False) -> dict:
-        base = f"{_LOAD}={version}"
+    def _advance(self, pointer: dict, version: int, base: str, keep_active: bool = False) -> dict:
         written = folders.children(self.spark, f"{self.root}/{base}")
         closed = dict(pointer["closed"])
         closed_folder = f"{base}/{ACTIVE}=false"
@@ -185,10 +192,10 @@ class HistoryTable:
         pointer = self._require()
         version = pointer["version"] + 1
         named = rows.select(*T.StructType.fromJson(pointer["schema"]).names)
-        self._write(named, version, many_months=not keep_closed)
+        base = self._write(named, version, many_months=not keep_closed)
         if not keep_closed:
             pointer = {**pointer, "closed": {}}
-        self._publish(self._advance(pointer, version, keep_active))
+        self._publish(self._advance(pointer, version, base, keep_active))
 
     def replace(self, rows: DataFrame) -> None:
         """All versions anew, e.g. a first load from an existing table."""
@@ -212,9 +219,9 @@ class HistoryTable:
         merged = merged.observe(seen, *[
             F.count(F.when(F.col(OUTCOME) == name, True)).alias(name) for name in (EXPIRED, INSERTED, KEPT)
         ])
-        self._write(merged.drop(OUTCOME), version)
+        base = self._write(merged.drop(OUTCOME), version)
         counts = seen.get
-        self._publish(self._advance(pointer, version))
+        self._publish(self._advance(pointer, version, base))
         return MergeCounts(counts[EXPIRED], counts[INSERTED], counts[KEPT])
 
     def purge(self, days: int, run_ts=None) -> list[str]:
@@ -242,14 +249,22 @@ class HistoryTable:
         """Delete folders the newest ``keep_versions`` pointers do not refer to."""
         names = [n for n in folders.children(self.spark, self._pointers) if n.endswith(".json")]
         alive: set[str] = set()
-        for name in names[-max(keep_versions, 1):]:
-            pointer = json.loads(folders.read_text(self.spark, f"{self._pointers}/{name}"))
+        kept = 0
+        for name in reversed(names):
+            if kept >= max(keep_versions, 1):
+                break
+            try:
+                pointer = json.loads(folders.read_text(self.spark, f"{self._pointers}/{name}"))
+            except json.JSONDecodeError:
+                continue
+            kept += 1
             alive.update(pointer["active"])
             alive.update(f"{f}/{_MONTH}={m}" for f, entry in pointer["closed"].items() for m in entry["months"])
         newest = int(names[-1].split(".")[0]) if names else 0
         removed = []
         for load in folders.children(self.spark, self.root):
-            if not load.startswith(f"{_LOAD}=") or int(load.split("=")[1]) > newest:
+            # Higher numbers belong to loads that have not published yet.
+            if not load.startswith(f"{_LOAD}=") or int(load.split("=")[1].split("-")[0]) > newest:
                 continue
             for part in folders.children(self.spark, f"{self.root}/{load}"):
                 if part == f"{ACTIVE}=true":

@@ -153,6 +153,15 @@ def test_table_sources_by_audit_columns(spark, tmp_path):
     assert (second.rows_staged, second.hwm, second.counts.expired) == (1, "2024-01-06 00:00:00", 1)
 
 
+def test_a_target_without_a_catalogue_column_is_refused(spark, tmp_path):
+    drop(tmp_path, "one.csv", "1,A,2024-01-01")
+    run_job(spark, config(tmp_path))
+    attributes = SINK["Catalogue"]["Schema"]["Attributes"] + [{"Name": "Later", "Type": "int"}]
+    wider = {**SINK, "Catalogue": {"Schema": {"NaturalKey": ["CustomerReference"], "Attributes": attributes}}}
+    with pytest.raises(ValueError, match="Later"):
+        run_job(spark, config(tmp_path, catalogue=catalogue_from(wider)))
+
+
 def test_own_reader(spark, tmp_path):
     data = spark.sql("select '1' CUST_REF, 'A' STATUS_CD, '2024-01-01' fileDate, 'f' file_name")
     job = config(tmp_path, reader=lambda session, mark: data if mark == FIRST_MARK else None)

@@ -57,8 +57,9 @@ def load_values(spark, table, times):
 def test_closed_folders_are_written_once(spark, tmp_path):
     table = table_at(spark, tmp_path)
     load_values(spark, table, ["2024-06-01 00:00:00", "2024-06-02 00:00:00", "2024-07-03 00:00:00"])
-    folders = sorted(str(p.relative_to(tmp_path)) for p in tmp_path.glob("load_id=*/IsActive=false/EndMonth=*"))
-    assert folders == ["load_id=2/IsActive=false/EndMonth=2024-06", "load_id=3/IsActive=false/EndMonth=2024-07"]
+    folders = sorted(p.relative_to(tmp_path).parts for p in tmp_path.glob("load_id=*/IsActive=false/EndMonth=*"))
+    assert [(f[0].split("-")[0], f[2]) for f in folders] == [
+        ("load_id=2", "EndMonth=2024-06"), ("load_id=3", "EndMonth=2024-07")]
     ends = table.closed().selectExpr("v", "cast(EffectiveEndDate as string)")
     assert rows(ends) == [("p", "2024-06-02 00:00:00"), ("q", "2024-07-03 00:00:00")]
 
@@ -97,10 +98,23 @@ def test_failed_load_is_invisible_and_repeatable(spark, tmp_path):
 
 def test_two_writers_cannot_both_publish(spark, tmp_path):
     one, two = table_at(spark, tmp_path), table_at(spark, tmp_path)
-    pointer = one._require()
-    one._publish({**pointer, "version": 1})
+    stale = two._require()
+    one.merge(frame(spark, [(1, "a", "p", "h", NEW, NEW)], BATCH), KEYS, TS)
+    two._require = lambda: stale
     with pytest.raises(Exception, match="(?i)exist"):
-        two._publish({**pointer, "version": 1})
+        two.merge(frame(spark, [(1, "a", "q", "h", NEW, NEW)], BATCH), KEYS, TS)
+    assert one.read().first()["v"] == "p"
+
+
+def test_an_unfinished_pointer_is_passed_over(spark, tmp_path):
+    table = table_at(spark, tmp_path)
+    table.merge(frame(spark, [(1, "a", "p", "h", NEW, NEW)], BATCH), KEYS, TS)
+    (tmp_path / "_pointer" / "000000000002.json").write_text("")
+    assert table.read().first()["v"] == "p"
+    table.merge(frame(spark, [(1, "a", "q", "h", NEW, NEW)], BATCH), KEYS, TS)
+    assert table.version == 3 and table.active().first()["v"] == "q"
+    table.vacuum()
+    assert table.read().count() == 2
 
 
 def test_create_needs_history_columns(spark, tmp_path):
