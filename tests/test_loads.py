@@ -154,8 +154,9 @@ def test_table_sources_by_audit_columns(spark, tmp_path):
 
 
 def test_a_target_without_a_catalogue_column_is_refused(spark, tmp_path):
+    job = config(tmp_path)
     drop(tmp_path, "one.csv", "1,A,2024-01-01")
-    run_job(spark, config(tmp_path))
+    run_job(spark, job)
     attributes = SINK["Catalogue"]["Schema"]["Attributes"] + [{"Name": "Later", "Type": "int"}]
     wider = {**SINK, "Catalogue": {"Schema": {"NaturalKey": ["CustomerReference"], "Attributes": attributes}}}
     with pytest.raises(ValueError, match="Later"):
