@@ -55,17 +55,6 @@ def changed(pairs: Iterable[tuple[Column, Column]]) -> Column:
     return _any_of(terms)
 
 
-def changed_value(pairs: Iterable[tuple[Column, Column]]) -> Column:
-    """:func:`changed` as one opaque value.
-
-    A negated ``changed`` above a join is a list of ``<=>`` terms, which the
-    planner would add to the join keys and hash for every row. This form is
-    looked at only for rows whose keys already match.
-    """
-    terms = [~sink.eqNullSafe(source) for sink, source in pairs]
-    return F.array_contains(F.array(*terms), F.lit(True))
-
-
 def changed_plain(pairs: Iterable[tuple[Column, Column]]) -> Column:
     """The ``<>`` form: misses every change from or to NULL. For comparison only."""
     terms = [sink != source for sink, source in pairs]

@@ -27,7 +27,6 @@ from millrace.functions.predicates import (
     change_columns,
     changed,
     changed_plain,
-    changed_value,
     expired_before,
     is_active,
     is_closed,
@@ -43,11 +42,19 @@ UPDATED_ROW, INSERTED_ROW = "updated", "inserted"
 # Columns an update never overwrites.
 UPSERT_EXCLUDE = ("InsertedDateTime", "EffectiveStartDate")
 
-_SINK, _BATCH = "_sink", "_batch"
+_SINK, _BATCH, _STAMP = "_sink", "_batch", "_stamp"
+
+
+# Projections of hundreds of columns are written as SQL text: each Column object
+# costs the driver calls into the JVM, a list of texts costs one.
+
+
+def _name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return F.col(_name(name))
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -63,13 +70,11 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     projection = []
     for f in schema.fields:
         source = present.get(f.name.lower())
-        if source is None:
-            projection.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif types[source] == f.dataType:
-            projection.append(_quoted(source).alias(f.name))
-        else:
-            projection.append(_quoted(source).cast(f.dataType).alias(f.name))
-    return df.select(*projection)
+        value = "NULL" if source is None else _name(source)
+        if source is None or types[source] != f.dataType:
+            value = f"CAST({value} AS {f.dataType.simpleString()})"
+        projection.append(f"{value} AS {_name(f.name)}")
+    return df.selectExpr(*projection)
 
 
 def _resolve_keys(schema: T.StructType, keys: Sequence[str]) -> list[str]:
@@ -140,12 +145,18 @@ def quarantined(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _prefixed(df: DataFrame, prefix: str, columns: Iterable[str] | None = None) -> DataFrame:
+    # Few calls for many columns: building a wide plan is work for the driver.
     names = list(columns) if columns is not None else df.columns
-    return df.select(*[_quoted(c).alias(f"{prefix}.{c}") for c in names], F.lit(True).alias(prefix))
+    chosen = df if columns is None else df.select(*[_name(c) for c in names])
+    return chosen.toDF(*[f"{prefix}.{c}" for c in names]).withColumn(prefix, F.lit(True))
+
+
+def _text(prefix: str, column: str) -> str:
+    return _name(f"{prefix}.{column}")
 
 
 def _of(prefix: str, column: str) -> Column:
-    return F.col(f"`{prefix}.{column}`")
+    return F.col(_text(prefix, column))
 
 
 def _on(keys: Sequence[str]) -> Column:
@@ -170,23 +181,37 @@ def pick_strategy(batch: DataFrame, strategy: str = "auto") -> str:
     return "lookup" if size is not None and 0 <= size <= limit else "outer"
 
 
-def _stay_or_expire(schema: T.StructType, is_changed: Column, run_ts) -> list[Column]:
-    """The sink row after the merge: closed when changed, else as it was."""
-    stamp = time_literal(run_ts)
-    closing = {END.lower(): stamp, ACTIVE.lower(): F.lit(False), UPDATED.lower(): stamp}
+def _differences(columns: Iterable[str]) -> list[str]:
+    return [f"NOT ({_text(_SINK, c)} <=> {_text(_BATCH, c)})" for c in columns]
+
+
+def _changed(columns: Iterable[str]) -> Column:
+    """NULL-safe: true when any compared column differs."""
+    return F.expr(" OR ".join(_differences(columns)))
+
+
+def _same(columns: Iterable[str]) -> Column:
+    """True when no compared column differs, as one opaque value.
+
+    A plain list of ``<=>`` terms above a join would become join keys, hashed
+    for every row; this is looked at only where the keys match.
+    """
+    return F.expr(f"NOT array_contains(array({', '.join(_differences(columns))}), true)")
+
+
+def _stay_or_expire(schema: T.StructType) -> list[str]:
+    """The sink row after the merge: closed when it expired, else as it was."""
+    closing = {END.lower(): _STAMP, ACTIVE.lower(): "false", UPDATED.lower(): _STAMP}
     columns = []
     for f in schema.fields:
-        value = _of(_SINK, f.name)
-        if f.name.lower() in closing:
-            value = F.when(is_changed, closing[f.name.lower()].cast(f.dataType)).otherwise(value)
-        columns.append(value.alias(f.name))
+        value, new = _text(_SINK, f.name), closing.get(f.name.lower())
+        if new is not None:
+            new = f"CAST({new} AS {f.dataType.simpleString()})"
+            value = f"CASE WHEN {OUTCOME} = '{EXPIRED}' THEN {new} ELSE {value} END"
+        columns.append(value)
     return columns
 
 
-def _matched(column: Column) -> Column:
-    return F.coalesce(column, F.lit(False))
-
-
 def merge_active(
     active: DataFrame,
     batch: DataFrame,
@@ -221,7 +246,7 @@ def _merge_outer(active: DataFrame, batch: DataFrame, keys, compared, run_ts) ->
     unique = assert_unique(active.filter(~missing), keys, "the table's active versions (use strategy='lookup')")
     joined = _prefixed(unique, _SINK).join(_prefixed(batch, _BATCH), _on(keys), "full_outer")
     in_sink = F.col(_SINK).isNotNull()
-    is_changed = in_sink & F.col(_BATCH).isNotNull() & changed(_pairs(compared))
+    is_changed = in_sink & F.col(_BATCH).isNotNull() & _changed(compared)
     # One joined row gives one row, or two when the version changed. Only the
     # outcome's name is exploded; columns are picked afterwards.
     outcomes = (
@@ -229,11 +254,10 @@ def _merge_outer(active: DataFrame, batch: DataFrame, keys, compared, run_ts) ->
         .when(in_sink, F.array(F.lit(KEPT)))
         .otherwise(F.array(F.lit(INSERTED)))
     )
-    told = joined.withColumn(OUTCOME, F.explode(outcomes))
-    expired, inserted = F.col(OUTCOME) == EXPIRED, F.col(OUTCOME) == INSERTED
-    merged = told.select(*[
-        F.when(inserted, _of(_BATCH, n)).otherwise(staying).alias(n)
-        for n, staying in zip(schema.names, _stay_or_expire(schema, expired, run_ts))
+    told = joined.withColumn(OUTCOME, F.explode(outcomes)).withColumn(_STAMP, time_literal(run_ts))
+    merged = told.selectExpr(*[
+        f"CASE WHEN {OUTCOME} = '{INSERTED}' THEN {_text(_BATCH, n)} ELSE {staying} END AS {_name(n)}"
+        for n, staying in zip(schema.names, _stay_or_expire(schema))
     ], OUTCOME)
     unmatched = active.filter(missing).withColumn(OUTCOME, F.lit(KEPT))
     return merged.unionByName(unmatched)
@@ -241,15 +265,17 @@ def _merge_outer(active: DataFrame, batch: DataFrame, keys, compared, run_ts) ->
 
 def _merge_lookup(active: DataFrame, batch: DataFrame, keys, compared, run_ts) -> DataFrame:
     schema = active.schema
-    is_changed = _matched(F.col(_BATCH)) & changed(_pairs(compared))
     needed = [*keys, *compared]
     looked_up = _prefixed(active, _SINK).join(_prefixed(batch, _BATCH, needed), _on(keys), "left")
-    outcome = F.when(is_changed, F.lit(EXPIRED)).otherwise(F.lit(KEPT)).alias(OUTCOME)
-    after = looked_up.select(*_stay_or_expire(schema, is_changed, run_ts), outcome)
+    is_changed = F.col(_BATCH).isNotNull() & _changed(compared)
+    told = looked_up.withColumn(OUTCOME, F.when(is_changed, F.lit(EXPIRED)).otherwise(F.lit(KEPT)))
+    after = told.withColumn(_STAMP, time_literal(run_ts)).selectExpr(*[
+        f"{staying} AS {_name(n)}" for n, staying in zip(schema.names, _stay_or_expire(schema))
+    ], OUTCOME)
     still_active = (
         _prefixed(active, _SINK, needed)
         .join(_prefixed(batch, _BATCH, needed), _on(keys), "inner")
-        .filter(~changed_value(_pairs(compared)))
+        .filter(_same(compared))
         .select(*[_of(_BATCH, k).alias(k) for k in keys])
     )
     new = batch.join(still_active, list(keys), "left_anti").select(*schema.names)
@@ -361,9 +387,9 @@ def scd1_upsert(
     missing = _any_null(keys)
     present = sink.filter(~missing)
     looked_up = _prefixed(present, _SINK).join(_prefixed(keyed, _BATCH, [*keys, *taken]), _on(keys), "left")
-    hit = F.col(_BATCH).isNotNull()
-    updated = looked_up.select(*[
-        (F.when(hit, _of(_BATCH, n)).otherwise(_of(_SINK, n)) if n in taken else _of(_SINK, n)).alias(n)
+    updated = looked_up.selectExpr(*[
+        f"CASE WHEN {_BATCH} THEN {_text(_BATCH, n)} ELSE {_text(_SINK, n)} END AS {_name(n)}"
+        if n in taken else f"{_text(_SINK, n)} AS {_name(n)}"
         for n in schema.names
     ])
     new = keyed.join(present.select(*keys).distinct(), keys, "left_anti").select(*schema.names)
