@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from millrace.session import work_path
 
 from .common import table
+from .decontamination import find_leaks
 from .huffman import read_token_files, write_token_files
 from .packing import pack
+from .simhash import near_duplicates
 from .token_counts import count_tokens
 from .tokenizing import public_path
 
@@ -24,6 +26,11 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose fingerprints differ in at most 3 bits."""
+    return near_duplicates(table(spark, folder, "documents"), shingle=3, budget=3)
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files and read back."""
     path = work_path(spark, "token-files")
@@ -31,6 +38,15 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of ten words of the benchmark, found in all documents."""
+    found = find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return pack(
@@ -40,7 +56,9 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
+    "op4_simhash": op4_simhash,
     "op7_token_files": op7_token_files,
+    "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
 }
 #: None of these has SQL that DuckDB could run: they rest on tokenizers, learned models or hashes it lacks.
