@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.session import work_path
 
-from .common import table
+from . import language_id, toxicity
+from .common import remainder, table
 from .decontamination import find_leaks
 from .huffman import read_token_files, write_token_files
 from .packing import pack
@@ -20,6 +21,16 @@ from .tokenizing import public_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every text, learned from four fifths of the labels."""
+    docs = table(spark, folder, "documents")
+    machine = toxicity.learn(docs, table(spark, folder, "labels"), remainder("doc_id", 5) != 0)
+    return toxicity.score_toxicity(docs, machine).select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every text."""
     counted = count_tokens(table(spark, folder, "documents"), public_path("piece_bpe_32k.model"))
@@ -31,6 +42,15 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=3, budget=3)
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every text, learned from three quarters of the documents."""
+    docs = table(spark, folder, "documents")
+    model = language_id.learn(docs, remainder("doc_id", 4) != 2)
+    return language_id.identify(docs, model).select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files and read back."""
     path = work_path(spark, "token-files")
@@ -55,8 +75,10 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op4_simhash": op4_simhash,
+    "op5_language_id": op5_language_id,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
