@@ -15,6 +15,7 @@ from .decontamination import find_leaks
 from .huffman import read_token_files, write_token_files
 from .mtree import quantize, top_k
 from .packing import pack
+from .recompression import remove_repeats
 from .simhash import near_duplicates
 from .token_counts import count_tokens
 from .tokenizing import public_path
@@ -81,6 +82,12 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents without those in windows of 20 that start earlier elsewhere."""
+    found = remove_repeats(table(spark, folder, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -90,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 #: The others rest on tokenizers, learned models or hashes that DuckDB lacks; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
