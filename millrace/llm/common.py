@@ -67,7 +67,20 @@ def map_columns(
     return df.mapInArrow(run, kind)
 
 
-def slices(batches: Iterator[dict[str, list]], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[dict[str, list]]:
+def keep_rows(df: DataFrame, decide: Callable[[list[bytes | None]], list[bool]], text_col: str = "text") -> DataFrame:
+    """The rows whose text passes ``decide``, all columns as they are."""
+    importable(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text_col).cast(pa.binary()).to_pylist()
+            good = [k for part in slices([{"text": texts}]) for k in decide(part["text"])]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def slices(batches: Iterable[dict[str, list]], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[dict[str, list]]:
     """The rows in slices of about ``limit`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
         names, at, size = list(batch), 0, 0

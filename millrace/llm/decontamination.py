@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_columns, slices, texts_of
+from .common import keep_rows, map_columns, slices, texts_of
 
 #: Bytes of benchmark text that are broadcast at a time; a larger benchmark is searched in several passes.
 BENCHMARK_BYTES = 32 << 20
@@ -171,28 +171,51 @@ def find_leaks(
 
     The benchmark is broadcast, ``BENCHMARK_BYTES`` at a time; documents are not shuffled.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(
-        F.coalesce(benchmark[item_col].cast("string"), F.lit("")).alias("name"),
-        F.coalesce(benchmark[item_text_col].cast("string"), F.lit("")).cast("binary").alias("text"),
-    )
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    passes = max(1, -(-total // BENCHMARK_BYTES))
     empty = "array()"
     out = texts_of(docs, id_col, text_col).selectExpr(
         "doc_id", "text", "0L AS n_words", f"cast({empty} AS array<string>) AS items",
         f"cast({empty} AS array<int>) AS starts", f"cast({empty} AS array<int>) AS ends",
     )
-    for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("name"), F.lit(passes)) == k) if passes > 1 else items
-        shared = spark.sparkContext.broadcast([(r["name"], bytes(r["text"])) for r in part.collect()])
-        out = map_columns(out, _search(shared, window, k == passes - 1), out.schema)
+    parts = _benchmark_parts(benchmark, item_col, item_text_col)
+    for k, shared in enumerate(parts):
+        out = map_columns(out, _search(shared, window, k == len(parts) - 1), out.schema)
     n_hit = F.aggregate(
         F.zip_with("starts", "ends", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda n, x: n + x
     )
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "starts", "ends")
 
 
+def _benchmark_parts(benchmark: DataFrame, item_col: str, item_text_col: str) -> list:
+    """The items as broadcast values of about ``BENCHMARK_BYTES`` each; all items of an id are in one."""
+    items = benchmark.select(
+        F.coalesce(benchmark[item_col].cast("string"), F.lit("")).alias("name"),
+        F.coalesce(benchmark[item_text_col].cast("string"), F.lit("")).cast("binary").alias("text"),
+    )
+    passes = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // BENCHMARK_BYTES))
+    parts = [items.where(F.pmod(F.xxhash64("name"), F.lit(passes)) == k) for k in range(passes)] if passes > 1 else [items]
+    broadcast = benchmark.sparkSession.sparkContext.broadcast
+    return [broadcast([(r["name"], bytes(r["text"])) for r in part.collect()]) for part in parts]
+
+
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10,
+    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` whose text has no window of any item, all columns as they are. A null text has none."""
+    for shared in _benchmark_parts(benchmark, item_col, item_text_col):
+        docs = keep_rows(docs, _clean(shared, window), text_col)
+    return docs
+
+
+def _clean(shared, window: int):
+    key = uuid.uuid4().hex
+
+    def decide(texts: list[bytes | None]) -> list[bool]:
+        return [not spans for spans, _ in _benchmark(key, shared.value, window).search([words_of(t) for t in texts])]
+
+    return decide
+
+
 def _search(shared, window: int, last: bool):
     key = uuid.uuid4().hex
 

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_columns, slices, texts_of
+from .common import keep_rows, map_columns, slices, texts_of
 
 #: Labelled rows that the classifiers are learned from, about.
 TRAINING_ROWS = 4_000
@@ -138,6 +138,17 @@ def has_letter(text: bytes | None) -> bool:
     return bool(text) and (bool(_ASCII_LETTER.search(text)) or any(c.isalpha() for c in text.decode("utf-8", "replace")))
 
 
+def predict(model: Model | None, texts: list[bytes | None]) -> tuple[list[str], list[float], list[bool]]:
+    """Language, score and ambiguity of each text."""
+    lang, score = ["und"] * len(texts), [0.0] * len(texts)
+    lettered = [i for i, t in enumerate(texts) if has_letter(t)] if model else []
+    if lettered:
+        which, chance = model.decode(model.margins([texts[i] for i in lettered]))
+        for i, w, c in zip(lettered, which.tolist(), chance.tolist()):
+            lang[i], score[i] = model.languages[w], c
+    return lang, score, [v != "und" and s < SURE for v, s in zip(lang, score)]
+
+
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score, ambiguous`` of every row.
 
@@ -149,15 +160,21 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        model = shared.value
         for batch in slices(batches):
-            lang, score = ["und"] * len(batch["text"]), [0.0] * len(batch["text"])
-            lettered = [i for i, t in enumerate(batch["text"]) if has_letter(t)] if model else []
-            if lettered:
-                which, chance = model.decode(model.margins([batch["text"][i] for i in lettered]))
-                for i, w, c in zip(lettered, which.tolist(), chance.tolist()):
-                    lang[i], score[i] = model.languages[w], c
-            ambiguous = [v != "und" and s < SURE for v, s in zip(lang, score)]
+            lang, score, ambiguous = predict(shared.value, batch["text"])
             yield {"doc_id": batch["doc_id"], "lang_pred": lang, "score": score, "ambiguous": ambiguous}
 
     return map_columns(texts_of(docs, id_col, text_col), run, "doc_id long, lang_pred string, score double, ambiguous boolean")
+
+
+def with_language(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows whose language is told for sure: neither ``und`` nor ambiguous. Without a model, all rows with a letter."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def decide(texts: list[bytes | None]) -> list[bool]:
+        if shared.value is None:
+            return [has_letter(t) for t in texts]
+        lang, _, ambiguous = predict(shared.value, texts)
+        return [v != "und" and not a for v, a in zip(lang, ambiguous)]
+
+    return keep_rows(docs, decide, text_col)

@@ -24,11 +24,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from xxhash import xxh64_intdigest
 
-from .common import map_columns, slices, stored, texts_of
+from .common import map_columns, slices, stored
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -165,12 +167,13 @@ def _laid_out(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.concatenate([*hashes, np.zeros(0, np.uint64)]), ends - np.array([len(w) for w in words], np.int64), ends
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     """``doc, tie, text``: where an id has several rows, a hash of the text keeps different texts apart."""
-    texts = texts_of(docs, id_col, text_col)
-    repeated = texts.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    tie = F.coalesce(F.xxhash64("text"), F.lit(0)) if repeated else F.lit(0).cast("long")
-    return texts.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), tie.alias("tie"), "text")
+    repeated = docs.groupBy(docs[id_col]).count().where("count > 1").limit(1).count()
+    text = docs[text_col].cast("string").cast("binary")
+    tie = F.coalesce(F.xxhash64(text), F.lit(0)) if repeated else F.lit(0).cast("long")
+    doc = F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID))
+    return docs.select(doc.alias("doc"), tie.alias("tie"), text.alias("text"), *more)
 
 
 _FOUND = "kind int, symbol long, content long, doc long, tie long, start int, n int"
@@ -307,6 +310,21 @@ def _windows(window: int):
     return run
 
 
+def _without(text: bytes | None, spans: list[dict] | None) -> tuple[list[bytes], list[bytes]]:
+    """All words of a text, and those outside the spans."""
+    words = (text or b"").split()
+    if not spans:
+        return words, words
+    edge = np.zeros(len(words) + 1, np.int64)
+    np.add.at(edge, [s["start"] for s in spans], 1)
+    np.add.at(edge, [s["end"] for s in spans], -1)
+    return words, [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
+
+
+def _gone(keyed: DataFrame, window: int) -> DataFrame:
+    return repeats(keyed, window).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
+
+
 def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` of every row.
 
@@ -319,25 +337,35 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     table gives no rows. Only the two named columns are read.
     """
     keyed = _keyed(docs, id_col, text_col)
-    gone = repeats(keyed, window).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
 
     def cut(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in slices(batches):
-            out: dict[str, list] = {"doc": batch["doc"], "n_words": [], "n_removed": [], "kept": []}
-            for text, spans in zip(batch["text"], batch["gone"]):
-                words = (text or b"").split()
-                kept = words
-                if spans:
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edge, [s["start"] for s in spans], 1)
-                    np.add.at(edge, [s["end"] for s in spans], -1)
-                    kept = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
-                out["n_words"].append(len(words))
-                out["n_removed"].append(len(words) - len(kept))
-                out["kept"].append(b" ".join(kept))
-            yield out
-
-    joined = keyed.join(gone, ["doc", "tie"], "left").drop("tie")
+            both = [_without(t, spans) for t, spans in zip(batch["text"], batch["gone"])]
+            yield {
+                "doc": batch["doc"], "n_words": [len(w) for w, _ in both],
+                "n_removed": [len(w) - len(k) for w, k in both], "kept": [b" ".join(k) for _, k in both],
+            }
+
+    joined = keyed.join(_gone(keyed, window), ["doc", "tie"], "left").drop("tie")
     done = map_columns(joined, cut, "doc long, n_words long, n_removed long, kept binary")
     doc_id = F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id")
     return done.select(doc_id, "n_words", "n_removed", F.col("kept").cast("string").alias("kept"))
+
+
+def replace_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the repeats of :func:`remove_repeats` cut from the text; texts without any, and all other columns, stay as they are."""
+    keyed = _keyed(docs, id_col, text_col)
+    others = F.struct(*[docs[c] for c in docs.columns if c != text_col], F.lit(0).alias("__")).alias("row")
+    carried = _keyed(docs, id_col, text_col, others)
+    joined = carried.join(_gone(keyed, window), ["doc", "tie"], "left").select("text", "gone", "row")
+    schema = StructType([joined.schema["text"], joined.schema["row"]])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, gone = batch.column("text").to_pylist(), batch.column("gone").to_pylist()
+            kept = [b" ".join(_without(t, spans)[1]) if spans else t for t, spans in zip(texts, gone)]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.binary()), batch.column("row")], ["text", "row"])
+
+    done = joined.mapInArrow(cut, schema)
+    text = F.col("text").cast(docs.schema[text_col].dataType)
+    return done.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

@@ -1,21 +1,25 @@
 """SimHash near-duplicates by a self-join of binary tries.
 
-Fingerprints are 64-bit sign sums of shingle hashes. Two of them within
-``budget`` bits of each other agree on at least one of ``budget + 1`` blocks of bits,
-so a fingerprint goes to one bucket for each block. In a bucket the
-fingerprints form a binary trie over the other bits. The trie is joined with
+Fingerprints are 64-bit sign sums of shingle hashes. Their bits are cut into blocks,
+a few more than the ``budget`` of differing bits: two fingerprints within it agree
+on all bits of some choice of blocks, so a fingerprint goes to one bucket for
+each choice. The fingerprints of a bucket form a binary trie. The trie is joined with
 itself: pairs of nodes go down together, a step to unlike children costs one bit,
 and a pair that has spent its budget goes only to like children or ends.
 
-Equal texts and equal fingerprints are one entry. A bucket with many entries is
-split into chunks by hash, and its pairs of chunks go to different tasks. A task
+Equal fingerprints are one entry. A bucket with many entries is split into
+chunks by hash, and its pairs of chunks go to different tasks. A task
 returns links that connect what it found connected, not all its pairs.
+
+Optionally a link must also hold in the texts: each entry then carries a small MinHash
+sketch of its shingles, and pairs whose estimated similarity is too low are no links.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Callable, Iterator
+from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,36 +33,70 @@ from .graph import components
 SHINGLES_HELD, CHUNK, PAIRS_HELD = 1 << 16, 1 << 14, 1 << 19
 #: Entries joined at a time, at least; a group is never parted.
 BATCH = 1 << 16
+#: Bins of a sketch.
+SKETCH = 128
+
+
+def _hashes(words: list[bytes], shingle: int, seed: int) -> np.ndarray:
+    """Hashes of all shingles; fewer words are one shingle."""
+    n = max(1, len(words) - shingle + 1)
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
+    return np.fromiter(map(xxh64_intdigest, shingles, repeat(seed)), np.uint64, n)
 
 
-def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
-    """The unsigned fingerprint of a text; 0 if it has no words."""
+def fingerprint(text: bytes | None, shingle: int = 3, distinct: bool = False, seed: int = 42) -> int:
+    """The unsigned fingerprint of a text; 0 if it has no words. ``distinct`` counts equal shingles once."""
     words = (text or b"").lower().split()
     if not words:
         return 0
     last = max(1, len(words) - shingle + 1)
-    counts = np.zeros(64, np.int64)
-    for at in range(0, last, SHINGLES_HELD):
-        part = words[at : min(at + SHINGLES_HELD, last) + shingle - 1]
-        n = max(1, len(part) - shingle + 1)
-        shingles = map(b" ".join, zip(*(part[i:] for i in range(shingle)))) if len(part) >= shingle else [b" ".join(part)]
-        hashes = np.fromiter(map(xxh64_intdigest, shingles, repeat(seed)), ">u8", n)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1)
-        whole = n // 255 * 255  # sums of 255 bits fit a byte
-        counts += bits[:whole].reshape(-1, 255, 64).sum(1, dtype=np.uint8).sum(0, dtype=np.int64)
-        counts += bits[whole:].sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > last).tobytes(), "big")
-
-
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint`` (a long with the same bits) of every row."""
+    counts, total = np.zeros(64, np.int64), 0
+    if distinct:
+        parts = [np.unique(_hashes(words, shingle, seed))]
+    else:
+        parts = (_hashes(words[at : min(at + SHINGLES_HELD, last) + shingle - 1], shingle, seed) for at in range(0, last, SHINGLES_HELD))
+    for hashes in parts:
+        for at in range(0, len(hashes), SHINGLES_HELD):
+            bits = np.unpackbits(hashes[at : at + SHINGLES_HELD].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+            whole = len(bits) // 255 * 255  # sums of 255 bits fit a byte
+            counts += bits[:whole].reshape(-1, 255, 64).sum(1, dtype=np.uint8).sum(0, dtype=np.int64)
+            counts += bits[whole:].sum(0, dtype=np.int64)
+            total += len(bits)
+    return int.from_bytes(np.packbits(2 * counts > total).tobytes(), "big")
+
+
+def sketch(text: bytes | None, shingle: int) -> bytes:
+    """One-permutation MinHash of the shingles: for each of ``SKETCH`` bins a number from 1 to 255, 0 if it is empty."""
+    words = (text or b"").lower().split()
+    if not words:
+        return bytes(SKETCH)
+    hashes = _hashes(words, shingle, 17)
+    least = np.full(SKETCH, 1 << 57, np.uint64)
+    np.minimum.at(least, (hashes >> np.uint64(57)).astype(np.int64), hashes & np.uint64((1 << 57) - 1))
+    return np.where(least >> np.uint64(57), 0, 1 + least % np.uint64(255)).astype(np.uint8).tobytes()
+
+
+def similar(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Whether rows of two arrays of sketches stand for sets whose Jaccard similarity is estimated at ``least`` or more."""
+    some = ((a > 0) | (b > 0)).sum(1)
+    equal = ((a == b) & (a > 0)).sum(1)
+    chance = 1 / 255
+    return (some == 0) | ((equal / np.maximum(some, 1) - chance) / (1 - chance) >= least)
+
+
+def fingerprints(
+    docs: DataFrame, shingle: int = 3, distinct: bool = False, verify: tuple[int, float] | None = None,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """``doc_id, fingerprint`` (a long with the same bits) and ``sketch`` (null without ``verify``) of every row."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in slices(batches):
-            found = np.array([fingerprint(t, shingle) for t in batch["text"]], np.uint64)
-            yield {"doc_id": batch["doc_id"], "fingerprint": found.view(np.int64)}
+            found = np.array([fingerprint(t, shingle, distinct) for t in batch["text"]], np.uint64)
+            sketches = [sketch(t, verify[0]) if verify else None for t in batch["text"]]
+            yield {"doc_id": batch["doc_id"], "fingerprint": found.view(np.int64), "sketch": sketches}
 
-    return map_columns(texts_of(docs, id_col, text_col), run, "doc_id long, fingerprint long")
+    return map_columns(texts_of(docs, id_col, text_col), run, "doc_id long, fingerprint long, sketch binary")
 
 
 class Union:
@@ -78,45 +116,35 @@ class Union:
                 parent[:] = parent[parent]
 
 
-def trie_join(keys: np.ndarray, starts: list[tuple[int, int, int, int]], bits: int, budget: int, union: Union) -> None:
-    """Unites all entries of each pair of ranges ``(a, a end, b, b end)`` that differ in at most ``budget`` of the low ``bits``.
+def trie_join(keys: np.ndarray, starts: np.ndarray, budget: int, link: Callable[[np.ndarray, np.ndarray], None]) -> None:
+    """Calls ``link`` with all pairs of entries of each two ranges ``(a, a end, b, b end)`` that differ in at most ``budget`` bits.
 
-    Entries of a range are sorted. A range is a trie node: the entries that share
-    the bits above. ``(a, a end, a, a end)`` joins a node with itself.
+    Entries of a range are sorted. A range is a trie node: the entries that share the bits
+    above. ``(a, a end, a, a end)`` joins a node with itself.
     """
-    first = np.array(starts, np.int64).reshape(-1, 4)
-    stack = [(bits, np.column_stack([first, np.zeros(len(first), np.int64)]))]
+    stack = [(64, np.column_stack([starts, np.zeros(len(starts), np.int64)]))]
     zeros: dict[int, np.ndarray] = {}
     while stack:
         depth, pairs = stack.pop()
-        a, a_end, b, b_end, spent = pairs.T
-        single = (a_end - a == 1) & (b_end - b == 1)
-        if single.any():
-            x, y = a[single], b[single]
+        sizes = (pairs[:, 1] - pairs[:, 0]) * (pairs[:, 3] - pairs[:, 2])
+        few = (sizes <= 4) | (depth == 0)
+        for x, y in _all_pairs(pairs[few], sizes[few]):
             near = np.bitwise_count(keys[x] ^ keys[y]) <= budget
-            union.add(x[near & (x != y)], y[near & (x != y)])
-            pairs = pairs[~single]
-            a, a_end, b, b_end, spent = pairs.T
+            link(x[near], y[near])
+        pairs = pairs[~few]
         if not len(pairs):
             continue
-        if depth == 0:  # the rest differ in what they have spent only
-            union.add(np.repeat(a, 1), b)
-            for i, j in ((0, 1), (2, 3)):  # equal entries in a range are one entry for each side
-                more = pairs[:, j] - pairs[:, i] > 1
-                for low, high in pairs[more][:, [i, j]]:
-                    union.add(np.full(high - low - 1, low), np.arange(low + 1, high))
-            continue
         depth -= 1
         if depth not in zeros:
             zeros[depth] = np.concatenate([[0], np.cumsum((keys >> np.uint64(depth)) & np.uint64(1) == 0)])
+        a, a_end, b, b_end, spent = pairs.T
         z = zeros[depth]
         a_mid, b_mid = a + z[a_end] - z[a], b + z[b_end] - z[b]
-        same = a == b
         down = [
             np.column_stack([a, a_mid, b, b_mid, spent]),
             np.column_stack([a_mid, a_end, b_mid, b_end, spent]),
             np.column_stack([a, a_mid, b_mid, b_end, spent + 1]),
-            np.column_stack([a_mid, a_end, b, b_mid, spent + 1])[~same],
+            np.column_stack([a_mid, a_end, b, b_mid, spent + 1])[a != b],
         ]
         found = np.concatenate(down)
         found = found[(found[:, 4] <= budget) & (found[:, 1] > found[:, 0]) & (found[:, 3] > found[:, 2])]
@@ -124,92 +152,133 @@ def trie_join(keys: np.ndarray, starts: list[tuple[int, int, int, int]], bits: i
             stack.append((depth, found[at : at + PAIRS_HELD]))
 
 
-def _block_edges(budget: int) -> list[tuple[int, int]]:
-    """Lowest bit and width of ``budget + 1`` blocks."""
-    edges = [64 * i // (budget + 1) for i in range(budget + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+def _all_pairs(pairs: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of entries of each two ranges, a bounded number at a time; of a range with itself each pair once."""
+    at = 0
+    ends = np.cumsum(sizes)
+    while at < len(pairs):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS_HELD, "right")))
+        part, n = pairs[at:upto], sizes[at:upto]
+        at = upto
+        for low in range(0, int(n.sum()), PAIRS_HELD):  # a single pair of ranges may be larger
+            k = np.arange(low, min(low + PAIRS_HELD, int(n.sum())))
+            row = np.searchsorted(np.cumsum(n), k, "right")
+            k = k - (np.cumsum(n) - n)[row]
+            width = part[row, 3] - part[row, 2]
+            x, y = part[row, 0] + k // width, part[row, 2] + k % width
+            once = (part[row, 0] != part[row, 2]) | (x < y)
+            yield x[once], y[once]
+
+
+def block_choices(budget: int, entries: int) -> list[int]:
+    """Masks of the bits to agree on, one for each bucket table.
+
+    Any number of blocks above the budget finds all pairs; more blocks make more tables with smaller buckets.
+    """
+    best = None
+    for blocks in range(budget + 1, budget + 5):
+        tables, bits = comb(blocks, budget), 64 * (blocks - budget) / blocks
+        cost = tables * (1 + entries / 2**bits / 512)
+        if best is None or cost < best[0]:
+            best = (cost, blocks)
+    edges = [64 * i // best[1] for i in range(best[1] + 1)]
+    masks = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
+    return [sum(chosen) for chosen in combinations(masks, best[1] - budget)]
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
 
+def links(entries: DataFrame, budget: int = 3, least: float | None = None) -> DataFrame:
+    """``a, b``: links between the ``node`` s of ``entries`` that connect them as all pairs within ``budget`` bits of ``fingerprint`` would.
 
-def links(prints: DataFrame, budget: int = 3) -> DataFrame:
-    """``a, b``: links that connect the distinct fingerprints in ``prints.fingerprint`` as all pairs within ``budget`` bits would."""
-    blocks = _block_edges(budget)
-    value = F.col("fingerprint")
-    keyed = prints.select(
-        value,
-        F.posexplode(F.array(*[F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << w) - 1)) for low, w in blocks])),
-    ).toDF("fingerprint", "block", "key")
-    sizes = keyed.groupBy("block", "key").count().where("count > 1")
+    ``entries`` has distinct nodes. With ``least`` only pairs whose ``sketch`` es are that similar count.
+    """
+    masks = block_choices(budget, entries.count())
+    keys = F.array(*[F.col("fingerprint").bitwiseAND(F.lit(_signed(m))) for m in masks])
+    keyed = entries.select("node", "fingerprint", "sketch", F.posexplode(keys).alias("table", "key"))
+    sizes = keyed.groupBy("table", "key").count().where("count > 1")
     chunks = F.ceil(F.col("count") / CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     dealt = (
-        keyed.join(sizes, ["block", "key"])
-        .select("block", "key", "fingerprint", chunks.alias("chunks"))
+        keyed.join(sizes, ["table", "key"])
+        .withColumn("chunks", chunks)
         .withColumn("own", own)
-        .select("block", "key", "fingerprint", "own", other.alias("other"))
+        .withColumn("other", other)
         .withColumn("i", F.least("own", "other"))
         .withColumn("j", F.greatest("own", "other"))
     )
-    group = ["block", "key", "i", "j"]
-    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = ["table", "key", "i", "j"]
+    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(n, *group).sortWithinPartitions(*group, "own")
 
     def join(batches: Iterator[dict]) -> Iterator[dict]:
-        for rows in _whole_groups(batches):
-            yield from _join_groups(rows, blocks, budget)
+        for rows, sketches in _whole_groups(batches):
+            yield _join_groups(rows, sketches, masks, budget, least)
 
-    return map_columns(dealt.select(*group, "own", "fingerprint"), join, "a long, b long")
+    return map_columns(dealt.select(*group, "own", "fingerprint", "node", "sketch"), join, "a long, b long")
 
 
-def _whole_groups(batches: Iterator[dict]) -> Iterator[np.ndarray]:
-    """Rows (block, key, i, j, own, fingerprint) in runs of whole groups."""
-    held, size = [], 0
+def _whole_groups(batches: Iterator[dict]) -> Iterator[tuple[np.ndarray, list]]:
+    """Rows (table, key, i, j, own, fingerprint, node) and sketches in runs of whole groups."""
+    rows, sketches, wait = np.zeros((0, 7), np.int64), [], BATCH
     for batch in batches:
-        held.append(np.column_stack([np.array(c, np.int64) for c in batch.values()]))
-        size += len(held[-1])
-        if size < BATCH:
+        sketches = sketches + batch.pop("sketch")
+        rows = np.concatenate([rows, np.column_stack([np.array(c, np.int64) for c in batch.values()])])
+        if len(rows) < wait:
             continue
-        rows = np.concatenate(held)
         new = np.flatnonzero((np.diff(rows[:, :4], axis=0) != 0).any(1)) + 1
+        wait = len(rows) + BATCH
         if len(new):
-            yield rows[: new[-1]]
-            rows = rows[new[-1] :]
-        held, size = [rows], 0 if len(new) else len(rows)
-    if held and sum(map(len, held)):
-        yield np.concatenate(held)
-
-
-def _join_groups(rows: np.ndarray, blocks: list[tuple[int, int]], budget: int) -> Iterator[dict]:
-    prints = rows[:, 5].astype(np.int64).view(np.uint64)
-    lows = np.array([b[0] for b in blocks], np.uint64)[rows[:, 0]]
-    widths = np.array([b[1] for b in blocks], np.uint64)[rows[:, 0]]
-    # The block's bits are taken out: what is left is the trie's key.
-    low = prints & ((np.uint64(1) << lows) - np.uint64(1))
-    top = (prints >> (lows + widths - np.uint64(1))) >> np.uint64(1)
-    keys = low | (top << lows)
-    order = np.lexsort((keys, rows[:, 4], rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))
-    rows, keys, prints = rows[order], keys[order], prints[order]
+            yield rows[: new[-1]], sketches[: new[-1]]
+            rows, sketches, wait = rows[new[-1] :], sketches[new[-1] :], BATCH
+    if len(rows):
+        yield rows, sketches
+
+
+def _join_groups(rows: np.ndarray, sketches: list, masks: list[int], budget: int, least: float | None) -> dict:
+    prints = rows[:, 5].copy().view(np.uint64)
+    order = np.lexsort((prints, *rows[:, 4::-1].T))
+    rows, prints, table = rows[order], prints[order], rows[order, 0]
+    data = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(rows), -1)[order] if least is not None else None
     sides = np.concatenate([[0], np.flatnonzero((np.diff(rows[:, :5], axis=0) != 0).any(1)) + 1, [len(rows)]])
-    starts, k = [], 0
-    while k < len(sides) - 1:
-        a, a_end = int(sides[k]), int(sides[k + 1])
-        if rows[a, 2] == rows[a, 3]:
-            starts.append((a, a_end, a, a_end))
-            k += 1
-        elif k + 2 < len(sides) and (rows[a, :4] == rows[a_end, :4]).all():
-            starts.append((a, a_end, a_end, int(sides[k + 2])))
-            k += 2
-        else:
-            k += 1
+    a, a_end = sides[:-1], sides[1:]
+    alone = rows[a, 2] == rows[a, 3]  # a chunk with itself; of two chunks the first meets the one that follows
+    follows = np.zeros(len(a), bool)
+    follows[:-1] = (rows[a[:-1], :4] == rows[a[1:], :4]).all(1)
+    pair = np.flatnonzero(~alone & follows)
+    starts = np.concatenate([
+        np.column_stack([a[alone], a_end[alone], a[alone], a_end[alone]]),
+        np.column_stack([a[pair], a_end[pair], a[pair + 1], a_end[pair + 1]]),
+    ])
     union = Union(len(rows))
-    trie_join(keys, starts, 64 - min(b[1] for b in blocks), budget, union)
+
+    def link(x: np.ndarray, y: np.ndarray) -> None:
+        open_ = union.parent[x] != union.parent[y]
+        x, y = x[open_], y[open_]
+        differ = prints[x] ^ prints[y]
+        first = np.ones(len(x), bool)  # a pair that agrees in several tables is the first one's
+        for k, mask in enumerate(masks[:-1]):
+            first &= (table[x] <= k) | (differ & np.uint64(mask) != 0)
+        x, y = x[first], y[first]
+        if data is not None:
+            for at in range(0, len(x), 1 << 15):
+                own = slice(at, at + (1 << 15))
+                good = similar(data[x[own]], data[y[own]], least)
+                union.add(x[own][good], y[own][good])
+        else:
+            union.add(x, y)
+
+    trie_join(prints, starts, budget, link)
     linked = np.flatnonzero(union.parent != np.arange(len(rows)))
-    a, b = prints[linked], prints[union.parent[linked]]
-    yield {"a": a.view(np.int64), "b": b.view(np.int64)}
+    return {"a": rows[linked, 6], "b": rows[union.parent[linked], 6]}
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 3, budget: int = 3, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int = 3, budget: int = 3, distinct: bool = False, verify: tuple[int, float] | None = None,
+    id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row.
 
@@ -219,13 +288,46 @@ def near_duplicates(
     others. Null ids count in no minimum: a component of null ids alone has a null id.
     Repeated rows stay rows. An empty table gives no rows. Only the two named
     columns are read.
+
+    ``distinct`` counts equal shingles once. ``verify = (words, least)`` asks of a link that the
+    texts' shingles of so many words have a Jaccard similarity of ``least``, as ``SKETCH`` bins estimate it.
     """
-    prints = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    found = stored(links(classes.select("fingerprint"), budget), "trie-links")
-    roots = components(found, "a", "b").withColumnRenamed("node", "fingerprint")
-    rooted = classes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    prints = stored(fingerprints(docs, shingle, distinct, verify, id_col, text_col), "fingerprints")
+    node = F.xxhash64("fingerprint", "sketch") if verify else F.col("fingerprint")
+    prints = prints.withColumn("node", node)
+    entries = prints.groupBy("node").agg(
+        F.min("doc_id").alias("first"), F.first("fingerprint").alias("fingerprint"), F.first("sketch").alias("sketch")
+    )
+    entries = stored(entries, "fingerprint-classes")
+    found = stored(links(entries, budget, verify[1] if verify else None), "trie-links")
+    rooted = entries.select("node", "first").join(components(found, "a", "b"), "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_print = rooted.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id")
+    by_node = rooted.select("node", "root").join(least, "root").select("node", "component_id")
     written = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
-    return prints.join(by_print, "fingerprint").select("doc_id", written.alias("fingerprint"), "component_id")
+    return prints.join(by_node, "node").select("doc_id", written.alias("fingerprint"), "component_id")
+
+
+def without_near_duplicates(
+    docs: DataFrame, shingle: int = 1, budget: int = 7, distinct: bool = True, verify: tuple[int, float] | None = (5, 0.8),
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """One row of each component of near-duplicates, all columns as they are: that of the smallest id (nulls last).
+
+    The defaults look for texts whose 5-word shingles are 80 % alike: fingerprints over
+    the distinct words bring such texts within 7 bits, and the sketches decide.
+
+    Rows are told apart by their place in the input, so repeated and null ids are no
+    trouble; the input must give its rows in the same places when read again, as a stored table does.
+    """
+    placed = docs.select(F.monotonically_increasing_id().alias("__place"), F.struct("*").alias("row"))
+    id_of, text_of = F.col("row")[id_col], F.col("row")[text_col]
+    found = near_duplicates(
+        placed.select("__place", text_of.alias("text")), shingle, budget, distinct, verify, id_col="__place", text_col="text"
+    )
+    ids = placed.select("__place", id_of.alias("id"))
+    order = F.struct(F.col("id").isNull().alias("n"), "id", "__place")
+    best = ids.join(found.select(F.col("doc_id").alias("__place"), "component_id"), "__place").groupBy("component_id").agg(
+        F.min(order).alias("best")
+    )
+    return placed.join(best.select("best.__place"), "__place", "left_semi").select("row.*")
