@@ -17,6 +17,7 @@ from .mtree import quantize, top_k
 from .packing import pack
 from .recompression import remove_repeats
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeated_bytes
 from .token_counts import count_tokens
 from .tokenizing import public_path
 
@@ -59,6 +60,12 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of all documents without those in strings of 400 bytes that start elsewhere too."""
+    found = remove_repeated_bytes(table(spark, folder, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files and read back."""
     path = work_path(spark, "token-files")
@@ -94,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op3_topk_search": op3_topk_search,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,

@@ -176,7 +176,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     return docs.select(doc.alias("doc"), tie.alias("tie"), text.alias("text"), *more)
 
 
-_FOUND = "kind int, symbol long, content long, doc long, tie long, start int, n int"
+SEGMENT = "kind int, symbol long, content long, doc long, tie long, start int, n int"
 #: Kinds of rows: a segment to be looked for elsewhere; one that shares its symbol; words that are known to repeat.
 LOOK, KNOWN, REPEAT = 0, 1, 2
 
@@ -187,35 +187,41 @@ def _emit(window: int):
             hashes, firsts, ends = _laid_out(batch["text"])
             symbol, content, text, start, n = segments(hashes, firsts, ends, window)
             doc, tie = np.array(batch["doc"], np.int64)[text], np.array(batch["tie"], np.int64)[text]
-            start = start - firsts[text]
-            order = np.lexsort((start, tie, doc, content, symbol))
-            symbol, content, doc, tie, start, n = (c[order] for c in (symbol, content, doc, tie, start, n))
-            equal = np.zeros(len(symbol), bool)
-            equal[1:] = (symbol[1:] == symbol[:-1]) & (content[1:] == content[:-1])
-            head = np.flatnonzero(~equal)[np.cumsum(~equal) - 1] if len(equal) else np.zeros(0, int)
-            same_place = (doc == doc[head]) & (tie == tie[head]) & (start == start[head])
-            repeat = equal & ~same_place
-            spans = _merged(doc[repeat], tie[repeat], start[repeat], start[repeat] + n[repeat] + window - 1)
-            kept = ~equal
-            symbol, content, doc, tie, start, n = (c[kept] for c in (symbol, content, doc, tie, start, n))
-            # Where a symbol has several segments here, that it repeats is known; one row more lets others be found.
-            same = symbol[1:] == symbol[:-1]
-            several = np.zeros(len(symbol), bool)
-            several[1:] |= same
-            several[:-1] |= same
-            witness = several.copy()
-            witness[1:] &= ~same
-            zeros = np.zeros(len(spans[0]), np.int64)
-            columns = {"symbol": symbol.view(np.int64), "content": content.view(np.int64), "doc": doc, "tie": tie, "start": start, "n": n}
-            more = {"doc": spans[0], "tie": spans[1], "start": spans[2], "n": spans[3] - spans[2]}
-            kind = [np.where(several, KNOWN, LOOK), np.full(witness.sum(), LOOK), zeros + REPEAT]
-            yield {"kind": np.concatenate(kind)} | {
-                c: np.concatenate([v, v[witness], more.get(c, zeros)]) for c, v in columns.items()
-            }
+            yield sort_out(symbol, content, doc, tie, start - firsts[text], n, window, spare_first=True)
 
     return run
 
 
+def sort_out(
+    symbol: np.ndarray, content: np.ndarray, doc: np.ndarray, tie: np.ndarray, start: np.ndarray, n: np.ndarray,
+    window: int, spare_first: bool,
+) -> dict[str, np.ndarray]:
+    """The segments of a slice as rows: equal ones are one row, and what they cover is known to repeat (but in the first place, if that is spared)."""
+    order = np.lexsort((start, tie, doc, content, symbol))
+    symbol, content, doc, tie, start, n = (c[order] for c in (symbol, content, doc, tie, start, n))
+    equal = np.zeros(len(symbol), bool)
+    equal[1:] = (symbol[1:] == symbol[:-1]) & (content[1:] == content[:-1])
+    head = np.flatnonzero(~equal)[np.cumsum(~equal) - 1] if len(equal) else np.zeros(0, int)
+    repeat = equal & ~((doc == doc[head]) & (tie == tie[head]) & (start == start[head]))
+    if not spare_first:
+        repeat[head[repeat]] = True
+    spans = _merged(doc[repeat], tie[repeat], start[repeat], start[repeat] + n[repeat] + window - 1)
+    kept = ~equal
+    symbol, content, doc, tie, start, n = (c[kept] for c in (symbol, content, doc, tie, start, n))
+    # Where a symbol has several segments here, that it repeats is known; one row more lets others be found.
+    same = symbol[1:] == symbol[:-1]
+    several = np.zeros(len(symbol), bool)
+    several[1:] |= same
+    several[:-1] |= same
+    witness = several.copy()
+    witness[1:] &= ~same
+    zeros = np.zeros(len(spans[0]), np.int64)
+    columns = {"symbol": symbol.view(np.int64), "content": content.view(np.int64), "doc": doc, "tie": tie, "start": start, "n": n}
+    more = {"doc": spans[0], "tie": spans[1], "start": spans[2], "n": spans[3] - spans[2]}
+    kind = np.concatenate([np.where(several, KNOWN, LOOK), np.full(witness.sum(), LOOK), zeros + REPEAT])
+    return {"kind": kind} | {c: np.concatenate([v, v[witness], more.get(c, zeros)]) for c, v in columns.items()}
+
+
 def _merged(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
     """Ranges of words, those that touch made one."""
     order = np.lexsort((end, start, tie, doc))
@@ -259,15 +265,18 @@ def _repeated(rows: dict[str, np.ndarray], upto: int) -> dict[str, np.ndarray]:
     return {c: v[:upto][keep[:upto]] for c, v in rows.items()}
 
 
-def repeats(keyed: DataFrame, window: int) -> DataFrame:
-    """``doc, tie, start, end``: words covered by windows that also start earlier."""
-    spark = keyed.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = map_columns(keyed, _emit(window), _FOUND)
+def shared_segments(found: DataFrame, label: str) -> DataFrame:
+    """The rows of :func:`sort_out` without the segments whose symbol is found nowhere else, stored."""
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Only one row of a symbol and slice is bound to the symbol's partition; all others are spread.
     spread = F.when(F.col("kind") == LOOK, F.lit(0)).otherwise(F.xxhash64("doc", "start"))
     dealt = found.withColumn("spread", spread).repartition(n, "symbol", "spread").sortWithinPartitions("symbol", "kind")
-    rows = stored(map_columns(dealt.drop("spread"), _drop_unique, _FOUND), "segments")
+    return stored(map_columns(dealt.drop("spread"), _drop_unique, SEGMENT), label)
+
+
+def repeats(keyed: DataFrame, window: int) -> DataFrame:
+    """``doc, tie, start, end``: words covered by windows that also start earlier."""
+    rows = shared_segments(map_columns(keyed, _emit(window), SEGMENT), "segments")
     here = F.struct("doc", "tie", "start")
     segs = rows.where(F.col("kind") != REPEAT)
     firsts = segs.groupBy("symbol", "content").agg(F.min(F.struct("doc", "tie", "start", "n")).alias("first"))
