@@ -25,6 +25,7 @@ from .tokenizing import encoder
 
 #: Patterns that are fitted at most; beyond that, only every n-th shortest length starts a pattern of three.
 PATTERNS = 150_000
+#: Updates of a fit.
 ROUNDS = 300
 
 
@@ -57,7 +58,10 @@ def pieces(
 
 
 def patterns(counts: np.ndarray, capacity: int) -> np.ndarray:
-    """Rows of two or three lengths (0: none) that occur and fill ``capacity``."""
+    """Rows of two or three lengths (0: none) that occur and fill ``capacity``, one of them at least half of it.
+
+    Long pieces are what is hard to place; short ones fill the gaps of the rest.
+    """
     there = counts > 0
     there[capacity:] = False
     lengths = np.flatnonzero(there)
@@ -69,7 +73,8 @@ def patterns(counts: np.ndarray, capacity: int) -> np.ndarray:
         b = lengths[(lengths >= a) & (2 * lengths <= capacity - a)]
         b = b[there[capacity - a - b]]
         rows.append(np.stack([np.full_like(b, a), b, capacity - a - b], 1))
-    return np.concatenate(rows)
+    found = np.concatenate(rows)
+    return found[2 * found.max(1) >= capacity]
 
 
 def fit(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -101,10 +106,10 @@ class Plan:
         if len(rows):
             x = fit(rows, left)
             for i in np.argsort(-x, kind="stable"):
-                if x[i] < 0.5:
+                if x[i] < 1:
                     break
                 row = tuple(int(v) for v in rows[i] if v)
-                self._use(row, min(int(x[i] + 0.5), self._most(row, left)), left)
+                self._use(row, min(int(x[i]), self._most(row, left)), left)
         self._residuals(left, capacity)
         self.runs.sort()
 
