@@ -33,11 +33,10 @@ from millrace.functions.predicates import (
 )
 from millrace.operators.cleansing import dedupe_by_key
 from millrace.operators.projection import ACTIVE, END, START, UPDATED, add_history_columns
-from millrace.session import broadcast_limit, estimated_bytes
 
 OUTCOME = "merge_outcome"
 KEPT, EXPIRED, INSERTED = "unchanged", "expired", "inserted"
-UPDATED_ROW, INSERTED_ROW = "updated", "inserted"
+UPDATED_ROW = "updated"
 
 # Columns an update never overwrites.
 UPSERT_EXCLUDE = ("InsertedDateTime", "EffectiveStartDate")
@@ -170,15 +169,13 @@ def _pairs(columns: Iterable[str]) -> list[tuple[Column, Column]]:
     return [(_of(_SINK, c), _of(_BATCH, c)) for c in columns]
 
 
-def pick_strategy(batch: DataFrame, strategy: str = "auto") -> str:
-    """``lookup`` for batches measured to be broadcastable, else ``outer``."""
-    if strategy in ("outer", "lookup"):
-        return strategy
-    if strategy != "auto":
-        raise ValueError("strategy must be 'auto', 'outer' or 'lookup'")
-    size = estimated_bytes(batch)
-    limit = broadcast_limit(batch.sparkSession)
-    return "lookup" if size is not None and 0 <= size <= limit else "outer"
+def _looked_up_by(batch: DataFrame, strategy: str) -> DataFrame:
+    """The batch as the side that is looked up. A strategy is a join method; the rows are the same under each."""
+    if strategy in ("auto", "lookup"):
+        return batch  # the planner decides from real sizes
+    if strategy == "outer":
+        return batch.hint("merge")
+    raise ValueError("strategy must be 'auto', 'lookup' or 'outer'")
 
 
 def _differences(columns: Iterable[str]) -> list[str]:
@@ -229,44 +226,23 @@ def merge_active(
     schema = active.schema
     keys = _resolve_keys(schema, keys)
     compared = change_columns(schema.names, keys, exclude)
-    plan = pick_strategy(batch, strategy)
     keyed, keyless = prepare_batch(add_history_columns(batch, run_ts), schema, keys, duplicates, null_keys)
-    if plan == "outer":
-        result = _merge_outer(active, keyed, keys, compared, run_ts)
-    else:
-        result = _merge_lookup(active, keyed, keys, compared, run_ts)
+    result = _merge_lookup(active, keyed, keys, compared, run_ts, strategy)
     if keyless is not None:
         result = result.unionByName(keyless.withColumn(OUTCOME, F.lit(INSERTED)))
     return result
 
 
-def _merge_outer(active: DataFrame, batch: DataFrame, keys, compared, run_ts) -> DataFrame:
-    schema = active.schema
-    missing = _any_null(keys)
-    unique = assert_unique(active.filter(~missing), keys, "the table's active versions (use strategy='lookup')")
-    joined = _prefixed(unique, _SINK).join(_prefixed(batch, _BATCH), _on(keys), "full_outer")
-    in_sink = F.col(_SINK).isNotNull()
-    is_changed = in_sink & F.col(_BATCH).isNotNull() & _changed(compared)
-    # One joined row gives one row, or two when the version changed. Only the
-    # outcome's name is exploded; columns are picked afterwards.
-    outcomes = (
-        F.when(is_changed, F.array(F.lit(EXPIRED), F.lit(INSERTED)))
-        .when(in_sink, F.array(F.lit(KEPT)))
-        .otherwise(F.array(F.lit(INSERTED)))
-    )
-    told = joined.withColumn(OUTCOME, F.explode(outcomes)).withColumn(_STAMP, time_literal(run_ts))
-    merged = told.selectExpr(*[
-        f"CASE WHEN {OUTCOME} = '{INSERTED}' THEN {_text(_BATCH, n)} ELSE {staying} END AS {_name(n)}"
-        for n, staying in zip(schema.names, _stay_or_expire(schema))
-    ], OUTCOME)
-    unmatched = active.filter(missing).withColumn(OUTCOME, F.lit(KEPT))
-    return merged.unionByName(unmatched)
-
+def _merge_lookup(active: DataFrame, batch: DataFrame, keys, compared, run_ts, strategy: str) -> DataFrame:
+    """Each active version looks its key up in the batch; batch rows without an equal active version are new.
 
-def _merge_lookup(active: DataFrame, batch: DataFrame, keys, compared, run_ts) -> DataFrame:
+    A key may have any number of active versions. Both joins keep the side
+    where keys repeat on the left, which Spark can split.
+    """
     schema = active.schema
     needed = [*keys, *compared]
-    looked_up = _prefixed(active, _SINK).join(_prefixed(batch, _BATCH, needed), _on(keys), "left")
+    sought = _looked_up_by(_prefixed(batch, _BATCH, needed), strategy)
+    looked_up = _prefixed(active, _SINK).join(sought, _on(keys), "left")
     is_changed = F.col(_BATCH).isNotNull() & _changed(compared)
     told = looked_up.withColumn(OUTCOME, F.when(is_changed, F.lit(EXPIRED)).otherwise(F.lit(KEPT)))
     after = told.withColumn(_STAMP, time_literal(run_ts)).selectExpr(*[
@@ -274,9 +250,10 @@ def _merge_lookup(active: DataFrame, batch: DataFrame, keys, compared, run_ts) -
     ], OUTCOME)
     still_active = (
         _prefixed(active, _SINK, needed)
-        .join(_prefixed(batch, _BATCH, needed), _on(keys), "inner")
+        .join(sought, _on(keys), "inner")
         .filter(_same(compared))
         .select(*[_of(_BATCH, k).alias(k) for k in keys])
+        .distinct()
     )
     new = batch.join(still_active, list(keys), "left_anti").select(*schema.names)
     return after.unionByName(new.withColumn(OUTCOME, F.lit(INSERTED)))
@@ -326,7 +303,7 @@ def scd2_insert(
     keys = _resolve_keys(sink.schema, keys)
     batch = add_history_columns(batch, run_ts)
     keyed, keyless = prepare_batch(batch, sink.schema, keys, duplicates, null_keys)
-    active_keys = sink.filter(is_active(ACTIVE)).select(*keys)
+    active_keys = sink.filter(is_active(ACTIVE)).select(*keys).distinct()
     new = keyed.join(active_keys, keys, "left_anti").select(*sink.columns)
     return new if keyless is None else new.unionByName(keyless)
 
@@ -359,9 +336,7 @@ def scd2_metrics(
 
 def outcome_counts(merged: DataFrame) -> DataFrame:
     """Counts by outcome from a merge result; one partial row per task is shuffled."""
-    return merged.agg(*[
-        F.count(F.when(F.col(OUTCOME) == name, True)).alias(name) for name in (EXPIRED, INSERTED, KEPT)
-    ])
+    return merged.agg(*[count_outcome(name) for name in (EXPIRED, INSERTED, KEPT)])
 
 
 def scd1_upsert(
@@ -371,6 +346,7 @@ def scd1_upsert(
     exclude: Iterable[str] = UPSERT_EXCLUDE,
     duplicates: str | Sequence[str] = "fail",
     null_keys: str = "insert",
+    with_outcome: bool = False,
 ) -> DataFrame:
     """Update matched rows from the batch, insert the rest.
 
@@ -391,10 +367,22 @@ def scd1_upsert(
         f"CASE WHEN {_BATCH} THEN {_text(_BATCH, n)} ELSE {_text(_SINK, n)} END AS {_name(n)}"
         if n in taken else f"{_text(_SINK, n)} AS {_name(n)}"
         for n in schema.names
-    ])
+    ], f"CASE WHEN {_BATCH} THEN '{UPDATED_ROW}' ELSE '{KEPT}' END AS {OUTCOME}")
     new = keyed.join(present.select(*keys).distinct(), keys, "left_anti").select(*schema.names)
-    result = updated.unionByName(new).unionByName(sink.filter(missing))
-    return result if keyless is None else result.unionByName(keyless)
+    added = new if keyless is None else new.unionByName(keyless)
+    result = updated.unionByName(added.withColumn(OUTCOME, F.lit(INSERTED)))
+    result = result.unionByName(sink.filter(missing).withColumn(OUTCOME, F.lit(KEPT)))
+    return result if with_outcome else result.drop(OUTCOME)
+
+
+def scd1_metrics(sink: DataFrame, batch: DataFrame, keys: Sequence[str], **options) -> DataFrame:
+    """One row: how many rows an upsert updates, inserts and leaves unchanged."""
+    merged = scd1_upsert(sink, batch, keys, with_outcome=True, **options)
+    return merged.agg(*[count_outcome(name) for name in (UPDATED_ROW, INSERTED, KEPT)])
+
+
+def count_outcome(name: str) -> Column:
+    return F.count(F.when(F.col(OUTCOME) == name, True)).alias(name)
 
 
 def append_all(sink: DataFrame, batch: DataFrame, run_ts=None) -> DataFrame:
@@ -452,6 +440,6 @@ def merge_into(
 __all__ = [
     "ACTIVE", "END", "EXPIRED", "INSERTED", "KEPT", "OUTCOME", "START", "UPSERT_EXCLUDE",
     "align", "append_all", "assert_unique", "current_versions", "find_changes", "merge_active",
-    "merge_into", "outcome_counts", "pick_strategy", "prepare_batch", "quarantined",
-    "retention_purge", "scd1_upsert", "scd2_expire", "scd2_insert", "scd2_merge", "scd2_metrics",
+    "merge_into", "outcome_counts", "prepare_batch", "quarantined",
+    "count_outcome", "UPDATED_ROW", "retention_purge", "scd1_metrics", "scd1_upsert", "scd2_expire", "scd2_insert", "scd2_merge", "scd2_metrics",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -20,7 +20,7 @@ from millrace.sinks.history_table import HistoryTable, MergeCounts, history_sche
 from millrace.sinks.state import HwmState
 from millrace.sinks.targets import write_target
 from millrace.sources.files import empty_like, read_files
-from millrace.sources.incremental import RawEntity, incremental_read, read_entity_files
+from millrace.sources.incremental import RawEntity, entity_paths, incremental_read, read_entity_files
 
 logger = logging.getLogger(__name__)
 
@@ -45,6 +45,8 @@ class JobConfig:
     null_keys: str = "insert"
     retention_days: int | None = None
     properties_root: str | None = None
+    #: Further sources of the same target, each with the name its mark is kept under.
+    more_sources: tuple[tuple[RawEntity, str | None], ...] = ()
     #: Reads sources that are not files, e.g. ``lambda spark, mark: read_jdbc(…)``.
     reader: Callable[[SparkSession, str], DataFrame | None] | None = None
 
@@ -58,7 +60,7 @@ class JobConfig:
     def from_documents(
         entity: str,
         sink: Mapping | str,
-        source: Mapping | str,
+        source: Mapping | str | Sequence[Mapping | str],
         raw_root: str,
         target_root: str,
         state_path: str,
@@ -67,23 +69,34 @@ class JobConfig:
     ) -> "JobConfig":
         """From the sink's and the source's properties documents.
 
-        Retention is read from the source document; override it with
-        ``retention_days``.
+        A target with several source entities takes their documents in the same
+        order; each source keeps a mark of its own. Retention is read from the first source
+        document; override it with ``retention_days``.
         """
-        sink_doc, source_doc = load_properties(sink, spark), load_properties(source, spark)
+        sink_doc = load_properties(sink, spark)
+        many = [source] if isinstance(source, (str, Mapping)) else list(source)
+        source_docs = [load_properties(s, spark) for s in many]
+        source_doc = source_docs[0]
         cleanse = lookup(sink_doc, "Extended.Cleanse", {})
         days = lookup(source_doc, "System.AllowedRetention")
         keep = days if as_flag(lookup(source_doc, "System.IsHousekeepingEnabled")) else None
         sources = lookup(cleanse, "SourceEntities", ())
-        source_path = f"{raw_root.rstrip('/')}/{lookup(source_doc, 'System.EntityPath', '')}".rstrip("/")
+        if len(source_docs) > 1 and len(sources) != len(source_docs):
+            raise ValueError(f"{len(source_docs)} source documents for {len(sources)} source entities")
+        raw = [
+            RawEntity(
+                path=f"{raw_root.rstrip('/')}/{lookup(doc, 'System.EntityPath', '')}".rstrip("/"),
+                name=lookup(doc, "System.EntityName", ""),
+                fmt=FileFormat.from_document(doc),
+            )
+            for doc in source_docs
+        ]
         values = dict(
             entity=entity,
             catalogue=catalogue_from(sink_doc, entity),
-            source=RawEntity(
-                path=source_path,
-                name=lookup(source_doc, "System.EntityName", ""),
-                fmt=FileFormat.from_document(source_doc),
-            ),
+            source=raw[0],
+            more_sources=tuple((r, lookup(s, "EFQN")) for r, s in zip(raw[1:], sources[1:])),
+            process=lookup(cleanse, "TargetProcess") or "scd2",
             target_path=f"{target_root.rstrip('/')}/{lookup(sink_doc, 'System.EntityPath', entity)}",
             state_path=state_path,
             source_name=lookup(sources[0], "EFQN") if sources else lookup(cleanse, "SourceEntityName"),
@@ -117,8 +130,7 @@ def read_source(spark: SparkSession, config: JobConfig, mark: str, run_ts: str)
     if config.policy.kind == "audit":
         # The source table's own audit columns decide, so filter at the scan.
         return filter_hwm(read_files(spark, config.source.path, config.source.fmt), config.policy, mark)
-    path = f"{config.source.path}{config.path_filter or ''}"
-    return read_entity_files(spark, config.source, path)
+    return read_entity_files(spark, config.source, entity_paths(spark, config.source, config.path_filter))
 
 
 def cleanse(df: DataFrame, config: JobConfig, run_ts: str) -> DataFrame:
@@ -186,41 +198,68 @@ def stage(raw: DataFrame, config: JobConfig, mark: str, run_ts: str, target_colu
 
 
 def run_job(spark: SparkSession, config: JobConfig, run_ts: str | datetime | None = None) -> JobResult:
-    """One load from read to stored mark.
+    """One load from read to stored mark, of all sources one after the other.
 
-    The mark is written last: a crash before it leads to a repeat, which the
-    merge absorbs. ``run_ts`` is the one time used for audit, start and end
-    times; it is taken before the read.
+    The next mark becomes visible together with the rows it stands for, and is stored for other
+    readers afterwards: a load that is repeated after a crash between the two finds nothing left to do.
+    ``run_ts`` is the one time used for audit, start and end times; it is taken before the read.
     """
     if run_ts is None:
         run_ts = datetime.now(timezone.utc)
     stamp = run_ts.isoformat() if isinstance(run_ts, datetime) else str(run_ts)
-    state = HwmState(spark, config.state_path)
-    mark = state.read(config.entity, config.source_name)
     table = target_table(spark, config)
-    result = JobResult(config.entity, hwm=mark)
+    result = JobResult(config.entity)
+    for source, name in ((config.source, config.source_name), *config.more_sources):
+        _load_source(spark, replace(config, source=source, source_name=name, more_sources=()), table, stamp, result)
+    purge(table, config, stamp, result)
+    logger.info("load of %s: %s", config.entity, result)
+    return result
 
+
+def _progress_key(config: JobConfig) -> str:
+    return f"{config.entity}|{config.source_name or ''}"
+
+
+def current_mark(spark: SparkSession, config: JobConfig, table: HistoryTable) -> str:
+    """The stored mark, or the one published with the table's rows where the load that did so could not store it."""
+    state = HwmState(spark, config.state_path)
+    note = table.published(_progress_key(config))
+    if note and not state.has(config.entity, config.source_name, note["written_at"]):
+        return state.write(config.entity, note["hwm"], note["rows"], config.source_name, note["written_at"])
+    return state.read(config.entity, config.source_name)
+
+
+def _load_source(spark: SparkSession, config: JobConfig, table: HistoryTable, stamp: str, result: JobResult) -> None:
+    mark = current_mark(spark, config, table)
+    result.hwm = mark
     raw = read_source(spark, config, mark, stamp)
-    if raw is not None:
-        staged = stage(raw, config, mark, stamp, table.schema.names)
-        result.rows_read, result.rows_staged = staged.rows_read, staged.rows
+    if raw is None:
+        return
+    staged = stage(raw, config, mark, stamp, table.schema.names)
+    try:
+        result.rows_read += staged.rows_read
+        result.rows_staged += staged.rows
         if staged.rows:
             batch = run_actions(staged.frame, config)
             known = None if config.actions else staged.rows
-            result.counts = apply_batch(batch, table, config, stamp, known)
-            next_mark = stamp if config.policy.next == "run_ts" else staged.next_mark
-            result.hwm = state.write(
-                config.entity, next_mark, result.counts.affected, config.source_name, stamp
-            )
+            next_mark = stamp if config.policy.next == "run_ts" else staged.next_mark or mark
+            note = {"hwm": next_mark, "rows": staged.rows, "written_at": stamp}
+            counts = apply_batch(batch, table, config, stamp, known, {_progress_key(config): note})
+            result.counts = result.counts + counts
+            state = HwmState(spark, config.state_path)
+            result.hwm = state.write(config.entity, next_mark, counts.affected, config.source_name, stamp)
+    finally:
         staged.discard()
+
+
+def purge(table: HistoryTable, config: JobConfig, stamp: str, result: JobResult) -> None:
+    """Retention, where the job asks for it."""
     if config.retention_days:
         try:
             result.purged = table.purge(config.retention_days, stamp)
         except Exception as error:  # retention must not fail a finished load
             logger.warning("retention skipped for %s: %s", config.entity, error)
             result.purge_error = str(error)
-    logger.info("load of %s: %s", config.entity, result)
-    return result
 
 
 def run_actions(df: DataFrame, config: JobConfig) -> DataFrame:
@@ -231,14 +270,15 @@ def run_actions(df: DataFrame, config: JobConfig) -> DataFrame:
 
 
 def apply_batch(
-    batch: DataFrame, table: HistoryTable, config: JobConfig, run_ts: str, known_rows: int | None = None
+    batch: DataFrame, table: HistoryTable, config: JobConfig, run_ts: str, known_rows: int | None = None,
+    progress: dict | None = None,
 ) -> MergeCounts:
     """Write a cleansed batch to the target by the job's process."""
     options = {}
     if config.process.lower() in ("scd2", "merge", "upsert"):
         options = {"duplicates": config.duplicates, "null_keys": config.null_keys}
     keys = config.catalogue.natural_key
-    return write_target(batch, table, config.process, keys, run_ts, known_rows, **options)
+    return write_target(batch, table, config.process, keys, run_ts, known_rows, progress, **options)
 
 
 def empty_batch(spark: SparkSession, config: JobConfig) -> DataFrame:

@@ -45,33 +45,3 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; never reused between runs."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def materialise(df, label: str = "stage"):
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    Cuts the lineage in a way that survives lost executors, and gives the
-    planner real sizes, so broadcast decisions rest on measured bytes.
-    """
-    spark = df.sparkSession
-    path = work_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def estimated_bytes(df) -> int | None:
-    """The optimizer's size estimate, or None when it cannot be asked."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 when off)."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if text.endswith(suffix) and text[: -len(suffix)].strip().isdigit():
-            return int(text[: -len(suffix)]) * units[suffix]
-    return int(text)

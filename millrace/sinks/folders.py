@@ -44,3 +44,8 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 def remove(spark: SparkSession, path: str) -> None:
     _system(spark, path).delete(_path(spark, path), True)
+
+
+def set_time(spark: SparkSession, path: str, milliseconds: int) -> None:
+    """Sets a file's modification time, where the store keeps one that can be set."""
+    _system(spark, path).setTimes(_path(spark, path), milliseconds, -1)

@@ -25,7 +25,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from millrace.operators.merge import EXPIRED, INSERTED, KEPT, OUTCOME, merge_active
+from millrace.operators.merge import EXPIRED, INSERTED, KEPT, OUTCOME, count_outcome, merge_active
 from millrace.operators.projection import ACTIVE, END, HISTORY_COLUMNS, INSERTED as INSERTED_TS, START, UPDATED
 from millrace.sinks import folders
 
@@ -41,10 +41,17 @@ class MergeCounts:
     expired: int = 0
     inserted: int = 0
     unchanged: int = 0
+    updated: int = 0
 
     @property
     def affected(self) -> int:
-        return self.expired + self.inserted
+        return self.expired + self.inserted + self.updated
+
+    def __add__(self, other: "MergeCounts") -> "MergeCounts":
+        return MergeCounts(
+            self.expired + other.expired, self.inserted + other.inserted,
+            self.unchanged + other.unchanged, self.updated + other.updated,
+        )
 
 
 def history_schema(schema: T.StructType, audit: bool = True) -> T.StructType:
@@ -110,6 +117,10 @@ class HistoryTable:
     def version(self) -> int:
         return self._require()["version"]
 
+    def published(self, key: str) -> dict | None:
+        """The progress note stored under ``key`` by the write that made it true; None if there is none."""
+        return self._require().get("progress", {}).get(key)
+
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromJson(self._require()["schema"])
@@ -188,8 +199,8 @@ class HistoryTable:
             active.append(f"{base}/{ACTIVE}=true")
         return {**pointer, "version": version, "active": active, "closed": closed}
 
-    def _store(self, rows: DataFrame, keep_active: bool, keep_closed: bool) -> None:
-        pointer = self._require()
+    def _store(self, rows: DataFrame, keep_active: bool, keep_closed: bool, progress: dict | None = None) -> None:
+        pointer = _with_progress(self._require(), progress)
         version = pointer["version"] + 1
         named = rows.select(*T.StructType.fromJson(pointer["schema"]).names)
         base = self._write(named, version, many_months=not keep_closed)
@@ -197,28 +208,30 @@ class HistoryTable:
             pointer = {**pointer, "closed": {}}
         self._publish(self._advance(pointer, version, base, keep_active))
 
-    def replace(self, rows: DataFrame) -> None:
+    # ``progress`` holds notes, one for each key, that become visible together with the rows: how far
+    # a source has been loaded. Whoever repeats a load after a crash finds them here.
+    def replace(self, rows: DataFrame, progress: dict | None = None) -> None:
         """All versions anew, e.g. a first load from an existing table."""
-        self._store(rows, keep_active=False, keep_closed=False)
+        self._store(rows, keep_active=False, keep_closed=False, progress=progress)
 
-    def replace_active(self, rows: DataFrame) -> None:
+    def replace_active(self, rows: DataFrame, progress: dict | None = None) -> None:
         """Active versions anew; closed ones stay."""
-        self._store(rows, keep_active=False, keep_closed=True)
+        self._store(rows, keep_active=False, keep_closed=True, progress=progress)
 
-    def append(self, rows: DataFrame) -> None:
+    def append(self, rows: DataFrame, progress: dict | None = None) -> None:
         """Add versions; nothing stored is rewritten."""
-        self._store(rows, keep_active=True, keep_closed=True)
+        self._store(rows, keep_active=True, keep_closed=True, progress=progress)
 
-    def merge(self, batch: DataFrame, keys: Sequence[str], run_ts=None, **options) -> MergeCounts:
+    def merge(
+        self, batch: DataFrame, keys: Sequence[str], run_ts=None, progress: dict | None = None, **options
+    ) -> MergeCounts:
         """Merge a batch of current rows; one write job also yields the counts."""
-        pointer = self._require()
+        pointer = _with_progress(self._require(), progress)
         version = pointer["version"] + 1
         active = self._load_active(pointer)
         merged = merge_active(active, batch, keys, run_ts, **options)
         seen = Observation(f"merge-{version}")
-        merged = merged.observe(seen, *[
-            F.count(F.when(F.col(OUTCOME) == name, True)).alias(name) for name in (EXPIRED, INSERTED, KEPT)
-        ])
+        merged = merged.observe(seen, *[count_outcome(name) for name in (EXPIRED, INSERTED, KEPT)])
         base = self._write(merged.drop(OUTCOME), version)
         counts = seen.get
         self._publish(self._advance(pointer, version, base))
@@ -280,6 +293,10 @@ class HistoryTable:
         return removed
 
 
+def _with_progress(pointer: dict, progress: dict | None) -> dict:
+    return {**pointer, "progress": {**pointer.get("progress", {}), **(progress or {})}}
+
+
 def _as_date(run_ts) -> date:
     if run_ts is None:
         return date.today()

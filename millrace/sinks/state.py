@@ -30,6 +30,11 @@ class HwmState:
         row = latest_marks(rows).head()
         return row["hwm"] if row else FIRST_MARK
 
+    def has(self, entity: str, source: str | None, written_at) -> bool:
+        """Whether a mark of that time, or a later one, is stored."""
+        rows = self.frame().filter((F.col("entity") == entity) & F.col("source").eqNullSafe(F.lit(source)))
+        return not rows.filter(F.col("written_at") >= time_literal(written_at)).isEmpty()
+
     def for_role(self, role: str, entity: str, source: str | None = None, run_ts=None) -> str:
         """A source's mark is the run's time, a sink's is stored, others start over."""
         name = role.strip().lower()

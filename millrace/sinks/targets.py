@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from millrace.catalogue import Catalogue, FileFormat
-from millrace.operators.merge import align, scd1_upsert
+from millrace.operators.merge import INSERTED, KEPT, OUTCOME, UPDATED_ROW, align, count_outcome, scd1_upsert
 from millrace.operators.projection import add_history_columns
 from millrace.sinks.history_table import HistoryTable, MergeCounts
 from millrace.sources.delimited import write_delimited
@@ -53,6 +53,7 @@ def write_target(
     keys: Sequence[str] = (),
     run_ts=None,
     known_rows: int | None = None,
+    progress: dict | None = None,
     **options,
 ) -> MergeCounts:
     """Apply a change frame to a history table by process name.
@@ -65,20 +66,22 @@ def write_target(
         return MergeCounts()
     name = process.strip().lower()
     if name in HISTORY_NAMES:
-        return table.merge(df, keys, run_ts, **options)
+        return table.merge(df, keys, run_ts, progress=progress, **options)
     staged = align(add_history_columns(df, run_ts), table.schema)
     if name in OVERWRITE_NAMES:
         counted, seen = _observed(staged)
-        table.replace(counted)
+        table.replace(counted, progress)
         return MergeCounts(inserted=seen.get["rows"])
     if name in APPEND_NAMES:
         counted, seen = _observed(staged)
-        table.append(counted)
+        table.append(counted, progress)
         return MergeCounts(inserted=seen.get["rows"])
     if name in UPSERT_NAMES:
-        counted, seen = _observed(df)
-        table.replace_active(scd1_upsert(table.active(), add_history_columns(counted, run_ts), keys, **options))
-        return MergeCounts(inserted=seen.get["rows"])
+        merged = scd1_upsert(table.active(), add_history_columns(df, run_ts), keys, with_outcome=True, **options)
+        seen = Observation()
+        merged = merged.observe(seen, *[count_outcome(name) for name in (UPDATED_ROW, INSERTED, KEPT)])
+        table.replace_active(merged.drop(OUTCOME), progress)
+        return MergeCounts(inserted=seen.get[INSERTED], unchanged=seen.get[KEPT], updated=seen.get[UPDATED_ROW])
     raise ValueError(f"unknown target process {process!r}")
 
 

@@ -49,13 +49,26 @@ def read_delimited(
     if path_filter:
         reader = reader.option("pathGlobFilter", path_filter).option("recursiveFileLookup", "true")
     if columns:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+        # A file whose header names other columns, or in another order, stops the read.
+        reader = reader.schema(", ".join(f"`{c}` string" for c in columns)).option("enforceSchema", "false")
     frame = reader.csv(listed(paths))
     if not lineage:
         return frame
     return frame.select("*", *[F.col(f"_metadata.{name}") for name in LINEAGE])
 
 
+def check_headers(spark: SparkSession, paths: Paths, fmt: FileFormat, lineage: bool = True, **options: str) -> DataFrame:
+    """Files as ``read_delimited`` reads them, with every file's header checked against the first one's.
+
+    Without a schema Spark takes the columns from one file and applies them to all by
+    position. Here the names are given back to it as a schema, and it stops at a file that differs.
+    """
+    if not fmt.header:
+        return read_delimited(spark, paths, fmt, lineage=lineage, **options)
+    names = read_delimited(spark, paths, fmt, lineage=False, **options).columns
+    return read_delimited(spark, paths, fmt, columns=names, lineage=lineage, **options)
+
+
 def headers_by_file(spark: SparkSession, paths: Paths) -> DataFrame:
     """``header``, ``paths``: the first line of each file, files grouped by it.
 

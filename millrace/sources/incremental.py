@@ -11,7 +11,8 @@ from millrace.catalogue import FileFormat
 from millrace.functions.columns import time_literal
 from millrace.operators.projection import add_extra_columns
 from millrace.operators.watermark import OLDEST_FILE_MARK
-from millrace.sources.delimited import read_delimited, read_many
+from millrace.sinks import folders
+from millrace.sources.delimited import check_headers, read_many
 from millrace.sources.files import read_files
 from millrace.sources.multiline import read_multiline
 from millrace.sources.processing_log import file_list, files_to_process, log_path, read_log
@@ -39,15 +40,35 @@ def newer_than(df: DataFrame, mark: str | None) -> DataFrame:
     return df.filter(F.col("file_modification_time") > time_literal(mark or OLDEST_FILE_MARK))
 
 
-def read_entity_files(spark: SparkSession, entity: RawEntity, paths: str | Sequence[str]) -> DataFrame:
-    """Files of an entity by its format, repaired where the format says so, with lineage columns."""
+def entity_paths(spark: SparkSession, entity: RawEntity, path_filter: str | None = None) -> str | list[str]:
+    """What to read of an entity: its folder or a glob below it, without a processing log that lies beside the files."""
+    if path_filter:
+        return f"{entity.path}{path_filter}"
+    names = folders.children(spark, entity.path)
+    if not any(name.endswith(".meta") for name in names):
+        return entity.path
+    return [f"{entity.path}/{name}" for name in names if not name.endswith(".meta") and name[0] not in "._"]
+
+
+def read_entity_files(
+    spark: SparkSession, entity: RawEntity, paths: str | Sequence[str], by_name: bool = False
+) -> DataFrame:
+    """Files of an entity by its format, repaired where the format says so, with lineage columns.
+
+    Files of delimited text must agree on their columns and their order, else the
+    read stops; with ``by_name`` listed files are united by column name.
+    """
+    # Files named one by one keep the partition columns of the entity's folders.
+    options = {} if isinstance(paths, str) else {"basePath": entity.path}
     if entity.fmt.nul_interleaved:
         return read_repaired(spark, paths, entity.fmt.delimiter)
     if entity.fmt.read_format in _DELIMITED:
         if entity.fmt.multiline and entity.fmt.split_multiline:
             return read_multiline(spark, paths, entity.fmt)
-        return read_delimited(spark, paths, entity.fmt)
-    return read_files(spark, paths, entity.fmt, lineage=True)
+        if by_name and not isinstance(paths, str):
+            return read_many(spark, paths, entity.fmt, by_name=True)
+        return check_headers(spark, paths, entity.fmt, **options)
+    return read_files(spark, paths, entity.fmt, lineage=True, **options)
 
 
 def incremental_read(
@@ -72,8 +93,5 @@ def incremental_read(
         files = file_list(files_to_process(read_log(spark, entity.log_folder), entity.path, hwm, upper))
         if not files:
             return None
-        if by_name and entity.fmt.read_format in _DELIMITED and not entity.fmt.nul_interleaved:
-            frame = read_many(spark, files, entity.fmt, by_name=True)
-        else:
-            frame = read_entity_files(spark, entity, files)
+        frame = read_entity_files(spark, entity, files, by_name)
     return add_extra_columns(frame, extra_columns, run_ts)

@@ -74,10 +74,13 @@ def read_multiline(
     names = list(columns) if columns else read_delimited(spark, paths, fmt, lineage=False).columns
     lines = read_blocks(spark, listed(paths), "\n", F.col("value")).withColumn("quotes", _quotes(fmt.escape))
     records = _records(lines).withColumn("segment", F.regexp_replace("segment", "\r$", ""))
-    if fmt.header:
-        records = records.filter(~F.col("first"))
-    records = records.filter(F.length(F.trim("segment")) > 0)
     options = {k: v for k, v in csv_options(fmt).items() if k not in ("header", "inferSchema")}
     schema = ", ".join(f"`{name}` string" for name in names)
+    if fmt.header:
+        header = F.from_csv("segment", schema, options)
+        differs = F.lower(F.concat_ws(fmt.delimiter, *[header[n] for n in names])) != F.lit(fmt.delimiter.join(names).lower())
+        stop = F.raise_error(F.concat(F.lit("a file's header differs from the expected columns: "), F.col("segment")))
+        records = records.filter(F.when(F.col("first"), F.when(differs, stop).isNotNull()).otherwise(True))
+    records = records.filter(F.length(F.trim("segment")) > 0)
     parsed = records.select(F.from_csv("segment", schema, options).alias("record"), *LINEAGE)
     return parsed.select("record.*", *(LINEAGE if lineage else ()))

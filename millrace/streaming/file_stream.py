@@ -11,22 +11,28 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.projection import add_history_columns, order_columns
-from millrace.plans.job import JobConfig, apply_batch, cleanse, run_actions, target_table
-from millrace.session import work_path
-from millrace.sinks import folders
-from millrace.sources.delimited import csv_options, read_delimited
+from millrace.plans.job import JobConfig, JobResult, apply_batch, current_mark, purge, run_actions, stage, target_table
+from millrace.sinks.state import HwmState
+from millrace.sources.delimited import csv_options
+from millrace.sources.incremental import read_entity_files
 
 
 def open_stream(spark: SparkSession, config: JobConfig, max_files: int | None = None) -> DataFrame:
-    """New delimited files of the source as a stream of string rows with lineage columns."""
-    path = f"{config.source.path}{config.path_filter or ''}"
-    columns = read_delimited(spark, path, config.source.fmt, lineage=False).columns
-    reader = spark.readStream.options(**csv_options(config.source.fmt))
-    reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+    """New files of the source as a stream in the source's format, with lineage columns.
+
+    Repaired and split files are put together from blocks of several tasks, which a stream cannot do.
+    """
+    fmt, path = config.source.fmt, f"{config.source.path}{config.path_filter or ''}"
+    if fmt.nul_interleaved or (fmt.multiline and fmt.split_multiline):
+        raise ValueError("files to be repaired or split cannot be read as a stream; use run_job")
+    known = read_entity_files(spark, config.source, path)
+    schema = known.drop("file_name", "file_modification_time").schema
+    reader = spark.readStream.format(fmt.read_format).schema(schema)
+    if fmt.read_format in ("csv", "txt", "dat", "tsv"):
+        reader = reader.format("csv").options(**csv_options(fmt)).option("enforceSchema", "false")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path).select("*", "_metadata.file_name", "_metadata.file_modification_time")
+    return reader.load(path).select("*", "_metadata.file_name", "_metadata.file_modification_time")
 
 
 def run_stream(
@@ -39,21 +45,35 @@ def run_stream(
 ) -> StreamingQuery:
     """Merge new files into the target, then stop (or keep polling every ``continuous``).
 
-    A batch that is replayed after a failure finds its rows unchanged in the
-    target, so the merge is safe to repeat.
+    A batch's number is published with its rows, so a batch that is replayed after a
+    failure is passed over. Each batch stores a mark (the run's time) and its rows, and retention
+    runs after it, as in :func:`run_job`. Which files are new is the checkpoint's to say: date marks apply to
+    the rows of each batch.
     """
+    if config.more_sources:
+        raise ValueError("a stream reads one source; start one for each")
     table = target_table(spark, config)
     names = table.schema.names
+    key = f"stream|{config.entity}|{config.source_name or ''}|{checkpoint}"
 
     def merge_batch(raw: DataFrame, batch_id: int) -> None:
+        done = table.published(key)
+        if done and done["batch"] >= batch_id:
+            return
         stamp = run_ts or datetime.now(timezone.utc).isoformat()
-        session = raw.sparkSession
-        frame = order_columns(add_history_columns(cleanse(raw, config, stamp), stamp), names)
-        path = work_path(session, f"stream-{batch_id}")
-        frame.write.parquet(path)
-        staged = session.read.schema(frame.schema).parquet(path)
-        apply_batch(run_actions(staged, config), table, config, stamp)
-        folders.remove(session, path)
+        staged = stage(raw, config, current_mark(raw.sparkSession, config, table), stamp, names)
+        try:
+            if staged.rows:
+                next_mark = stamp if config.policy.next == "run_ts" else staged.next_mark
+                counts = apply_batch(
+                    run_actions(staged.frame, config), table, config, stamp, progress={key: {"batch": batch_id}}
+                )
+                HwmState(raw.sparkSession, config.state_path).write(
+                    config.entity, next_mark, counts.affected, config.source_name, stamp
+                )
+        finally:
+            staged.discard()
+        purge(table, config, stamp, JobResult(config.entity))
 
     writer = open_stream(spark, config, max_files).writeStream.foreachBatch(merge_batch)
     writer = writer.option("checkpointLocation", checkpoint)

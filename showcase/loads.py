@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,10 +17,13 @@ from millrace.operators.watermark import (
     max_modified,
     next_hwm,
 )
-from millrace.plans.job import JobConfig, run_job
+from millrace.plans.job import JobConfig, JobResult, run_job
 from millrace.session import work_path
+from millrace.sinks import folders
 from millrace.sinks.history_table import HistoryTable
+from millrace.sinks.state import HwmState
 from millrace.sources import RawEntity, append_log, files_to_process, read_log, write_delimited
+from millrace.sources.incremental import read_entity_files
 from millrace.streaming import run_stream
 from showcase.fixtures import CUT, NTZ, raw_orders
 from showcase.registry import query, table
@@ -88,19 +92,6 @@ def hwm_state(spark: SparkSession, folder: str) -> DataFrame:
     return latest_marks(state)
 
 
-@query("load_counts", """
-SELECT count(*) AS raw_rows, count(*) FILTER (CAST(ts AS DATE) > DATE '2024-01-15') AS new_rows,
-       CAST(max(CAST(ts AS DATE)) FILTER (CAST(ts AS DATE) > DATE '2024-01-15') AS VARCHAR) AS next_hwm
-FROM events""")
-def load_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """What a load counts, in one aggregate instead of one job per count."""
-    new = F.col("fileDate") > F.lit(_MARK[:10]).cast("date")
-    return _dated_events(spark, folder).agg(
-        F.count(F.lit(1)).alias("raw_rows"), F.count_if(new).alias("new_rows"),
-        F.max(F.when(new, F.col("fileDate"))).cast("string").alias("next_hwm"),
-    )
-
-
 def _event_log(spark: SparkSession, folder: str) -> DataFrame:
     """One log row per day of events and type; quiet groups count as empty files."""
     rows = table(spark, folder, "events").groupBy(F.col("ts").cast("date").alias("day"), "event_type").agg(
@@ -185,19 +176,154 @@ def _config(spark: SparkSession, **overrides) -> JobConfig:
     return replace(config, **overrides)
 
 
+_TIMES = (_FIRST_TS, _SECOND_TS, "2024-03-01 06:00:00")
+
+
+def _three_loads(spark: SparkSession, folder: str, **overrides) -> tuple[JobConfig, list[JobResult]]:
+    """Two drops and a load without a new file, with one state and one path filter."""
+    config = _config(spark, **overrides)
+    results = []
+    for number, stamp in enumerate(_TIMES, start=1):
+        if number <= 2:
+            write_delimited(_drops(spark, folder)[number - 1], f"{config.source.path}/drop={number}", _FORMAT)
+        results.append(run_job(spark, config, stamp))
+        # File times are compared with the run's time, which these loads set by hand.
+        _set_file_times(spark, config.source.path, stamp)
+    return config, results
+
+
+def _set_file_times(spark: SparkSession, path: str, stamp: str) -> None:
+    """What has been loaded was modified before the load, what comes next after it."""
+    moment = int(datetime.fromisoformat(f"{stamp}+00:00").timestamp() * 1000) - 1000
+    for folder in folders.children(spark, path):
+        for name in folders.children(spark, f"{path}/{folder}"):
+            folders.set_time(spark, f"{path}/{folder}/{name}", moment)
+
+
 @query("history_job", _LOADED_SQL)
 def history_job(spark: SparkSession, folder: str) -> DataFrame:
-    """Two configured loads, from files to the stored history table."""
-    config = _config(spark, policy=HwmPolicy("date", "OrderDate", next="run_ts"))
-    first, second = _drops(spark, folder)
-    write_delimited(first, f"{config.source.path}/drop=1", _FORMAT)
+    """Three configured loads by file time, from files to the stored history table; the third finds nothing new."""
+    config, _ = _three_loads(spark, folder)
+    return _zoneless(HistoryTable(spark, config.target_path).read())
+
+
+_COUNTED_SQL = f"""WITH counted AS (
+  SELECT count(*) AS n, count(*) FILTER (o_orderdate < TIMESTAMP '{CUT}') AS early,
+         count(*) FILTER (o_orderdate < TIMESTAMP '{CUT}' AND o_orderstatus = 'F') AS again FROM orders)"""
+
+
+@query("load_marks", f"""{_COUNTED_SQL}
+SELECT 'cleansed.sales.Orders' AS entity, '{_FIRST_TS}' AS hwm, early AS rows_affected, TIMESTAMP '{_FIRST_TS}' AS written_at FROM counted
+UNION ALL
+SELECT 'cleansed.sales.Orders', '{_SECOND_TS}', n - early + 2 * again, TIMESTAMP '{_SECOND_TS}' FROM counted""")
+def load_marks(spark: SparkSession, folder: str) -> DataFrame:
+    """The marks and rows that three loads stored; a load without new rows stores none."""
+    config, _ = _three_loads(spark, folder)
+    return _zoneless(HwmState(spark, config.state_path).frame().drop("source"))
+
+
+@query("load_counts", f"""{_COUNTED_SQL}
+SELECT 1 AS load, early AS rows_read, early AS rows_staged, 0::BIGINT AS expired, early AS inserted, 0::BIGINT AS unchanged FROM counted
+UNION ALL SELECT 2, n, n, again, n - early + again, early - again FROM counted
+UNION ALL SELECT 3, 0, 0, 0, 0, 0""")
+def load_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of three loads counted while it wrote."""
+    _, results = _three_loads(spark, folder)
+    rows = [
+        (n, r.rows_read, r.rows_staged, r.counts.expired, r.counts.inserted, r.counts.unchanged)
+        for n, r in enumerate(results, start=1)
+    ]
+    kind = "load int, rows_read long, rows_staged long, expired long, inserted long, unchanged long"
+    return spark.createDataFrame(rows, kind)
+
+
+@query("append_repeated", f"""{_LOADED_SQL.split("SELECT \"OrderReference\"")[0]}
+SELECT "OrderReference", "CustomerReference", "OrderDate", status AS "Status", "Price", "hashedKey",
+       TIMESTAMP '{_FIRST_TS}' AS "InsertedDateTime", TIMESTAMP '{_FIRST_TS}' AS "UpdatedDateTime",
+       TIMESTAMP '{_FIRST_TS}' AS "EffectiveStartDate", CAST(NULL AS TIMESTAMP) AS "EffectiveEndDate", TRUE AS "IsActive"
+FROM cleansed WHERE early""")
+def append_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """An append is loaded, its stored mark is lost, and the load is repeated: no row comes twice."""
+    config = _config(spark, process="append")
+    write_delimited(_drops(spark, folder)[0], f"{config.source.path}/drop=1", _FORMAT)
+    _set_file_times(spark, config.source.path, "2023-12-31 00:00:00")
     run_job(spark, config, _FIRST_TS)
-    later = replace(config, path_filter="/drop=2", state_path=f"{config.state_path}-2")
-    write_delimited(second, f"{config.source.path}/drop=2", _FORMAT)
-    run_job(spark, later, _SECOND_TS)
+    run_job(spark, replace(config, state_path=f"{config.state_path}-lost"), _SECOND_TS)
     return _zoneless(HistoryTable(spark, config.target_path).read())
 
 
+def _documents(process: str | None, *names: str) -> tuple[dict, list[dict]]:
+    cleanse = dict(_JOB_DOCUMENT["Extended"]["Cleanse"], SourceEntities=[{"EFQN": n} for n in names], SourceFilePathFilter="/*")
+    if process:
+        cleanse["TargetProcess"] = process
+    sink = dict(_JOB_DOCUMENT, Extended={"Cleanse": cleanse}, System={"EntityPath": "cleansed/orders"})
+    layout = {"Extension": ".csv", "ColumnDelimiter": "|", "Header": "true", "MultiLine": "false"}
+    return sink, [{"System": {"EntityPath": n, "EntityName": n, "FileFormat": layout}} for n in names]
+
+
+def _from_documents(spark: SparkSession, process: str | None, *names: str) -> JobConfig:
+    root = work_path(spark, "load")
+    sink, sources = _documents(process, *names)
+    return JobConfig.from_documents(
+        "cleansed.sales.Orders", sink, sources, raw_root=f"{root}/raw", target_root=f"{root}/lake", state_path=f"{root}/state"
+    )
+
+
+@query("job_upsert_from_document", f"""{_LOADED_SQL.split("SELECT \"OrderReference\"")[0]}
+SELECT "OrderReference", CASE WHEN status = 'F' THEN 'S' ELSE status END AS "Status",
+       CASE WHEN early THEN TIMESTAMP '{_FIRST_TS}' ELSE TIMESTAMP '{_SECOND_TS}' END AS "InsertedDateTime",
+       TIMESTAMP '{_SECOND_TS}' AS "UpdatedDateTime", TRUE AS "IsActive" FROM cleansed""")
+def job_upsert_from_document(spark: SparkSession, folder: str) -> DataFrame:
+    """The document's target process decides: rows are updated in place."""
+    config = _from_documents(spark, "Merge", "orders")
+    for number, (drop, stamp) in enumerate(zip(_drops(spark, folder), _TIMES), start=1):
+        write_delimited(drop, f"{config.source.path}/drop={number}", _FORMAT)
+        run_job(spark, config, stamp)
+        _set_file_times(spark, config.source.path, stamp)
+    table_ = HistoryTable(spark, config.target_path).read()
+    return _zoneless(table_.select("OrderReference", "Status", "InsertedDateTime", "UpdatedDateTime", "IsActive"))
+
+
+@query("job_two_sources", f"""{_COUNTED_SQL}
+SELECT 'north' AS source, '{_FIRST_TS}' AS hwm, early AS rows_affected, n AS stored FROM counted
+UNION ALL SELECT 'south', '{_FIRST_TS}', n - early, n FROM counted""")
+def job_two_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Two source entities of one target, each with a mark of its own."""
+    config = _from_documents(spark, None, "north", "south")
+    first, _ = _drops(spark, folder)
+    raw = raw_orders(spark, folder).drop("ORD_TS")
+    late = raw.filter(F.to_date("ORD_DT", "dd/MM/yyyy") >= F.lit(CUT).cast("date"))
+    for source, drop in zip((config.source, config.more_sources[0][0]), (first, late)):
+        write_delimited(drop, f"{source.path}/drop=1", _FORMAT)
+    run_job(spark, config, _FIRST_TS)
+    stored = HistoryTable(spark, config.target_path).active().agg(F.count("*").alias("stored"))
+    return HwmState(spark, config.state_path).frame().select("source", "hwm", "rows_affected").crossJoin(stored)
+
+
+@query("stream_by_format", f"""{_LOADED_SQL.split("SELECT \"OrderReference\"")[0]}
+SELECT "OrderReference", "CustomerReference", "OrderDate", status AS "Status", "Price" FROM cleansed WHERE early""")
+def stream_by_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of JSON records as a stream: the same rows as from delimited text."""
+    config = _config(spark, source=RawEntity(f"{work_path(spark, 'json')}/orders", "orders", FileFormat(extension=".json")))
+    _drops(spark, folder)[0].write.json(f"{config.source.path}/drop=1")
+    run_stream(spark, config, work_path(spark, "stream-checkpoint"), run_ts=_FIRST_TS).awaitTermination()
+    return HistoryTable(spark, config.target_path).read().select(
+        "OrderReference", "CustomerReference", "OrderDate", "Status", "Price"
+    )
+
+
+@query("load_reordered_headers", """
+SELECT CAST(o_orderkey AS VARCHAR) AS "ORD_REF", CAST(o_custkey AS VARCHAR) AS "CUST_REF", o_orderstatus AS "STATUS_CD" FROM orders""")
+def load_reordered_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Listed files whose columns stand in different orders, united by name."""
+    path, raw = work_path(spark, "reordered"), raw_orders(spark, folder).select("ORD_REF", "CUST_REF", "STATUS_CD")
+    late = F.col("STATUS_CD") == "O"
+    write_delimited(raw.filter(~late), f"{path}/one", _FORMAT)
+    write_delimited(raw.filter(late).select("STATUS_CD", "ORD_REF", "CUST_REF"), f"{path}/two", _FORMAT)
+    entity = RawEntity(path, "orders", _FORMAT)
+    return read_entity_files(spark, entity, [f"{path}/one", f"{path}/two"], by_name=True).select("ORD_REF", "CUST_REF", "STATUS_CD")
+
+
 @query("history_stream", _LOADED_SQL)
 def history_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same loads as a file stream that stops when it has caught up."""

@@ -31,18 +31,46 @@ def scd2_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("scd2_merge_large_batch", f"{PASSES_SQL} SELECT * FROM pass_one UNION ALL SELECT * FROM pass_two")
 def scd2_merge_large_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """The plan for batches too large to look up: one full outer join."""
+    """The plan for batches too large to broadcast: both sides are shuffled by key."""
     sink, batch = order_history(spark, folder), order_batch(spark, folder)
     return merge.scd2_merge(sink, batch, ORDER_KEY, RUN_TS, strategy="outer")
 
 
 @query("scd2_merge_small_batch", f"{PASSES_SQL} SELECT * FROM pass_one UNION ALL SELECT * FROM pass_two")
 def scd2_merge_small_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """The plan for batches the active side looks up."""
+    """The plan that the planner picks from the batch's size."""
     sink, batch = order_history(spark, folder), order_batch(spark, folder)
     return merge.scd2_merge(sink, batch, ORDER_KEY, RUN_TS, strategy="lookup")
 
 
+@query("scd2_several_active", f"""WITH {HISTORY_SQL}, {BATCH_SQL},
+doubled AS (
+  SELECT * FROM sink
+  UNION ALL
+  SELECT o_orderkey, o_custkey, 'X', o_totalprice, o_orderpriority, "InsertedDateTime", "UpdatedDateTime",
+         "EffectiveStartDate", "EffectiveEndDate", "IsActive"
+  FROM sink WHERE "IsActive" AND o_orderstatus = 'F'
+),
+differing AS (
+  SELECT s.*, b.o_orderkey IS NOT NULL AND (s.o_custkey IS DISTINCT FROM b.o_custkey OR s.o_orderstatus IS DISTINCT FROM b.o_orderstatus
+     OR s.o_totalprice IS DISTINCT FROM b.o_totalprice OR s.o_orderpriority IS DISTINCT FROM b.o_orderpriority) AS changed
+  FROM doubled s LEFT JOIN batch b ON s.o_orderkey = b.o_orderkey AND s."IsActive"
+)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, "InsertedDateTime",
+       CASE WHEN changed THEN TIMESTAMP '{RUN_TS}' ELSE "UpdatedDateTime" END AS "UpdatedDateTime", "EffectiveStartDate",
+       CASE WHEN changed THEN TIMESTAMP '{RUN_TS}' ELSE "EffectiveEndDate" END AS "EffectiveEndDate",
+       "IsActive" AND NOT changed AS "IsActive"
+FROM differing
+UNION ALL
+SELECT b.* FROM batch b
+WHERE NOT EXISTS (SELECT 1 FROM differing d WHERE d.o_orderkey = b.o_orderkey AND d."IsActive" AND NOT d.changed)""")
+def scd2_several_active(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys with two active versions, as appends make them; the batch closes those that differ."""
+    sink = order_history(spark, folder)
+    twice = sink.filter("IsActive AND o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("X"))
+    return merge.scd2_merge(sink.unionByName(twice), order_batch(spark, folder), ORDER_KEY, RUN_TS, strategy="outer")
+
+
 @query("scd2_expire", f"{PASSES_SQL} SELECT * FROM pass_one")
 def scd2_expire(spark: SparkSession, folder: str) -> DataFrame:
     return merge.scd2_expire(order_history(spark, folder), order_batch(spark, folder), ORDER_KEY, RUN_TS)
@@ -182,6 +210,16 @@ def history_table_purge(spark: SparkSession, folder: str) -> DataFrame:
 _SUPPLIER_TS, _UPSERT_TS = "2001-01-01 00:00:00", RUN_TS
 
 
+@query("scd1_metrics", f"""WITH {HISTORY_SQL}, {BATCH_SQL}
+SELECT (SELECT count(*) FROM sink s WHERE "IsActive" AND EXISTS (SELECT 1 FROM batch b WHERE b.o_orderkey = s.o_orderkey)) AS updated,
+       (SELECT count(*) FROM batch b WHERE NOT EXISTS (SELECT 1 FROM sink s WHERE "IsActive" AND b.o_orderkey = s.o_orderkey)) AS inserted,
+       (SELECT count(*) FROM sink s WHERE "IsActive" AND NOT EXISTS (SELECT 1 FROM batch b WHERE b.o_orderkey = s.o_orderkey)) AS unchanged""")
+def scd1_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows an upsert updates, inserts and leaves alone."""
+    active = merge.current_versions(order_history(spark, folder))
+    return merge.scd1_metrics(active, order_batch(spark, folder), ORDER_KEY)
+
+
 @query("scd1_upsert", f"""WITH batch AS (
   SELECT s_suppkey, s_name, s_nationkey, 0.0::DOUBLE AS s_acctbal FROM supplier WHERE s_acctbal < 0
   UNION ALL

@@ -74,12 +74,18 @@ def test_equals_two_passes(spark, strategy, seed):
     assert as_text(got) == two_passes(sink, batch)
 
 
-def test_lookup_handles_several_active_versions(spark):
+@pytest.mark.parametrize("threshold", ["1b", "1g"])
+@pytest.mark.parametrize("strategy", ["outer", "lookup", "auto"])
+def test_several_active_versions_at_every_size(spark, strategy, threshold):
     sink, batch = random_tables(5, duplicate_active=True)
     s, b = frame(spark, sink, SCHEMA), frame(spark, batch, BATCH)
-    assert as_text(merge.scd2_merge(s, b, KEYS, TS, strategy="lookup")) == two_passes(sink, batch)
-    with pytest.raises(Exception, match="use strategy='lookup'"):
-        merge.scd2_merge(s, b, KEYS, TS, strategy="outer").collect()
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, threshold)
+    try:
+        assert as_text(merge.scd2_merge(s, b, KEYS, TS, strategy=strategy)) == two_passes(sink, batch)
+    finally:
+        spark.conf.set(setting, before)
 
 
 @pytest.mark.parametrize("strategy", ["outer", "lookup"])

@@ -41,32 +41,21 @@ def stored(spark):
     return spark.read.schema(sink.schema).parquet(sink_path), spark.read.parquet(batch_path)
 
 
-def test_outer_plan_shuffles_each_side_once(stored):
+def test_shuffled_plan(stored):
     plan = plan_of(merge.scd2_merge(*stored, ORDER_KEY, RUN_TS, strategy="outer"))
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert plan.count("SortMergeJoin") == 1 and "FullOuter" in plan
+    # The table: once whole, once with its keys and compared columns. The batch: whole, and as what is looked up.
+    assert plan.count("Exchange hashpartitioning") == 5
+    assert "BroadcastHashJoin [_sink.o_orderkey" not in plan and "LeftOuter" in plan
     assert plan.count("PartitionFilters: [isnotnull(IsActive") >= 1
 
 
-def test_lookup_plan_leaves_the_table_unshuffled(stored):
-    plan = plan_of(merge.scd2_merge(*stored, ORDER_KEY, RUN_TS, strategy="lookup"))
+def test_small_batch_is_broadcast(stored):
+    plan = plan_of(merge.scd2_merge(*stored, ORDER_KEY, RUN_TS))
     assert "BroadcastHashJoin [_sink.o_orderkey" in plan
     # Compared columns must not become join keys.
     assert "coalesce(_sink.o_custkey" not in plan
-
-
-def test_strategy_follows_the_measured_size(spark, stored):
-    _, batch = stored
-    assert merge.pick_strategy(batch) == "lookup"
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        for setting, expected in (("1k", "outer"), ("-1", "outer"), ("100MB", "lookup")):
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", setting)
-            assert merge.pick_strategy(batch) == expected
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     with pytest.raises(ValueError):
-        merge.pick_strategy(batch, "guess")
+        merge.scd2_merge(*stored, ORDER_KEY, RUN_TS, strategy="guess")
 
 
 def test_bucketed_table_is_not_shuffled(spark, stored):
@@ -76,7 +65,8 @@ def test_bucketed_table_is_not_shuffled(spark, stored):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         plan = plan_of(merge.scd2_merge(spark.table("bucketed_history"), batch, ORDER_KEY, RUN_TS, strategy="outer"))
-        assert plan.count("Exchange hashpartitioning") == 1
+        # Only the batch and the keys found equal are shuffled.
+        assert plan.count("Exchange hashpartitioning") == 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         spark.sql("drop table bucketed_history")
