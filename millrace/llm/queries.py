@@ -122,5 +122,57 @@ WITH parts AS (
 )
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20
+""",
+    "op8_decontamination": r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item_words AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[k : k + n - 1], ' ') AS words
+    FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS k
+          FROM (SELECT *, least(10, len(w)) AS n FROM item_words WHERE len(w) > 0))
+), doc_windows AS (
+    SELECT doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') AS words
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k
+          FROM doc_words, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+), hits AS (
+    SELECT d.doc_id, d.k, d.n, i.item_id FROM doc_windows d JOIN item_windows i ON d.n = i.n AND d.words = i.words
+), words_hit AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT DISTINCT doc_id, unnest(range(k, k + n)) AS word FROM hits) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op10_substring_dedup": r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), starts AS (
+    SELECT doc_id, k, md5(array_to_string(w[k : k + 19], ' ')) AS words
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS k FROM texts WHERE len(w) >= 20)
+), repeats AS (
+    SELECT doc_id, k, row_number() OVER (PARTITION BY words ORDER BY doc_id, k) > 1 AS again FROM starts
+), words AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM texts
+), judged AS (
+    SELECT doc_id, word, k, coalesce(bool_or(again) OVER (
+        PARTITION BY doc_id ORDER BY k ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), FALSE) AS gone
+    FROM words LEFT JOIN repeats USING (doc_id, k)
+), kept AS (
+    SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+           string_agg(word, ' ' ORDER BY k) FILTER (NOT gone) AS text
+    FROM judged GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
 """,
 }
