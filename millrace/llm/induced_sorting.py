@@ -221,19 +221,28 @@ def sort_names(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         text.induce(*text.sorted_lms(), lambda p, s: (positions.append(p), shared.append(s)))
         order, common = np.concatenate(positions)[::-1], np.concatenate(shared)
         return order, np.concatenate([[0], common[::-1][:-1]])
-    ranks, levels, width = names, [names], 1
+    # A rank is the place of the first suffix of a group of so far equal ones; only groups of several are sorted on.
+    order = np.argsort(names, kind="stable")
+    ranks, width, levels = np.empty(n, np.int64), 1, []
+    slots, new = np.arange(n), np.append(True, names[order[1:]] != names[order[:-1]])
+    own = order
     while True:
-        after = np.full(n, -1, np.int64)
-        after[: max(0, n - width)] = ranks[width:]
-        order = np.lexsort((after, ranks))
-        new = np.ones(n, bool)
-        new[1:] = (ranks[order[1:]] != ranks[order[:-1]]) | (after[order[1:]] != after[order[:-1]])
-        ranks = np.empty(n, np.int64)
-        ranks[order] = np.cumsum(new) - 1
-        width *= 2
-        if new.all():
+        heads = slots[np.maximum.accumulate(np.where(new, np.arange(len(own)), 0))]
+        ranks[own] = heads
+        order[slots] = own
+        levels.append(ranks.astype(np.int32))
+        several = np.zeros(len(own), bool)
+        several[1:] |= ~new[1:]
+        several[:-1] |= ~new[1:]
+        own, slots, heads = own[several], slots[several], heads[several]
+        if not len(own):
             break
-        levels.append(ranks)
+        beyond = own + width >= n
+        after = np.where(beyond, -1, ranks[np.where(beyond, 0, own + width)])
+        by = np.lexsort((after, heads))
+        own, after = own[by], after[by]
+        new = np.append(True, (heads[1:] != heads[:-1]) | (after[1:] != after[:-1]))
+        width *= 2
     a, b, shared = order[:-1].copy(), order[1:].copy(), np.zeros(n - 1, np.int64)
     for k in reversed(range(len(levels))):
         inside = np.maximum(a, b) < n

@@ -24,7 +24,7 @@ from .induced_sorting import repeated
 from .recompression import KNOWN, LOOK, NULL_ID, REPEAT, SEGMENT, _keyed, mix, shared_segments, sort_out
 
 #: Bytes of text that are cut into segments at a time; bytes of a shard, at least; segments of one representative dealt together.
-SLICE, SHARD, CHUNK = 2 << 20, 8 << 20, 1 << 14
+SLICE, SHARD, CHUNK = 2 << 20, 4 << 20, 1 << 12
 
 _LETTERS = mix(np.arange(256, dtype=np.uint64), np.uint64(0x452821E638D01377))
 _BASE = 0xD1342543DE82EF95
@@ -47,7 +47,7 @@ def byte_segments(data: np.ndarray, firsts: np.ndarray, ends: np.ndarray, length
         empty = np.zeros(0, np.int64)
         return empty.astype(np.uint64), empty.astype(np.uint64), empty, empty, empty
     gram, hashes = 1, _LETTERS[data]
-    while gram * 16 <= length:
+    while gram * 4 <= length:  # long strings seldom repeat by chance
         hashes = mix(hashes[:-gram], hashes[gram:])
         gram *= 2
     # The place of a short string stands in its lowest bits: of equal ones the leftmost is the least.
