@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from millrace.catalogue import Attribute, Catalogue
 from millrace.functions.types import same_type
@@ -118,6 +118,18 @@ def cast_attributes(
     return df.select(*projection)
 
 
+def observe_failures(
+    df: DataFrame, catalogue: Catalogue | Sequence[Attribute], seen: Observation, default_tz: str | None = None
+) -> DataFrame:
+    """The frame itself; whoever runs it learns in ``seen``, for each cast column, how many values the cast cannot read."""
+    planned, outcome = _plan(df.schema, _attributes(catalogue), default_tz, "null", False)
+    by_name = {output: (raw, expression) for raw, (output, expression) in planned.items()}
+    lost = [
+        F.count(F.when(F.col(f"`{by_name[n][0]}`").isNotNull() & by_name[n][1].isNull(), True)).alias(n) for n in outcome.cast
+    ]
+    return df.observe(seen, F.count(F.lit(1)).alias("_rows"), *lost)
+
+
 def cast_report(df: DataFrame, catalogue: Catalogue | Sequence[Attribute]) -> DataFrame:
     """Per cast column: values present, and values the cast cannot read.
 

@@ -11,11 +11,11 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from millrace.catalogue import Catalogue, load_catalogue
 from millrace.functions.columns import mask_column
-from millrace.operators.casting import cast_attributes
+from millrace.operators.casting import cast_attributes, observe_failures
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,8 @@ class CleansingContext:
     default_tz: str | None = None
     on_error: str = "null"
     properties_root: str | None = None
+    #: Gets an observation for each cast step whose unreadable values are to be counted.
+    cast_failures: list[Observation] | None = None
 
     def find(self, name: str) -> Catalogue:
         """By entity name, or by path: absolute, or below ``properties_root``."""
@@ -272,6 +274,9 @@ def cast_step(df: DataFrame, argument, context: CleansingContext | None = None)
         raise ValueError("CastAttributes needs a catalogue")
     catalogue = context.find(name) if name else context.catalogue
     expected = name if name and "/" not in name and catalogue.entity else None
+    if context.cast_failures is not None and context.on_error == "null":
+        context.cast_failures.append(Observation())
+        df = observe_failures(df, catalogue, context.cast_failures[-1], zone)
     return cast_attributes(df, catalogue, zone, context.on_error, expected)
 
 

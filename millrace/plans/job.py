@@ -118,6 +118,8 @@ class JobResult:
     hwm: str | None = None
     purged: list[str] = field(default_factory=list)
     purge_error: str | None = None
+    #: Values that a cast could not read and made NULL, by column; columns without any are left out.
+    cast_failures: dict[str, int] = field(default_factory=dict)
 
 
 def read_source(spark: SparkSession, config: JobConfig, mark: str, run_ts: str) -> DataFrame | None:
@@ -133,11 +135,11 @@ def read_source(spark: SparkSession, config: JobConfig, mark: str, run_ts: str)
     return read_entity_files(spark, config.source, entity_paths(spark, config.source, config.path_filter))
 
 
-def cleanse(df: DataFrame, config: JobConfig, run_ts: str) -> DataFrame:
+def cleanse(df: DataFrame, config: JobConfig, run_ts: str, cast_failures: list[Observation] | None = None) -> DataFrame:
     """Declared transformations, then audit columns where they are not defined."""
     context = CleansingContext(
         catalogue=config.catalogue, default_tz=config.default_tz, on_error=config.on_error,
-        properties_root=config.properties_root,
+        properties_root=config.properties_root, cast_failures=cast_failures,
     )
     return add_audit_columns(apply_pipeline(df, config.catalogue.transformations, context=context), run_ts)
 
@@ -162,6 +164,7 @@ class Staged:
     rows_read: int
     rows: int
     next_mark: str | None
+    cast_failures: dict[str, int] = field(default_factory=dict)
 
     def discard(self) -> None:
         folders.remove(self.frame.sparkSession, self.path)
@@ -170,13 +173,14 @@ class Staged:
 def stage(raw: DataFrame, config: JobConfig, mark: str, run_ts: str, target_columns: Sequence[str]) -> Staged:
     """Cleanse, filter by the mark, order columns, and write the batch once.
 
-    Row counts and the next mark come from the same pass. The written batch
+    Row counts, the next mark and the number of values that casts lost come from the same pass. The written batch
     gives the merge exact sizes and cuts the lineage, so a lost executor costs
     a re-read of the batch and not of the raw files.
     """
     spark = raw.sparkSession
     read_seen, staged_seen = Observation("read"), Observation("staged")
-    frame = cleanse(raw.observe(read_seen, F.count(F.lit(1)).alias("rows")), config, run_ts)
+    casts_seen: list[Observation] = []
+    frame = cleanse(raw.observe(read_seen, F.count(F.lit(1)).alias("rows")), config, run_ts, casts_seen)
     if config.policy.kind in ("date", "timestamp"):
         frame = filter_hwm(frame, config.policy, mark)
     metrics = [F.count(F.lit(1)).alias("rows")]
@@ -194,6 +198,7 @@ def stage(raw: DataFrame, config: JobConfig, mark: str, run_ts: str, target_colu
         rows_read=read_seen.get["rows"],
         rows=counted["rows"],
         next_mark=counted.get("mark"),
+        cast_failures={n: v for seen in casts_seen for n, v in seen.get.items() if v and n != "_rows"},
     )
 
 
@@ -212,6 +217,8 @@ def run_job(spark: SparkSession, config: JobConfig, run_ts: str | datetime | Non
     for source, name in ((config.source, config.source_name), *config.more_sources):
         _load_source(spark, replace(config, source=source, source_name=name, more_sources=()), table, stamp, result)
     purge(table, config, stamp, result)
+    if result.cast_failures:
+        logger.warning("load of %s: unreadable values became NULL: %s", config.entity, result.cast_failures)
     logger.info("load of %s: %s", config.entity, result)
     return result
 
@@ -239,6 +246,8 @@ def _load_source(spark: SparkSession, config: JobConfig, table: HistoryTable, st
     try:
         result.rows_read += staged.rows_read
         result.rows_staged += staged.rows
+        for name, lost in staged.cast_failures.items():
+            result.cast_failures[name] = result.cast_failures.get(name, 0) + lost
         if staged.rows:
             batch = run_actions(staged.frame, config)
             known = None if config.actions else staged.rows

@@ -17,11 +17,13 @@ from millrace.operators.watermark import (
     max_modified,
     next_hwm,
 )
-from millrace.plans.job import JobConfig, JobResult, run_job
+from millrace.operators.pipeline import register_action
+from millrace.plans.job import JobConfig, JobResult, empty_batch, run_job
 from millrace.session import work_path
 from millrace.sinks import folders
 from millrace.sinks.history_table import HistoryTable
 from millrace.sinks.state import HwmState
+from millrace.sinks.targets import write_target
 from millrace.sources import RawEntity, append_log, files_to_process, read_log, write_delimited
 from millrace.sources.incremental import read_entity_files
 from millrace.streaming import run_stream
@@ -252,6 +254,64 @@ def append_repeated(spark: SparkSession, folder: str) -> DataFrame:
     return _zoneless(HistoryTable(spark, config.target_path).read())
 
 
+@query("load_cast_failures", f"""
+SELECT 'Price' AS column_name, count(*) FILTER (o_orderkey % 7 = 0) AS lost FROM orders WHERE o_orderdate < TIMESTAMP '{CUT}'
+UNION ALL SELECT 'OrderDate', count(*) FILTER (o_orderstatus = 'P') FROM orders WHERE o_orderdate < TIMESTAMP '{CUT}'""")
+def load_cast_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """A load tells how many values its casts could not read."""
+    config = _config(spark)
+    first, _ = _drops(spark, folder)
+    spoilt = first.withColumn("PRICE", F.when(F.col("ORD_REF").cast("long") % 7 == 0, "n/a").otherwise(F.col("PRICE")))
+    spoilt = spoilt.withColumn("ORD_DT", F.when(F.col("STATUS_CD") == "P", "soon").otherwise(F.col("ORD_DT")))
+    write_delimited(spoilt, f"{config.source.path}/drop=1", _FORMAT)
+    lost = run_job(spark, config, _FIRST_TS).cast_failures
+    return spark.createDataFrame(sorted(lost.items()), "column_name string, lost long")
+
+
+@query("empty_batch", f"{_LOADED_SQL.split('UNION ALL')[0]}".replace("CASE WHEN status = 'F' THEN TIMESTAMP '" + _SECOND_TS + "' ELSE TIMESTAMP '" + _FIRST_TS + "' END", f"TIMESTAMP '{_FIRST_TS}'")
+       .replace("CASE WHEN status = 'F' THEN TIMESTAMP '" + _SECOND_TS + "' END", "CAST(NULL AS TIMESTAMP)").replace("status <> 'F'", "TRUE"))
+def empty_batch_(spark: SparkSession, folder: str) -> DataFrame:
+    """A load, then a batch without rows in the target's schema: the table stays as it is."""
+    config = _config(spark)
+    write_delimited(_drops(spark, folder)[0], f"{config.source.path}/drop=1", _FORMAT)
+    run_job(spark, config, _FIRST_TS)
+    table_ = HistoryTable(spark, config.target_path)
+    before = table_.version
+    write_target(empty_batch(spark, config), table_, "scd2", config.catalogue.natural_key, _SECOND_TS)
+    write_target(None, table_, "append")
+    if table_.version != before:
+        raise AssertionError("an empty batch was published")
+    return _zoneless(table_.read())
+
+
+@query("action_by_name", f"""
+SELECT o_orderkey AS "OrderReference", o_orderstatus AS "Status" FROM orders
+WHERE o_orderdate < TIMESTAMP '{CUT}' AND o_orderstatus <> 'P'""")
+def action_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """A load whose document names an action; it leaves out rows that are pending."""
+    register_action("withoutPending", lambda df, job: df.filter("Status <> 'P'"))
+    config = _config(spark, actions=("withoutPending",))
+    write_delimited(_drops(spark, folder)[0], f"{config.source.path}/drop=1", _FORMAT)
+    run_job(spark, config, _FIRST_TS)
+    return HistoryTable(spark, config.target_path).read().select("OrderReference", "Status")
+
+
+@query("mark_by_role", """
+SELECT event_type AS entity, role,
+       CASE role WHEN 'source' THEN '2024-02-01 06:00:00' WHEN 'sink' THEN CAST(max(CAST(ts AS DATE)) AS VARCHAR)
+                 ELSE '1970-01-01T00:00:00.000+0000' END AS hwm
+FROM events, (VALUES ('source'), ('sink'), ('other')) AS roles(role) GROUP BY event_type, role""")
+def mark_by_role(spark: SparkSession, folder: str) -> DataFrame:
+    """A source's mark is the run's time, a sink's the stored one, any other's the first; stored for each type of event."""
+    days = table(spark, folder, "events").groupBy("event_type").agg(F.max(F.col("ts").cast("date")).cast("string").alias("day"))
+    state = HwmState(spark, work_path(spark, "state"))
+    rows = []
+    for kind, day in sorted(map(tuple, days.collect())):  # one row for each type of event
+        state.write(kind, day, 1, run_ts=_FIRST_TS)
+        rows += [(kind, role, state.for_role(role, kind, run_ts=_SECOND_TS)) for role in ("source", "sink", "other")]
+    return spark.createDataFrame(rows, "entity string, role string, hwm string")
+
+
 def _documents(process: str | None, *names: str) -> tuple[dict, list[dict]]:
     cleanse = dict(_JOB_DOCUMENT["Extended"]["Cleanse"], SourceEntities=[{"EFQN": n} for n in names], SourceFilePathFilter="/*")
     if process:

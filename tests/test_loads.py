@@ -13,7 +13,7 @@ from millrace.operators.pipeline import register_action
 from millrace.operators.watermark import FIRST_MARK, HwmPolicy
 from millrace.plans.job import JobConfig, empty_batch, run_job
 from millrace.sinks import HistoryTable, HwmState
-from millrace.sources import RawEntity
+from millrace.sources import RawEntity, append_log
 from millrace.streaming import run_stream
 from tests.conftest import rows
 
@@ -189,3 +189,78 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert query.lastProgress["numInputRows"] == 1
     run_stream(spark, job, checkpoint, run_ts="2024-01-03 00:00:00").awaitTermination()
     assert stored(spark, job) == [(1, "A", True, None), (2, "B", False, "2024-01-02 00:00:00"), (2, "C", True, None)]
+
+
+def test_differing_headers_stop_a_load(spark, tmp_path):
+    job = config(tmp_path)
+    drop(tmp_path, "one.csv", "1,A,2024-01-01")
+    (tmp_path / "raw" / "customer" / "two.csv").write_text("STATUS_CD,CUST_REF,fileDate\nB,2,2024-01-01\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        run_job(spark, job)
+    assert stored(spark, job) == []
+    split = replace(job, source=replace(job.source, fmt=replace(job.source.fmt, split_multiline=True)))
+    with pytest.raises(Exception, match="header differs"):
+        run_job(spark, split)
+    work = tmp_path / "work"
+    assert not work.exists() or not list(work.glob("staged-*"))
+
+
+def test_log_beside_the_files(spark, tmp_path):
+    job = config(tmp_path, policy=HwmPolicy("date", "fileDate", next="max"), path_filter=None)
+    drop(tmp_path, "one.csv", "1,A,2024-01-01")
+    log = spark.createDataFrame([("x", 1, "one.csv", "2024-01-01 00:00:00")], "FilePath string, NumberOfRows int, FileName string, ProcessedDateTime string")
+    append_log(log, job.source.log_folder)
+    assert run_job(spark, job, "2024-02-01 00:00:00").rows_staged == 1
+
+
+@pytest.mark.parametrize("process", ["append", "scd2"])
+def test_stop_between_publish_and_mark(spark, tmp_path, monkeypatch, process):
+    job = config(tmp_path, process=process, null_keys="insert")
+    drop(tmp_path, "one.csv", "1,A,2024-01-01", ",B,2024-01-01")
+    with monkeypatch.context() as m:
+        m.setattr(HwmState, "write", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            run_job(spark, job)
+    first = stored(spark, job)
+    assert len(first) == 2
+    again = run_job(spark, job)
+    assert again.rows_staged == 0 and stored(spark, job) == first
+    assert HwmState(spark, job.state_path).read(job.entity, job.source_name) == again.hwm
+
+
+def test_replayed_stream_batch_is_passed_over(spark, tmp_path):
+    job = config(tmp_path, process="append")
+    drop(tmp_path, "one.csv", "1,A,2024-01-01")
+    run_stream(spark, job, f"{tmp_path}/checkpoint", run_ts="2024-02-01 00:00:00").awaitTermination()
+    for commit in (tmp_path / "checkpoint" / "commits").glob("[0-9.]*"):
+        commit.unlink()  # as if the stream had stopped after the publish
+    run_stream(spark, job, f"{tmp_path}/checkpoint", run_ts="2024-02-02 00:00:00").awaitTermination()
+    assert len(stored(spark, job)) == 1
+    assert HwmState(spark, job.state_path).read(job.entity, job.source_name) == "2024-02-01 00:00:00"
+
+
+def test_streams_refuse_what_they_cannot_read(spark, tmp_path):
+    job = config(tmp_path)
+    for fmt in (replace(job.source.fmt, nul_interleaved=True), replace(job.source.fmt, multiline=True, split_multiline=True)):
+        with pytest.raises(ValueError, match="stream"):
+            run_stream(spark, replace(job, source=replace(job.source, fmt=fmt)), f"{tmp_path}/checkpoint")
+
+
+def test_documents_decide(tmp_path):
+    sink = {**SINK, "Extended": {"Cleanse": {**SINK["Extended"]["Cleanse"], "TargetProcess": "Merge",
+                                             "SourceEntities": [{"EFQN": "raw.a"}, {"EFQN": "raw.b"}]}}}
+    other = {"System": {**SOURCE["System"], "EntityPath": "other"}}
+    job = JobConfig.from_documents("cleansed.Customer", sink, [SOURCE, other], f"{tmp_path}/raw", f"{tmp_path}/lake", f"{tmp_path}/state")
+    assert job.process == "Merge" and job.source_name == "raw.a"
+    assert [(s.path, n) for s, n in job.more_sources] == [(f"{tmp_path}/raw/other", "raw.b")]
+    with pytest.raises(ValueError, match="source documents"):
+        JobConfig.from_documents("e", SINK, [SOURCE, other], "r", "t", "s")
+
+
+def test_upsert_outcomes(spark, tmp_path):
+    job = config(tmp_path, process="upsert")
+    drop(tmp_path, "one.csv", "1,A,2024-01-01", "2,B,2024-01-01")
+    run_job(spark, job)
+    drop(tmp_path, "two.csv", "2,C,2024-01-02", "3,D,2024-01-02")
+    counts = run_job(spark, job).counts
+    assert (counts.updated, counts.inserted, counts.unchanged, counts.affected) == (1, 1, 1, 2)
