@@ -284,7 +284,8 @@ def repeats(keyed: DataFrame, window: int) -> DataFrame:
         here != F.struct("first.doc", "first.tie", "first.start")
     ).select("doc", "tie", "start", (F.col("start") + F.col("n") + (window - 1)).alias("end"))
     known = rows.where(F.col("kind") == REPEAT).select("doc", "tie", "start", (F.col("start") + F.col("n")).alias("end"))
-    shared = firsts.groupBy("symbol").count().where("count > 1").select("symbol")
+    # Stored, so that the join meets both sides as they were shuffled and can split a symbol with very many segments.
+    shared = stored(firsts.groupBy("symbol").count().where("count > 1").select("symbol"), "shared-symbols")
     unsure = firsts.join(shared, "symbol").select("first.*").groupBy("doc", "tie").agg(
         F.collect_list(F.struct("start", "n")).alias("places")
     )
