@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_columns, slices
+from .common import map_columns, slices, stored
 from .induced_sorting import repeated
 from .recompression import KNOWN, LOOK, NULL_ID, REPEAT, SEGMENT, _keyed, mix, shared_segments, sort_out
 
@@ -143,7 +143,8 @@ def repeats(keyed: DataFrame, length: int) -> DataFrame:
     copied = segs.join(kinds.where(~F.col("once")), ["symbol", "content"]).select(
         "doc", "tie", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end")
     )
-    groups = kinds.groupBy("symbol").agg(F.count("*").alias("count")).where("count > 1")
+    # Stored, so that the join meets both sides as they were shuffled and can split a symbol with very many segments.
+    groups = stored(kinds.groupBy("symbol").agg(F.count("*").alias("count")).where("count > 1"), "shared-symbols")
     chunks = F.ceil(F.col("count") / CHUNK).cast("int")
     own = F.pmod(F.xxhash64("content"), F.col("chunks")).cast("int")
     place = F.struct("symbol", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "start", "n", "once")
