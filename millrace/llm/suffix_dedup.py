@@ -24,7 +24,7 @@ from .induced_sorting import repeated
 from .recompression import KNOWN, LOOK, NULL_ID, REPEAT, SEGMENT, _keyed, mix, shared_segments, sort_out
 
 #: Bytes of text that are cut into segments at a time; bytes of a shard, at least; segments of one representative dealt together.
-SLICE, SHARD, CHUNK = 2 << 20, 4 << 20, 1 << 12
+SLICE, SHARD, CHUNK = 1 << 20, 2 << 20, 1 << 11
 
 _LETTERS = mix(np.arange(256, dtype=np.uint64), np.uint64(0x452821E638D01377))
 _BASE = 0xD1342543DE82EF95
