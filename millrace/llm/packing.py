@@ -4,8 +4,12 @@ What is packed are pieces of at most ``capacity`` tokens, and only their
 lengths matter. A *pattern* is a few lengths that fill a sequence exactly. How
 often each pattern is to be used is a non-negative least squares problem with
 one row for each length, so it is solved over the histogram and its size
-depends on the capacity alone, not on the corpus. The fitted counts are
-rounded; the lengths left over are packed best fit, again by counts. The
+depends on the capacity alone, not on the corpus. Patterns with a long piece are
+enumerated and fitted first. What they leave, such as a histogram of short lengths
+only, is fitted to patterns of any number of pieces drawn from it, exact ones
+first, then ones short of a few tokens. Fitted counts are rounded by largest
+remainder; the lengths left over are packed best fit, again by counts. Where best
+fit alone does better on what the first fit leaves, that is taken. The
 result is a table that maps the k-th piece of a length to its sequence and
 place, and the pieces read their places from it in one pass.
 """
@@ -27,6 +31,8 @@ from .tokenizing import encoder
 PATTERNS = 150_000
 #: Updates of a fit.
 ROUNDS = 300
+#: Patterns of any number of pieces that are drawn for a fit, and their pieces, at most; tokens that they may leave free, one fit after another.
+DRAWN, DRAWN_PIECES, SLACK = 1 << 16, 1 << 20, (0, 1, 2, 4)
 
 
 def pieces(
@@ -77,6 +83,26 @@ def patterns(counts: np.ndarray, capacity: int) -> np.ndarray:
     return found[2 * found.max(1) >= capacity]
 
 
+def fills(counts: np.ndarray, capacity: int, slack: int, seed: int = 5) -> np.ndarray:
+    """Rows of lengths (0: none) that fill ``capacity`` but for ``slack``, drawn by the counts; the last piece is the longest that fits."""
+    lengths = np.flatnonzero(counts[:capacity])
+    if not len(lengths):
+        return np.zeros((0, 1), np.int64)
+    low = int(lengths[0])
+    rng, share = np.random.default_rng(seed), np.cumsum(counts[lengths])
+    longest = np.zeros(capacity + 1, np.int64)  # that fits a space
+    longest[lengths] = lengths
+    longest = np.maximum.accumulate(longest)
+    space, columns = np.full(max(1, min(DRAWN, DRAWN_PIECES // (capacity // low))), capacity), []
+    while space.max() >= low:
+        piece = lengths[np.searchsorted(share, rng.integers(0, share[-1], len(space)), "right")]
+        piece = np.where((piece > space - low) | (longest[space] == space), longest[space], piece)
+        columns.append(piece)
+        space = space - piece
+    rows = np.sort(np.stack(columns, 1)[space <= slack], axis=1)[:, ::-1]
+    return np.unique(rows, axis=0)
+
+
 def fit(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Repeats x >= 0 of the patterns with least |A x - counts|², by multiplicative updates."""
     size = len(counts)
@@ -102,17 +128,38 @@ class Plan:
         self.sequences = 0
         self.runs: list[tuple[int, int, int, int]] = []
         self._use((capacity,), int(left[capacity]), left)
-        rows = patterns(left.copy(), capacity)
-        if len(rows):
-            x = fit(rows, left)
-            for i in np.argsort(-x, kind="stable"):
-                if x[i] < 1:
-                    break
-                row = tuple(int(v) for v in rows[i] if v)
-                self._use(row, min(int(x[i]), self._most(row, left)), left)
-        self._residuals(left, capacity)
+        self._fitted(patterns(left.copy(), capacity), left)
+        start = left, self.taken, self.sequences, self.runs
+        ends = []
+        for slacks in ((), SLACK):  # short pieces may be better spent in the gaps of long ones
+            left, self.taken, self.sequences, self.runs = start[0].copy(), start[1].copy(), start[2], list(start[3])
+            for slack in slacks:
+                self._fitted(fills(left, capacity, slack), left)
+            self._residuals(left, capacity)
+            ends.append((self.sequences, self.taken, self.runs))
+        self.sequences, self.taken, self.runs = min(ends, key=lambda end: end[0])
         self.runs.sort()
 
+    def _fitted(self, rows: np.ndarray, left: np.ndarray) -> None:
+        """Uses the patterns as often as fits ``left``, rounded by largest remainder."""
+        if not len(rows):
+            return
+        x = fit(rows, left)
+        whole = x.astype(np.int64)
+        for i in np.argsort(-x, kind="stable"):
+            if whole[i] < 1:
+                break
+            row = tuple(int(v) for v in rows[i] if v)
+            self._use(row, min(int(whole[i]), self._most(row, left)), left)
+        more = round(float((x - whole).sum()))
+        for i in np.argsort(whole - x, kind="stable"):
+            if more < 1:
+                break
+            row = tuple(int(v) for v in rows[i] if v)
+            if self._most(row, left) > 0:
+                self._use(row, 1, left)
+                more -= 1
+
     @staticmethod
     def _most(row: tuple[int, ...], left: np.ndarray) -> int:
         return min(int(left[v]) // row.count(v) for v in set(row))
@@ -168,8 +215,8 @@ def pack(
     column is read.
 
     The pieces are stored once. Their histogram has at most ``capacity`` rows, the
-    only thing that the driver sees; the broadcast table has at most three entries
-    a pattern and ``capacity`` for the rest.
+    only thing that the driver sees; the broadcast table has one entry for each piece of a
+    used pattern, and the patterns of a fit are at most ``PATTERNS`` or ``DRAWN``.
     """
     keep = {"ids": F.col("ids")} if keep is None else keep
     names = ["doc_id", "piece", "start", "length"]

@@ -161,6 +161,15 @@ def test_plan_fills_sequences():
     assert packing.Plan({700: 10}, 1024).sequences == 10 and packing.Plan({1: 5}, 1024).sequences == 1
 
 
+@pytest.mark.parametrize("low, high", [(332, 350), (335, 347), (300, 380), (245, 267), (20, 511)])
+def test_plan_of_short_lengths_comes_near_the_bound(low, high):
+    counts = dict.fromkeys(range(low, high + 1), 30_000)
+    least = -(-sum(k * n for k, n in counts.items()) // 1024)
+    plan = packing.Plan(counts, 1024)
+    assert plan.sequences <= least * 1.01
+    assert {k: int(plan.taken[k]) for k in counts} == counts
+
+
 # -- classifiers ---------------------------------------------------------------
 def test_toxicity_learns_pairs_and_holds_out(spark):
     rng = random.Random(4)
