@@ -6,9 +6,9 @@ predicted, and the language whose codeword has the least loss, each bit weighted
 how well its classifier does on the rows it was learned from, is chosen. The gap to
 the next codeword tells how sure that is.
 
-The classifiers are learned from a sample of about ``TRAINING_ROWS`` labelled
-texts, chosen by a hash of the id; that is what the driver holds. Everything else
-is one pass over all texts.
+The classifiers are learned from a sample of at most ``TRAINING_ROWS`` labelled
+texts, the least by a hash of id, text and language; equal rows count once. That is
+what the driver holds. Everything else is one pass over all texts.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import keep_rows, map_columns, slices, texts_of
 
-#: Labelled rows that the classifiers are learned from, about.
+#: Labelled rows that the classifiers are learned from, at most.
 TRAINING_ROWS = 4_000
 #: Buckets of the hashed trigrams.
 BUCKETS = 1 << 15
@@ -122,13 +122,17 @@ def train(texts: list[bytes], labels: list[str], rounds: int = 60) -> Model:
 
 
 def learn(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """A model from about ``TRAINING_ROWS`` of the rows with a language for which ``learnable`` holds; None if there are none."""
-    labelled = docs.where(learnable & docs[lang_col].isNotNull() & docs[text_col].isNotNull())
-    n = labelled.count()
+    """A model from at most ``TRAINING_ROWS`` of the distinct rows with a language for which ``learnable`` holds; None if there are none."""
+    labelled = docs.where(learnable & docs[lang_col].isNotNull() & docs[text_col].isNotNull()).select(
+        docs[id_col].cast("string").alias("id"), docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang")
+    )
+    labelled = labelled.withColumn("hash", F.xxhash64("id", "text", "lang"))
+    n = labelled.agg(F.approx_count_distinct("hash", 0.02)).first()[0]
     scale = 1 << 30
-    chosen = F.pmod(F.xxhash64(docs[id_col].cast("string")), F.lit(scale)) < int(scale * min(1, TRAINING_ROWS / max(n, 1)))
-    sample = labelled.where(chosen).select(docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang"))
-    found = sample.orderBy("lang", "text").collect()
+    chosen = F.pmod("hash", F.lit(scale)) < int(scale * min(1, 1.25 * TRAINING_ROWS / max(n, 1)))
+    sample = labelled.where(chosen).groupBy("hash").agg(F.min(F.struct("lang", "text")).alias("row"))
+    order = F.pmod("hash", F.lit(scale))
+    found = sorted((r["row"] for r in sample.orderBy(order, "hash").limit(TRAINING_ROWS).collect()), key=lambda r: (r["lang"], r["text"]))
     if not found:
         return None
     return train([r["text"].encode("utf-8", "replace") for r in found], [r["lang"] for r in found])

@@ -218,6 +218,18 @@ def test_language_on_odd_input(odd, nothing, real):
     assert kept.columns == odd.columns and {r["text"] for r in kept.collect()}.isdisjoint({None, "", " ", "\n\t "})
 
 
+def test_language_sample_is_bounded_and_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "TRAINING_ROWS", 100)
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda texts, labels: seen.extend(texts))
+    data = [(None, f"null {i}", "en") for i in range(700)] + [(5, f"five {i}", "en") for i in range(700)]
+    data += [(1000 + i, f"own {i}", "en") for i in range(700)] + [(None, "copy", "en")] * 900
+    language_id.learn(spark.createDataFrame(data, "doc_id long, text string, lang string"), F.lit(True))
+    kinds = Counter(t.split()[0] for t in seen)
+    assert 80 <= len(seen) <= 100 and kinds[b"copy"] <= 1
+    assert all(15 <= kinds[k] <= 55 for k in (b"null", b"five", b"own"))
+
+
 @pytest.mark.parametrize("k", [1, 2, 3, 4, 5, 40])
 def test_codewords_differ(k):
     code = language_id.codewords(k)
