@@ -12,22 +12,22 @@ chunks by hash, and its pairs of chunks go to different tasks. A task
 returns links that connect what it found connected, not all its pairs.
 
 Optionally a link must also hold in the texts: each entry then carries a small MinHash
-sketch of its shingles, and pairs whose estimated similarity is too low are no links.
+sketch of its shingles, by which the trie join proposes links, and the whole sets of shingles decide.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import combinations, repeat
+from itertools import combinations
 from math import comb
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from .common import map_columns, slices, stored, texts_of
 from .graph import components
+from .shingles import all_pairs, hashes_of, node_of, shingle_set, verified
 
 #: Shingles whose bits are counted at a time; entries of a bucket's chunk; node pairs held at a time.
 SHINGLES_HELD, CHUNK, PAIRS_HELD = 1 << 16, 1 << 14, 1 << 19
@@ -37,13 +37,6 @@ BATCH = 1 << 16
 SKETCH = 128
 
 
-def _hashes(words: list[bytes], shingle: int, seed: int) -> np.ndarray:
-    """Hashes of all shingles; fewer words are one shingle."""
-    n = max(1, len(words) - shingle + 1)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
-    return np.fromiter(map(xxh64_intdigest, shingles, repeat(seed)), np.uint64, n)
-
-
 def fingerprint(text: bytes | None, shingle: int = 3, distinct: bool = False, seed: int = 42) -> int:
     """The unsigned fingerprint of a text; 0 if it has no words. ``distinct`` counts equal shingles once."""
     words = (text or b"").lower().split()
@@ -52,9 +45,9 @@ def fingerprint(text: bytes | None, shingle: int = 3, distinct: bool = False, se
     last = max(1, len(words) - shingle + 1)
     counts, total = np.zeros(64, np.int64), 0
     if distinct:
-        parts = [np.unique(_hashes(words, shingle, seed))]
+        parts = [np.unique(hashes_of(words, shingle, seed))]
     else:
-        parts = (_hashes(words[at : min(at + SHINGLES_HELD, last) + shingle - 1], shingle, seed) for at in range(0, last, SHINGLES_HELD))
+        parts = (hashes_of(words[at : min(at + SHINGLES_HELD, last) + shingle - 1], shingle, seed) for at in range(0, last, SHINGLES_HELD))
     for hashes in parts:
         for at in range(0, len(hashes), SHINGLES_HELD):
             bits = np.unpackbits(hashes[at : at + SHINGLES_HELD].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -70,7 +63,7 @@ def sketch(text: bytes | None, shingle: int) -> bytes:
     words = (text or b"").lower().split()
     if not words:
         return bytes(SKETCH)
-    hashes = _hashes(words, shingle, 17)
+    hashes = hashes_of(words, shingle, 17)
     least = np.full(SKETCH, 1 << 57, np.uint64)
     np.minimum.at(least, (hashes >> np.uint64(57)).astype(np.int64), hashes & np.uint64((1 << 57) - 1))
     return np.where(least >> np.uint64(57), 0, 1 + least % np.uint64(255)).astype(np.uint8).tobytes()
@@ -88,15 +81,17 @@ def fingerprints(
     docs: DataFrame, shingle: int = 3, distinct: bool = False, verify: tuple[int, float] | None = None,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, fingerprint`` (a long with the same bits) and ``sketch`` (null without ``verify``) of every row."""
+    """``doc_id, fingerprint`` (a long with the same bits), ``sketch`` (null without ``verify``) and ``node`` of every row."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in slices(batches):
             found = np.array([fingerprint(t, shingle, distinct) for t in batch["text"]], np.uint64)
             sketches = [sketch(t, verify[0]) if verify else None for t in batch["text"]]
-            yield {"doc_id": batch["doc_id"], "fingerprint": found.view(np.int64), "sketch": sketches}
+            found = found.view(np.int64)
+            nodes = [node_of(shingle_set(t, verify[0])) for t in batch["text"]] if verify else found
+            yield {"doc_id": batch["doc_id"], "fingerprint": found, "sketch": sketches, "node": nodes}
 
-    return map_columns(texts_of(docs, id_col, text_col), run, "doc_id long, fingerprint long, sketch binary")
+    return map_columns(texts_of(docs, id_col, text_col), run, "doc_id long, fingerprint long, sketch binary, node long")
 
 
 class Union:
@@ -128,7 +123,7 @@ def trie_join(keys: np.ndarray, starts: np.ndarray, budget: int, link: Callable[
         depth, pairs = stack.pop()
         sizes = (pairs[:, 1] - pairs[:, 0]) * (pairs[:, 3] - pairs[:, 2])
         few = (sizes <= 4) | (depth == 0)
-        for x, y in _all_pairs(pairs[few], sizes[few]):
+        for x, y in all_pairs(pairs[few], sizes[few]):
             near = np.bitwise_count(keys[x] ^ keys[y]) <= budget
             link(x[near], y[near])
         pairs = pairs[~few]
@@ -152,24 +147,6 @@ def trie_join(keys: np.ndarray, starts: np.ndarray, budget: int, link: Callable[
             stack.append((depth, found[at : at + PAIRS_HELD]))
 
 
-def _all_pairs(pairs: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of entries of each two ranges, a bounded number at a time; of a range with itself each pair once."""
-    at = 0
-    ends = np.cumsum(sizes)
-    while at < len(pairs):
-        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS_HELD, "right")))
-        part, n = pairs[at:upto], sizes[at:upto]
-        at = upto
-        for low in range(0, int(n.sum()), PAIRS_HELD):  # a single pair of ranges may be larger
-            k = np.arange(low, min(low + PAIRS_HELD, int(n.sum())))
-            row = np.searchsorted(np.cumsum(n), k, "right")
-            k = k - (np.cumsum(n) - n)[row]
-            width = part[row, 3] - part[row, 2]
-            x, y = part[row, 0] + k // width, part[row, 2] + k % width
-            once = (part[row, 0] != part[row, 2]) | (x < y)
-            yield x[once], y[once]
-
-
 def block_choices(budget: int, entries: int) -> list[int]:
     """Masks of the bits to agree on, one for each bucket table.
 
@@ -290,16 +267,16 @@ def near_duplicates(
     columns are read.
 
     ``distinct`` counts equal shingles once. ``verify = (words, least)`` asks of a link that the
-    texts' shingles of so many words have a Jaccard similarity of ``least``, as ``SKETCH`` bins estimate it.
+    texts' distinct shingles of so many words have a Jaccard similarity of ``least``; ids must then be unique and not null.
     """
     prints = stored(fingerprints(docs, shingle, distinct, verify, id_col, text_col), "fingerprints")
-    node = F.xxhash64("fingerprint", "sketch") if verify else F.col("fingerprint")
-    prints = prints.withColumn("node", node)
     entries = prints.groupBy("node").agg(
         F.min("doc_id").alias("first"), F.first("fingerprint").alias("fingerprint"), F.first("sketch").alias("sketch")
     )
     entries = stored(entries, "fingerprint-classes")
     found = stored(links(entries, budget, verify[1] if verify else None), "trie-links")
+    if verify:
+        found = stored(verified(found.distinct(), docs, entries, *verify, id_col, text_col), "sure-links")
     rooted = entries.select("node", "first").join(components(found, "a", "b"), "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -315,7 +292,7 @@ def without_near_duplicates(
     """One row of each component of near-duplicates, all columns as they are: that of the smallest id (nulls last).
 
     The defaults look for texts whose 5-word shingles are 80 % alike: fingerprints over
-    the distinct words bring such texts within 7 bits, and the sketches decide.
+    the distinct words bring most such texts within 7 bits, and whole sets decide.
 
     Rows are told apart by their place in the input, so repeated and null ids are no
     trouble; the input must give its rows in the same places when read again, as a stored table does.

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, huffman, induced_sorting, language_id, mtree, packing, recompression, simhash
 from millrace.llm import suffix_dedup, token_counts, tokenizing, toxicity
+from millrace.llm.common import stored
 from millrace.llm.graph import components
 from millrace.llm.queries import QUERIES
 from millrace.session import work_path
@@ -327,6 +328,27 @@ def test_components_of_long_chains(spark):
     assert len(found) == 801
 
 
+def plain_similarity(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_pairs_just_below_the_threshold_are_no_links(spark):
+    rng, data = random.Random(9), []
+    words = [f"w{i}" for i in range(4000)]
+    while len(data) < 300:
+        base = rng.choices(words, k=240)
+        other = list(base)
+        for at in rng.sample(range(5, 235), 6):
+            other[at] = rng.choice(words)
+        pair = [" ".join(base), " ".join(other)]
+        if 0.76 <= plain_similarity(*pair) < 0.8:
+            data += pair
+    docs = stored(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string"), "docs")
+    got = simhash.near_duplicates(docs, 1, 7, True, (5, 0.8))
+    assert got.where("doc_id <> component_id").count() == 0
+
+
 def test_one_document_of_a_group_stays(spark):
     rng = random.Random(8)
     words = [f"w{i}" for i in range(4000)]
