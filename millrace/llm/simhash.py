@@ -13,6 +13,8 @@ returns links that connect what it found connected, not all its pairs.
 
 Optionally a link must also hold in the texts: each entry then carries a small MinHash
 sketch of its shingles, by which the trie join proposes links, and the whole sets of shingles decide.
+As similar texts may differ in more bits than the budget, a prefix-filter join of the sets
+finds the links that are still missing.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import map_columns, slices, stored, texts_of
 from .graph import components
-from .shingles import all_pairs, hashes_of, node_of, shingle_set, verified
+from .shingles import all_pairs, candidates, hashes_of, node_of, shingle_set, verified
 
 #: Shingles whose bits are counted at a time; entries of a bucket's chunk; node pairs held at a time.
 SHINGLES_HELD, CHUNK, PAIRS_HELD = 1 << 16, 1 << 14, 1 << 19
@@ -266,8 +268,9 @@ def near_duplicates(
     Repeated rows stay rows. An empty table gives no rows. Only the two named
     columns are read.
 
-    ``distinct`` counts equal shingles once. ``verify = (words, least)`` asks of a link that the
-    texts' distinct shingles of so many words have a Jaccard similarity of ``least``; ids must then be unique and not null.
+    ``distinct`` counts equal shingles once. With ``verify = (words, least)`` the links are all pairs of
+    texts whose distinct shingles of so many words have a Jaccard similarity of ``least``, whatever their fingerprints;
+    ids must then be unique and not null.
     """
     prints = stored(fingerprints(docs, shingle, distinct, verify, id_col, text_col), "fingerprints")
     entries = prints.groupBy("node").agg(
@@ -277,6 +280,9 @@ def near_duplicates(
     found = stored(links(entries, budget, verify[1] if verify else None), "trie-links")
     if verify:
         found = stored(verified(found.distinct(), docs, entries, *verify, id_col, text_col), "sure-links")
+        missing = candidates(docs, components(found, "a", "b"), *verify, id_col, text_col)
+        missing = verified(stored(missing, "candidates"), docs, entries, *verify, id_col, text_col)
+        found = found.union(stored(missing, "missing-links"))
     rooted = entries.select("node", "first").join(components(found, "a", "b"), "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -292,7 +298,7 @@ def without_near_duplicates(
     """One row of each component of near-duplicates, all columns as they are: that of the smallest id (nulls last).
 
     The defaults look for texts whose 5-word shingles are 80 % alike: fingerprints over
-    the distinct words bring most such texts within 7 bits, and whole sets decide.
+    the distinct words bring most such texts within 7 bits, a join of the shingles finds the others, and whole sets decide.
 
     Rows are told apart by their place in the input, so repeated and null ids are no
     trouble; the input must give its rows in the same places when read again, as a stored table does.

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, huffman, induced_sorting, language_id, mtree, packing, recompression, simhash
-from millrace.llm import suffix_dedup, token_counts, tokenizing, toxicity
+from millrace.llm import shingles, suffix_dedup, token_counts, tokenizing, toxicity
 from millrace.llm.common import stored
 from millrace.llm.graph import components
 from millrace.llm.queries import QUERIES
@@ -349,6 +349,34 @@ def test_pairs_just_below_the_threshold_are_no_links(spark):
     assert got.where("doc_id <> component_id").count() == 0
 
 
+@pytest.mark.parametrize("chunk, often", [(1 << 12, 64), (3, 2)])
+def test_near_duplicates_at_the_threshold_equal_brute_force(spark, monkeypatch, chunk, often):
+    monkeypatch.setattr(shingles, "CHUNK", chunk)
+    monkeypatch.setattr(shingles, "FREQUENT", often)
+    monkeypatch.setattr(shingles, "ROWS_HELD", 500)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(4000)]
+    common, data = rng.choices(words, k=40), []
+    for k in range(60):
+        base = rng.choices(words, k=rng.randint(60, 250)) + (common if k % 3 == 0 else [])
+        n = len(base)
+        size = round(n * rng.uniform(0.02, 0.25))
+        other = rng.choices(words, k=size)
+        at = rng.randrange(n - size)
+        edits = [base + other, other + base, base[: n - size], base[size:], base[:at] + other + base[at:], base[:at] + base[at + size :]]
+        half = size // 2
+        edits.append(base[:at] + other[:half] + base[at + half :])
+        data += [base, *rng.sample(edits, 3)]
+    data = [" ".join(w) for w in data]
+    near = [(i, j) for i in range(len(data)) for j in range(i) if plain_similarity(data[i], data[j]) >= 0.8]
+    assert sum(plain_similarity(data[i], data[j]) < 0.85 for i, j in near) > 20
+    want = groups_of(data, lambda a, b: plain_similarity(a, b) >= 0.8)
+    docs = stored(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string"), "docs")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, 1, 7, True, (5, 0.8)).collect()}
+    assert got == dict(enumerate(want))
+    assert {r["doc_id"] for r in simhash.without_near_duplicates(docs).collect()} == set(want)
+
+
 def test_one_document_of_a_group_stays(spark):
     rng = random.Random(8)
     words = [f"w{i}" for i in range(4000)]
