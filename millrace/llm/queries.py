@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from millrace.session import work_path
 
-from . import language_id, toxicity
+from . import conversations, language_id, toxicity
+from .audit_sql import AUDIT_SQL, REPAIR_SQL
+from .automaton import encode_texts
 from .common import remainder, table
 from .decontamination import find_leaks
+from .filter_audit import audit_filters
 from .huffman import read_token_files, write_token_files
 from .mtree import quantize, top_k
 from .packing import pack
@@ -95,6 +98,26 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded by the tokenization automaton, and decoded again."""
+    found = encode_texts(table(spark, folder, "documents"), public_path("word_bpe_49k.json"), decode=True)
+    return found.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged conversations and the cheapest edits that repair them."""
+    rows = conversations.damaged(table(spark, folder, "conversations"))
+    return conversations.repair(rows, gone=rows["dropped"])
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove in every order of application."""
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -106,9 +129,14 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_bpe": op11_bpe,
+    "op12_conversations": op12_conversations,
+    "op13_filter_audit": op13_filter_audit,
 }
 #: The others rest on tokenizers, learned models or hashes that DuckDB lacks; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
+    "op12_conversations": REPAIR_SQL,
+    "op13_filter_audit": AUDIT_SQL,
     "op3_topk_search": """
 WITH parts AS (
     SELECT vec_id, embedding, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
