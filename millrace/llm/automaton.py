@@ -61,12 +61,12 @@ class Automaton:
             left[vocabulary[a + b]], born[vocabulary[a + b]] = vocabulary[a], m
         place, upto = _numbered(left, born)
         #: The row each token leads to, and of each row the edges of the intervals of labels it lacks.
-        self.goes, self.rows = _compiled(
+        self.goes, self.rows, never = _compiled(
             [(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in merges], self.size, place, upto
         )
         self.place = array("i", place)
         self.longest = max(map(len, vocabulary), default=0)
-        self.vocabulary = vocabulary
+        self.vocabulary = {t: i for t, i in vocabulary.items() if i not in never}
         self.trie: dict = {}
 
     def __getstate__(self) -> dict:
@@ -136,14 +136,21 @@ def _numbered(left: list[int], born: list[int]) -> tuple[list[int], list[list[tu
 
 def _compiled(
     merges: list[tuple[int, int, int]], size: int, place: list[int], children: list[list[tuple[int, int]]]
-) -> tuple[array, list[array]]:
-    """The row each token leads to (the start is row 0), and of each row the edges of the intervals of missing arcs."""
+) -> tuple[array, list[array], set[int]]:
+    """The row each token leads to (the start is row 0), of each row the edges of the intervals of missing arcs, and tokens without arcs."""
     goes = [0] * size
     origin, lost = [0], [(0, 0)]  # of each state: the one it copies, and the interval of arcs it lacks besides
+    never: set[int] = set()
     for m, (u, v, w) in enumerate(merges):
+        at = goes[u]
+        while at and not lost[at][0] <= place[v] < lost[at][1]:
+            at = origin[at]
+        if at or u in never or v in never:  # v never follows u: nothing to merge
+            never.add(w)
+            continue
         end = place[v] + 1
         for birth, upto in children[v]:
-            if birth < m and (v, birth) != (u, m):
+            if birth < m:
                 break
             end = upto
         goes[w] = goes[v]
@@ -167,7 +174,7 @@ def _compiled(
             elif b > row[-1]:
                 row[-1] = b
         rows.append(row)
-    return array("i", [numbers[s] for s in goes]), rows
+    return array("i", [numbers[s] for s in goes]), rows, never
 
 
 class _Words(dict):
