@@ -183,9 +183,10 @@ def failed_filters(
     """
     filters = filters or FILTERS
     facts = stored(text_facts(docs, id_col, text_col, part_col), "filter-facts")
-    # Most texts occur once: only those of several ids are joined. One text's copies meet in partial sums first.
+    # Most texts occur once: only those of several ids are joined. One text's copies meet in partial sums first, and
+    # the stored table lets the join broadcast it if small, and split the rows of a hot text if not.
     repeats = facts.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    joined = facts.join(repeats.select("digest", "least"), "digest", "left")
+    joined = facts.join(stored(repeats.select("digest", "least"), "repeated-texts"), "digest", "left")
     joined = joined.withColumn("repeated", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)))
     bits = [F.when(F.expr(f), F.lit(1 << i)).otherwise(0) for i, f in enumerate(filters.values())]
     return joined.select("doc_id", "part", sum(bits[1:], bits[0]).alias("fails"))
