@@ -106,6 +106,23 @@ def stored_merge(spark):
     return action
 
 
+def touched_merge(spark):
+    """Ten rows merged into a stored history table of all orders in 64 buckets: the cost goes with the batch."""
+    orders = table(spark, FOLDER, "orders")
+    few = orders.orderBy("o_orderkey").limit(10).withColumn("o_orderstatus", F.lit("X"))
+    history = add_history_columns(orders, "2020-01-01 00:00:00")
+
+    def action():
+        keys = ["o_orderkey"]
+        sink = HistoryTable(spark, work_path(spark, "history"), history.schema, buckets=64, keys=keys).create()
+        sink.replace(history)
+        started = time.perf_counter()
+        sink.merge(few, keys, "2024-01-01 00:00:00")
+        return time.perf_counter() - started
+
+    return action
+
+
 def one_new_of_many(spark):
     """100 delimited files, one of them newer than the mark."""
     path = work_path(spark, "many")
@@ -139,6 +156,7 @@ def main() -> None:
     actions["repair_only"] = repair_only(spark)
     actions["merge_customer"] = customer_merge(spark)
     actions["merge_small_batch_stored"] = stored_merge(spark)
+    actions["merge_touched_buckets"] = touched_merge(spark)
     actions["incremental_one_of_100"] = one_new_of_many(spark)
     chosen = sys.argv[1:] or list(actions)
     actions[chosen[0]]()  # a first run warms the JVM and is not counted

@@ -1,18 +1,13 @@
 """History (SCD type 2) and current-state (SCD type 1) merges as DataFrame plans.
 
-Only active versions meet the batch; history passes by. Two plans give the
-same rows:
-
-* ``outer``: one full outer join, one shuffle of each side. For batches of any
-  size.
-* ``lookup``: the batch is looked up from the active side, and a second,
-  key-and-compared-columns scan finds the keys that stay active. When the
-  planner may broadcast the batch, the large side is never shuffled. Also right
-  when the table holds several active versions of one key.
-
-``auto`` takes ``lookup`` when the optimizer's size estimate of the batch is
-under the session's broadcast threshold, else ``outer``. No hint is given:
-whether to broadcast stays the planner's decision.
+Only active versions meet the batch; history passes by. Each active version looks
+its key up in the batch, and a second scan of keys and compared columns finds the
+keys that stay active; batch rows without one are new. The rows are the same at
+every batch size and with any number of active versions of a key.
+
+A ``strategy`` names a join method, never other rows: under ``auto`` (or
+``lookup``) the planner decides from real sizes whether to broadcast the batch, in
+which case the table is not shuffled; ``merge`` asks for a sort-merge join.
 """
 
 from __future__ import annotations
@@ -173,9 +168,9 @@ def _looked_up_by(batch: DataFrame, strategy: str) -> DataFrame:
     """The batch as the side that is looked up. A strategy is a join method; the rows are the same under each."""
     if strategy in ("auto", "lookup"):
         return batch  # the planner decides from real sizes
-    if strategy == "outer":
+    if strategy in ("merge", "outer"):  # "outer" is its former name
         return batch.hint("merge")
-    raise ValueError("strategy must be 'auto', 'lookup' or 'outer'")
+    raise ValueError("strategy must be 'auto', 'lookup' or 'merge'")
 
 
 def _differences(columns: Iterable[str]) -> list[str]:

@@ -18,7 +18,7 @@ from millrace.session import work_path
 from millrace.sinks import folders
 from millrace.sinks.history_table import HistoryTable, MergeCounts, history_schema
 from millrace.sinks.state import HwmState
-from millrace.sinks.targets import write_target
+from millrace.sinks.targets import column_list, write_target
 from millrace.sources.files import empty_like, read_files
 from millrace.sources.incremental import RawEntity, entity_paths, incremental_read, read_entity_files
 
@@ -44,6 +44,9 @@ class JobConfig:
     duplicates: str | tuple[str, ...] = "fail"
     null_keys: str = "insert"
     retention_days: int | None = None
+    #: Layout of a target that is created: columns it is partitioned by, or buckets of its natural key.
+    partition_by: tuple[str, ...] = ()
+    buckets: int = 0
     properties_root: str | None = None
     #: Further sources of the same target, each with the name its mark is kept under.
     more_sources: tuple[tuple[RawEntity, str | None], ...] = ()
@@ -103,6 +106,7 @@ class JobConfig:
             path_filter=lookup(cleanse, "SourceFilePathFilter"),
             actions=tuple(lookup(cleanse, "ActionFunctions", ())),
             retention_days=int(keep) if keep else None,
+            partition_by=column_list(lookup(sink_doc, "System.PartitionKey")),
         )
         return JobConfig(**{**values, **overrides})
 
@@ -145,9 +149,13 @@ def cleanse(df: DataFrame, config: JobConfig, run_ts: str, cast_failures: list[O
 
 
 def target_table(spark: SparkSession, config: JobConfig) -> HistoryTable:
-    """The target, created when absent; raises when it lacks catalogue columns, which would be lost."""
+    """The target, created when absent; raises when it lacks catalogue columns, which would be lost.
+
+    A table that exists keeps the layout it was created with.
+    """
     wanted = history_schema(config.catalogue.schema)
-    table = HistoryTable(spark, config.target_path, wanted).create()
+    keys = config.catalogue.natural_key
+    table = HistoryTable(spark, config.target_path, wanted, config.buckets, keys, config.partition_by).create()
     stored = {name.lower() for name in table.schema.names}
     absent = [name for name in wanted.names if name.lower() not in stored]
     if absent:
@@ -223,14 +231,15 @@ def run_job(spark: SparkSession, config: JobConfig, run_ts: str | datetime | Non
     return result
 
 
-def _progress_key(config: JobConfig) -> str:
+def progress_key(config: JobConfig) -> str:
+    """Where a target keeps the note of how far a source has been loaded."""
     return f"{config.entity}|{config.source_name or ''}"
 
 
 def current_mark(spark: SparkSession, config: JobConfig, table: HistoryTable) -> str:
     """The stored mark, or the one published with the table's rows where the load that did so could not store it."""
     state = HwmState(spark, config.state_path)
-    note = table.published(_progress_key(config))
+    note = table.published(progress_key(config))
     if note and not state.has(config.entity, config.source_name, note["written_at"]):
         return state.write(config.entity, note["hwm"], note["rows"], config.source_name, note["written_at"])
     return state.read(config.entity, config.source_name)
@@ -253,7 +262,7 @@ def _load_source(spark: SparkSession, config: JobConfig, table: HistoryTable, st
             known = None if config.actions else staged.rows
             next_mark = stamp if config.policy.next == "run_ts" else staged.next_mark or mark
             note = {"hwm": next_mark, "rows": staged.rows, "written_at": stamp}
-            counts = apply_batch(batch, table, config, stamp, known, {_progress_key(config): note})
+            counts = apply_batch(batch, table, config, stamp, known, {progress_key(config): note})
             result.counts = result.counts + counts
             state = HwmState(spark, config.state_path)
             result.hwm = state.write(config.entity, next_mark, counts.affected, config.source_name, stamp)

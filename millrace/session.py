@@ -15,6 +15,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+_OWN_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app_name: str = "millrace", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above. ``master`` is for local runs and tests."""
@@ -30,16 +32,17 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate data.
 
     ``spark.checkpoint.dir`` is read from the session. Only where it is unset
-    (plain local runs) a temporary folder is made and remembered.
+    (plain local runs) a temporary folder is made, one for an application.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="millrace-")
+    return _OWN_FOLDERS[application]
 
 
 def work_path(spark: SparkSession, label: str) -> str:

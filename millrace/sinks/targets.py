@@ -77,10 +77,11 @@ def write_target(
         table.append(counted, progress)
         return MergeCounts(inserted=seen.get["rows"])
     if name in UPSERT_NAMES:
-        merged = scd1_upsert(table.active(), add_history_columns(df, run_ts), keys, with_outcome=True, **options)
+        touched, kept = table.touched(df, keys)
+        merged = scd1_upsert(touched, add_history_columns(df, run_ts), keys, with_outcome=True, **options)
         seen = Observation()
         merged = merged.observe(seen, *[count_outcome(name) for name in (UPDATED_ROW, INSERTED, KEPT)])
-        table.replace_active(merged.drop(OUTCOME), progress)
+        table.replace_active(merged.drop(OUTCOME), progress, kept)
         return MergeCounts(inserted=seen.get[INSERTED], unchanged=seen.get[KEPT], updated=seen.get[UPDATED_ROW])
     raise ValueError(f"unknown target process {process!r}")
 
@@ -93,6 +94,12 @@ def append_to_table(df: DataFrame, table: str) -> int:
     return seen.get["rows"]
 
 
+def column_list(names: str | Sequence[str] | None) -> tuple[str, ...]:
+    """Column names from a comma list or a list; blank ones are left out."""
+    parts = names.split(",") if isinstance(names, str) else list(names or [])
+    return tuple(p.strip() for p in parts if p.strip())
+
+
 def schema_ddl(schema: T.StructType) -> str:
     """Column list for CREATE TABLE."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -112,8 +119,7 @@ def create_table(
     comma list, or a list.
     """
     schema = catalogue.schema if isinstance(catalogue, Catalogue) else catalogue
-    parts = partition_by.split(",") if isinstance(partition_by, str) else list(partition_by or [])
-    parts = [p.strip() for p in parts if p.strip()]
+    parts = column_list(partition_by)
     known = {n.lower(): n for n in schema.names}
     absent = [p for p in parts if p.lower() not in known]
     if absent:

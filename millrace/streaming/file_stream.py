@@ -11,7 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.plans.job import JobConfig, JobResult, apply_batch, current_mark, purge, run_actions, stage, target_table
+from millrace.plans.job import JobConfig, JobResult, apply_batch, current_mark, progress_key, purge, run_actions, stage, target_table
 from millrace.sinks.state import HwmState
 from millrace.sources.delimited import csv_options
 from millrace.sources.incremental import read_entity_files
@@ -45,9 +45,9 @@ def run_stream(
 ) -> StreamingQuery:
     """Merge new files into the target, then stop (or keep polling every ``continuous``).
 
-    A batch's number is published with its rows, so a batch that is replayed after a
-    failure is passed over. Each batch stores a mark (the run's time) and its rows, and retention
-    runs after it, as in :func:`run_job`. Which files are new is the checkpoint's to say: date marks apply to
+    A batch's number and its mark are published with its rows, in one step: a batch that is replayed after a
+    failure is passed over, and the mark it could not store is stored then. Each batch stores a mark (the run's time)
+    and its rows, and retention runs after it, as in :func:`run_job`. Which files are new is the checkpoint's to say: date marks apply to
     the rows of each batch.
     """
     if config.more_sources:
@@ -58,15 +58,18 @@ def run_stream(
 
     def merge_batch(raw: DataFrame, batch_id: int) -> None:
         done = table.published(key)
+        mark = current_mark(raw.sparkSession, config, table)
         if done and done["batch"] >= batch_id:
             return
         stamp = run_ts or datetime.now(timezone.utc).isoformat()
-        staged = stage(raw, config, current_mark(raw.sparkSession, config, table), stamp, names)
+        staged = stage(raw, config, mark, stamp, names)
         try:
             if staged.rows:
-                next_mark = stamp if config.policy.next == "run_ts" else staged.next_mark
+                next_mark = stamp if config.policy.next == "run_ts" else staged.next_mark or mark
+                note = {"hwm": next_mark, "rows": staged.rows, "written_at": stamp}
                 counts = apply_batch(
-                    run_actions(staged.frame, config), table, config, stamp, progress={key: {"batch": batch_id}}
+                    run_actions(staged.frame, config), table, config, stamp, None if config.actions else staged.rows,
+                    progress={key: {"batch": batch_id}, progress_key(config): note},
                 )
                 HwmState(raw.sparkSession, config.state_path).write(
                     config.entity, next_mark, counts.affected, config.source_name, stamp

@@ -209,6 +209,13 @@ def history_job(spark: SparkSession, folder: str) -> DataFrame:
     return _zoneless(HistoryTable(spark, config.target_path).read())
 
 
+@query("job_partitioned_target", _LOADED_SQL)
+def job_partitioned_target(spark: SparkSession, folder: str) -> DataFrame:
+    """The same loads into a target partitioned by a column whose value changes: touched partitions are replaced."""
+    config, _ = _three_loads(spark, folder, partition_by=("Status",))
+    return _zoneless(HistoryTable(spark, config.target_path).read())
+
+
 _COUNTED_SQL = f"""WITH counted AS (
   SELECT count(*) AS n, count(*) FILTER (o_orderdate < TIMESTAMP '{CUT}') AS early,
          count(*) FILTER (o_orderdate < TIMESTAMP '{CUT}' AND o_orderstatus = 'F') AS again FROM orders)"""
@@ -395,3 +402,23 @@ def history_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _zoneless(HistoryTable(spark, config.target_path).read())
 
 
+@query("stream_marks_after_crash", f"""{_COUNTED_SQL}
+SELECT 'cleansed.sales.Orders' AS entity, '{_FIRST_TS}' AS hwm, early AS rows_affected, TIMESTAMP '{_FIRST_TS}' AS written_at, early AS stored
+FROM counted
+UNION ALL
+SELECT 'cleansed.sales.Orders', '{_SECOND_TS}', n - early + 2 * again, TIMESTAMP '{_SECOND_TS}', n + again FROM counted""")
+def stream_marks_after_crash(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream stops after its rows are published, before mark and commit are stored: the replay stores the mark, no row comes twice."""
+    config = _config(spark)
+    checkpoint = work_path(spark, "stream-checkpoint")
+    stored = []
+    for number, (drop, stamp) in enumerate(zip(_drops(spark, folder), (_FIRST_TS, _SECOND_TS))):
+        write_delimited(drop, f"{config.source.path}/drop={number}", _FORMAT)
+        run_stream(spark, config, checkpoint, run_ts=stamp).awaitTermination()
+        if number == 0:
+            folders.remove(spark, config.state_path)
+            folders.remove(spark, f"{checkpoint}/commits/{number}")
+            run_stream(spark, config, checkpoint, run_ts=_TIMES[2]).awaitTermination()
+        stored.append((stamp, HistoryTable(spark, config.target_path).read().count()))
+    marks = _zoneless(HwmState(spark, config.state_path).frame().drop("source"))
+    return marks.join(spark.createDataFrame(stored, "hwm string, stored long"), "hwm")

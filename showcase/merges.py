@@ -175,6 +175,18 @@ def history_table_merge(spark: SparkSession, folder: str) -> DataFrame:
     return stored.read()
 
 
+@query("history_table_touched_buckets", f"{PASSES_SQL} SELECT * FROM pass_one UNION ALL SELECT * FROM pass_two")
+def history_table_touched_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """The merge on a table in buckets, one customer's share of the batch after the other: only touched buckets are rewritten."""
+    history, batch = order_history(spark, folder), order_batch(spark, folder)
+    stored = HistoryTable(spark, work_path(spark, "history"), history.schema, buckets=16, keys=ORDER_KEY).create()
+    stored.replace(history)
+    share = F.pmod(F.col("o_custkey"), F.lit(3))
+    for part in range(3):
+        stored.merge(batch.filter(share == part), ORDER_KEY, RUN_TS)
+    return stored.read()
+
+
 @query("history_table_append", f"WITH {HISTORY_SQL}, {BATCH_SQL} SELECT * FROM sink UNION ALL SELECT * FROM batch")
 def history_table_append(spark: SparkSession, folder: str) -> DataFrame:
     stored = _stored_history(spark, folder)

@@ -264,3 +264,24 @@ def test_upsert_outcomes(spark, tmp_path):
     drop(tmp_path, "two.csv", "2,C,2024-01-02", "3,D,2024-01-02")
     counts = run_job(spark, job).counts
     assert (counts.updated, counts.inserted, counts.unchanged, counts.affected) == (1, 1, 1, 2)
+
+
+def test_own_folder_without_a_setting(tmp_path):
+    """A plain local session that names no checkpoint folder: one is made, once, and a load's intermediate data goes there."""
+    import os
+    import subprocess
+    import sys
+
+    script = (
+        "from millrace.session import build_session, shared_folder, work_path\n"
+        "spark = build_session('plain', 'local[1]')\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "path = work_path(spark, 'x')\n"
+        "spark.range(3).write.parquet(path)\n"
+        "assert path.startswith(shared_folder(spark) + '/x-') and spark.read.parquet(path).count() == 3\n"
+        "print('made', shared_folder(spark) == shared_folder(spark.newSession()))\n"
+    )
+    environment = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "TMPDIR": str(tmp_path)}
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", script], cwd=root, env=environment, capture_output=True, text=True, timeout=240)
+    assert "made True" in done.stdout, done.stderr[-2000:]
