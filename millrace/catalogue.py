@@ -30,7 +30,7 @@ def lookup(document: Mapping, path: str, default=None):
     return node
 
 
-def as_flag(value, default: bool = False) -> bool:
+def as_flag(value, default: bool | None = False) -> bool | None:
     """Boolean-like settings: true, "True", "1", "yes"."""
     if value is None:
         return default
@@ -164,7 +164,8 @@ class FileFormat:
     multiline: bool = True
     unescaped_quotes: str = "STOP_AT_DELIMITER"
     nul_interleaved: bool = False
-    split_multiline: bool = False
+    #: Whether many tasks read one file with line breaks inside fields; None: where a file is larger than one task's share.
+    split_multiline: bool | None = None
 
     @property
     def read_format(self) -> str:
@@ -185,7 +186,7 @@ class FileFormat:
             multiline=as_flag(lookup(section, "MultiLine"), base.multiline),
             unescaped_quotes=lookup(section, "UnescapedQuoteHandling", base.unescaped_quotes),
             nul_interleaved=as_flag(lookup(section, "StripEvenCharactersFromRawFile"), False),
-            split_multiline=as_flag(lookup(section, "SplitMultiLine"), False),
+            split_multiline=as_flag(lookup(section, "SplitMultiLine"), None),
         )
 
 

@@ -1,7 +1,7 @@
 """Counting from the start of a file, in parallel.
 
 Formats whose record ends depend on everything before them (the number of
-delimiters, the parity of quotes) need a running count per file. Files are read
+delimiters, open quotes) need a running count or state per file. Files are read
 by many tasks, one block each; a block's rows are counted inside the block, and
 a prefix sum over a file's blocks, one small row per block, gives the rest.
 """
@@ -44,6 +44,44 @@ def with_counts(segments: DataFrame, counted: str) -> DataFrame:
     return running.join(offsets, ["path", "block"])
 
 
+def with_state(segments: DataFrame) -> DataFrame:
+    """Adds ``inside``: the state of a two-state automaton before each segment; a file begins outside.
+
+    ``from_outside`` and ``from_inside`` say whether a segment begun in either state ends inside. A segment so
+    maps states to states: it leaves them, turns them round, or ends in one state whatever was before. Maps are
+    composed along a block by the last segment of the last kind and the number of turns since, and
+    block maps, one small row each, along a file in the same way.
+    """
+    fixes, odd = F.col("from_outside") == F.col("from_inside"), lambda n: n % 2 == 1
+    turn = (F.col("from_outside") & ~F.col("from_inside")).cast("bigint")
+    upto = in_block().rowsBetween(Window.unboundedPreceding, 0)
+    before = in_block().rowsBetween(Window.unboundedPreceding, -1)
+    told = segments.withColumn("turn", turn).withColumn("turns", F.sum("turn").over(upto))
+    told = told.withColumn("fixed", F.when(fixes, F.struct("place", F.col("from_outside").alias("value"), "turns")))
+
+    blocks = told.groupBy("path", "block").agg(F.max("fixed").alias("fixed"), F.sum("turn").alias("total"))
+    ends = F.when(F.col("fixed").isNotNull(), F.col("fixed.value") != odd(F.col("total") - F.col("fixed.turns")))
+    blocks = blocks.withColumn("ends", ends).withColumn("turn", F.when(ends.isNull(), odd(F.col("total"))).otherwise(False).cast("bigint"))
+    in_file = Window.partitionBy("path").orderBy("block")
+    blocks = blocks.withColumn("turns", F.sum("turn").over(in_file))
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    settled = F.last(F.when(F.col("ends").isNotNull(), F.struct("ends", "turns")), ignorenulls=True).over(earlier)
+    turns_so_far = F.coalesce(F.sum("turn").over(earlier), F.lit(0))
+    blocks = blocks.withColumn("settled", settled).withColumn("so_far", turns_so_far)
+    begins = F.when(F.col("settled").isNull(), odd(F.col("so_far"))).otherwise(
+        F.col("settled.ends") != odd(F.col("so_far") - F.col("settled.turns"))
+    )
+    blocks = blocks.select("path", "block", begins.alias("begins"))
+
+    told = told.withColumn("last_fixed", F.last("fixed", ignorenulls=True).over(before))
+    told = told.withColumn("turns_before", F.col("turns") - F.col("turn"))
+    inside = F.when(F.col("last_fixed").isNull(), F.col("begins") != odd(F.col("turns_before"))).otherwise(
+        F.col("last_fixed.value") != odd(F.col("turns_before") - F.col("last_fixed.turns"))
+    )
+    helpers = ("turn", "turns", "fixed", "last_fixed", "turns_before", "begins", "from_outside", "from_inside")
+    return told.join(blocks, ["path", "block"]).withColumn("inside", inside).drop(*helpers)
+
+
 def joined_text(line_end: str) -> Column:
     """Aggregate: segments of a group in file order, put together again."""
     pieces = F.sort_array(F.collect_list(F.struct("block", "place", "segment")))

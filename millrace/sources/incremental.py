@@ -14,7 +14,7 @@ from millrace.operators.watermark import OLDEST_FILE_MARK
 from millrace.sinks import folders
 from millrace.sources.delimited import check_headers, read_many
 from millrace.sources.files import read_files
-from millrace.sources.multiline import read_multiline
+from millrace.sources.multiline import read_multiline, splits
 from millrace.sources.processing_log import file_list, files_to_process, log_path, read_log
 from millrace.sources.repair import read_repaired
 
@@ -63,7 +63,7 @@ def read_entity_files(
     if entity.fmt.nul_interleaved:
         return read_repaired(spark, paths, entity.fmt.delimiter)
     if entity.fmt.read_format in _DELIMITED:
-        if entity.fmt.multiline and entity.fmt.split_multiline:
+        if splits(spark, paths, entity.fmt) and not (by_name and not isinstance(paths, str)):
             return read_multiline(spark, paths, entity.fmt)
         if by_name and not isinstance(paths, str):
             return read_many(spark, paths, entity.fmt, by_name=True)

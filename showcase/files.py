@@ -56,6 +56,34 @@ def scan_multiline(spark: SparkSession, folder: str) -> DataFrame:
     return _talk(read_multiline(spark, path, fmt))
 
 
+@query("scan_split_any_quotes", """
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'in"side ' || o_orderstatus WHEN 1 THEN 'two' || chr(10) || 'lines, "' || o_orderstatus || '"'
+         WHEN 2 THEN '"he said "' || o_orderstatus || '" there"' ELSE 'back' || chr(92) END AS note FROM orders""")
+def scan_split_any_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Quotes inside unquoted fields, escaped and unescaped ones inside quoted fields, line breaks: one file, many tasks."""
+    status, kind = F.col("o_orderstatus"), F.col("o_orderkey") % 4
+    note = (
+        F.when(kind == 0, F.concat(F.lit('in"side '), status))
+        .when(kind == 1, F.concat(F.lit('"two\nlines, \\"'), status, F.lit('\\""')))
+        .when(kind == 2, F.concat(F.lit('"he said "'), status, F.lit('" there"')))
+        .otherwise(F.lit('"back\\\\"'))
+    )
+    path = work_path(spark, "any-quotes")
+    lines = table(spark, folder, "orders").select(F.concat_ws(",", F.col("o_orderkey").cast("string"), note).alias("value"))
+    lines.coalesce(1).write.text(path)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "64k")  # several tasks even for a small table
+    try:
+        found = read_multiline(spark, path, FileFormat(header=False), columns=["o_orderkey", "note"], lineage=False)
+        found = found.select(F.col("o_orderkey").cast("bigint"), "note")
+        result = work_path(spark, "any-quotes-read")
+        found.write.parquet(result)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.parquet(result)
+
+
 @query("scan_by_format", """
 SELECT 'json' AS format, p_partkey, p_name, p_retailprice FROM part
 UNION ALL SELECT 'orc', p_partkey, p_name, p_retailprice FROM part

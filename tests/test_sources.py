@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import time
 
 import pytest
@@ -27,6 +28,8 @@ from millrace.sources import (
     read_whole_text,
     type_log,
 )
+from millrace.sources.incremental import read_entity_files
+from millrace.sources.multiline import _line_patterns, splits
 from tests.conftest import rows
 
 
@@ -297,3 +300,81 @@ def test_entity_format_chooses_the_repair(spark, tmp_path):
     assert rows(incremental_read(spark, entity, path_filter="/*.dat").select("a", "b")) == [("1", "x")]
     later = incremental_read(spark, entity, "2999-01-01 00:00:00", "/*.dat")
     assert later.filter(F.col("a").isNotNull()).count() == 0
+
+
+# -- line breaks inside fields, any quotes -----------------------------------
+def _odd_file(rng, escape, wild):
+    if wild:
+        return "".join(rng.choice(["a", '"', '"', "\\", ",", "\n", " ", "é"]) for _ in range(rng.randint(1, 12))) + "\n"
+
+    def text(letters):
+        return "".join(rng.choice(letters) for _ in range(rng.randint(1, 5)))
+
+    kinds = [
+        lambda: text("ab"), lambda: f'{text("ab")}"{text("ab")}{chr(34)}{text("ab")}', lambda: f'"{text(["a", ",", chr(10)])}"',
+        lambda: f'"{text(["b", ",", chr(10)])}{escape}"{text(["b", ",", chr(10)])}"',
+        lambda: f'"{text("ab")}"{text("ab ")}"{text("ab")}"', lambda: f'"a{text(["b", chr(10)])}{escape}{escape}"',
+    ]
+    lines = (",".join(rng.choice(kinds)() for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(1, 5)))
+    return "\n".join(lines) + "\n"
+
+
+def _cut_off(text, fmt):
+    """Whether a file ends inside a quoted field: such a field's end is no one's to say. Nor is a quote before an escape."""
+    if fmt.escape != '"' and '"' + fmt.escape in text:
+        return True
+    outside, inside = (re.compile(p.replace("\\z", "\\Z")) for p in _line_patterns(fmt))
+    open_ = False
+    for line in text.split("\n"):
+        line = line.removesuffix("\r")
+        open_ = bool(inside.search(line) if open_ else outside.search(fmt.delimiter + line))
+    return open_
+
+
+@pytest.mark.parametrize("wild", [False, True])
+@pytest.mark.parametrize("escape", ["\\", '"'])
+@pytest.mark.parametrize("unescaped", ["STOP_AT_DELIMITER", "STOP_AT_CLOSING_QUOTE"])
+def test_split_reader_equals_the_one_task_reader(spark, tmp_path, unescaped, escape, wild):
+    rng = random.Random(f"{unescaped}{escape}{wild}")
+    fmt = FileFormat(escape=escape, unescaped_quotes=unescaped, header=False, fail_fast=False)
+    texts = {f"f{n}.csv": _odd_file(rng, escape, wild) for n in range(250)}
+    texts = {name: text for name, text in texts.items() if not _cut_off(text, fmt)}
+    for name, text in texts.items():
+        write(tmp_path / name, text, "utf-8")
+    columns = ["c0", "c1", "c2"]
+
+    def by_file(df):
+        found = {name: [] for name in texts}
+        for r in df.collect():
+            if any(r[:3]):
+                found[r["file_name"]].append(tuple(r[:3]))
+        return {name: sorted(part, key=repr) for name, part in found.items()}
+
+    want = by_file(read_delimited(spark, str(tmp_path), fmt, columns=columns, enforceSchema="true"))
+    got = by_file(read_multiline(spark, str(tmp_path), fmt, columns=columns))
+    wrong = {texts[n]: (got[n], want[n]) for n in texts if got[n] != want[n]}
+    assert len(texts) > 100 and not wrong
+
+
+def test_split_reader_uses_many_tasks_of_one_file(spark, tmp_path):
+    rng = random.Random(4)
+    fields = [["plain", 'in"side', '"two\nlines, \\"quoted\\""', '"a\\\\"', '"odd"quote'][rng.randrange(5)] for _ in range(3000)]
+    lines = [f"{i},{a}" for i, a in enumerate(fields)]
+    write(tmp_path / "one.csv", "id,t\n" + "\n".join(lines) + "\n", "utf-8")
+    fmt = FileFormat()
+    want = rows(read_delimited(spark, str(tmp_path), fmt, lineage=False))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        lines_read = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+        got = rows(read_multiline(spark, str(tmp_path), fmt, lineage=False))
+        assert lines_read > 8 and got == want and len(got) == 3000
+        # The format's default splits a file that is larger than what one task reads.
+        entity = RawEntity(str(tmp_path), "one", fmt)
+        assert splits(spark, str(tmp_path), fmt)
+        assert rows(read_entity_files(spark, entity, str(tmp_path)).select("id", "t")) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert not splits(spark, str(tmp_path), fmt)
+    with pytest.raises(ValueError, match="cannot be split"):
+        read_multiline(spark, str(tmp_path), FileFormat(unescaped_quotes="BACK_TO_DELIMITER"))
