@@ -46,6 +46,15 @@ def node_of(found: np.ndarray) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def bits_of(found: np.ndarray) -> int:
+    """64 bits of a set, as a long: one bit of the least hash in each of 64 bins. Two sets differ in half the share of bins
+    that their similarity leaves; empty bins agree."""
+    least = np.full(64, (1 << 58) - 2, np.uint64)
+    np.minimum.at(least, (found >> np.uint64(58)).astype(np.int64), found & np.uint64((1 << 58) - 1))
+    value = int.from_bytes(np.packbits((least & np.uint64(1)).astype(bool)).tobytes(), "big")
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _least_common(size: np.ndarray | int, least: float):
     """Shingles that a set of this size shares with any set as similar as ``least``."""
     return np.ceil(least * np.asarray(size) - 1e-9).astype(np.int64)
@@ -201,7 +210,7 @@ def _ranges(rows: np.ndarray) -> np.ndarray:
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, least: float, id_col: str, text_col: str) -> DataFrame:
     """The ``a, b`` whose sets of shingles have a Jaccard similarity of ``least`` or more.
 
-    ``nodes`` has the id of one text, ``first``, for each ``node``; ids are unique.
+    ``nodes`` has the id of one text, ``first``, for each ``node``; rows of one id have one text.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "first"), "node")
     texts = texts_of(docs, id_col, text_col).join(wanted.select("node", F.col("first").alias("doc_id")), "doc_id")
@@ -210,7 +219,8 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int,
         for batch in slices(batches):
             yield {"node": batch["node"], "shingles": [shingle_set(t, shingle).tobytes() for t in batch["text"]]}
 
-    sets = stored(map_columns(texts.select("node", "text"), sets_of, "node long, shingles binary"), "shingle-sets")
+    sets = map_columns(texts.select("node", "text"), sets_of, "node long, shingles binary")
+    sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingle-sets")  # ids may repeat with their text
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b").select("a", "b", "of_a", "of_b")
 

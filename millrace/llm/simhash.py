@@ -26,10 +26,11 @@ from math import comb
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from .common import map_columns, slices, stored, texts_of
 from .graph import components
-from .shingles import all_pairs, candidates, hashes_of, node_of, shingle_set, verified
+from .shingles import all_pairs, bits_of, candidates, hashes_of, node_of, shingle_set, verified
 
 #: Shingles whose bits are counted at a time; entries of a bucket's chunk; node pairs held at a time.
 SHINGLES_HELD, CHUNK, PAIRS_HELD = 1 << 16, 1 << 14, 1 << 19
@@ -83,17 +84,23 @@ def fingerprints(
     docs: DataFrame, shingle: int = 3, distinct: bool = False, verify: tuple[int, float] | None = None,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, fingerprint`` (a long with the same bits), ``sketch`` (null without ``verify``) and ``node`` of every row."""
+    """``doc_id, fingerprint`` (a long with the same bits), ``node`` of every row, and with ``verify`` its ``sketch`` and ``bits``.
+
+    ``bits`` are a second fingerprint, of the shingles that decide.
+    """
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in slices(batches):
             found = np.array([fingerprint(t, shingle, distinct) for t in batch["text"]], np.uint64)
             sketches = [sketch(t, verify[0]) if verify else None for t in batch["text"]]
             found = found.view(np.int64)
-            nodes = [node_of(shingle_set(t, verify[0])) for t in batch["text"]] if verify else found
-            yield {"doc_id": batch["doc_id"], "fingerprint": found, "sketch": sketches, "node": nodes}
+            sets = [shingle_set(t, verify[0]) for t in batch["text"]] if verify else []
+            nodes = [node_of(s) for s in sets] if verify else found
+            bits = [bits_of(s) for s in sets] if verify else found
+            yield {"doc_id": batch["doc_id"], "fingerprint": found, "sketch": sketches, "bits": bits, "node": nodes}
 
-    return map_columns(texts_of(docs, id_col, text_col), run, "doc_id long, fingerprint long, sketch binary, node long")
+    kind = "doc_id long, fingerprint long, sketch binary, bits long, node long"
+    return map_columns(texts_of(docs, id_col, text_col), run, kind)
 
 
 class Union:
@@ -274,11 +281,17 @@ def near_duplicates(
     """
     prints = stored(fingerprints(docs, shingle, distinct, verify, id_col, text_col), "fingerprints")
     entries = prints.groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.first("fingerprint").alias("fingerprint"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("first"), F.first("fingerprint").alias("fingerprint"), F.first("sketch").alias("sketch"),
+        F.first("bits").alias("bits"),
     )
     entries = stored(entries, "fingerprint-classes")
-    found = stored(links(entries, budget, verify[1] if verify else None), "trie-links")
-    if verify:
+    if not verify:
+        found = stored(links(entries, budget), "trie-links")
+    else:
+        # Proposals that are likely to hold, so that the forest of them stays whole when the sets have decided.
+        likely = min(verify[1] + 0.03, 1.0)
+        by_bits = entries.withColumn("fingerprint", F.col("bits"))
+        found = stored(links(entries, budget, likely).union(links(by_bits, budget, likely)), "trie-links")
         found = stored(verified(found.distinct(), docs, entries, *verify, id_col, text_col), "sure-links")
         missing = candidates(docs, components(found, "a", "b"), *verify, id_col, text_col)
         missing = verified(stored(missing, "candidates"), docs, entries, *verify, id_col, text_col)
@@ -300,17 +313,25 @@ def without_near_duplicates(
     The defaults look for texts whose 5-word shingles are 80 % alike: fingerprints over
     the distinct words bring most such texts within 7 bits, a join of the shingles finds the others, and whole sets decide.
 
-    Rows are told apart by their place in the input, so repeated and null ids are no
-    trouble; the input must give its rows in the same places when read again, as a stored table does.
+    Rows are told apart by a hash of all their columns, so repeated and null ids are no trouble, and it does not matter in
+    what order or how parted they are read again. Of rows equal in all columns one counts.
     """
-    placed = docs.select(F.monotonically_increasing_id().alias("__place"), F.struct("*").alias("row"))
+    columns = [f.name for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
+    place = F.xxhash64(F.lit(7), *[docs[c] for c in columns])
+    placed = docs.select(place.alias("__place"), F.struct("*").alias("row"))
     id_of, text_of = F.col("row")[id_col], F.col("row")[text_col]
     found = near_duplicates(
         placed.select("__place", text_of.alias("text")), shingle, budget, distinct, verify, id_col="__place", text_col="text"
     )
-    ids = placed.select("__place", id_of.alias("id"))
+    found = found.groupBy(F.col("doc_id").alias("__place")).agg(
+        F.first("component_id").alias("component_id"), F.count("*").alias("n")
+    )
+    ids = placed.groupBy("__place").agg(F.first(id_of).alias("id"))
     order = F.struct(F.col("id").isNull().alias("n"), "id", "__place")
-    best = ids.join(found.select(F.col("doc_id").alias("__place"), "component_id"), "__place").groupBy("component_id").agg(
-        F.min(order).alias("best")
+    best = ids.join(found, "__place").groupBy("component_id").agg(
+        F.min(F.struct(order.alias("order"), "n")).alias("best")
     )
-    return placed.join(best.select("best.__place"), "__place", "left_semi").select("row.*")
+    chosen = stored(best.select("best.order.__place", "best.n"), "kept-places")
+    once = placed.join(chosen.where("n = 1"), "__place", "left_semi").select("row.*")
+    again = placed.join(chosen.where("n > 1"), "__place", "left_semi").groupBy("__place").agg(F.first("row").alias("row"))
+    return once.union(again.select("row.*"))
