@@ -166,6 +166,8 @@ class FileFormat:
     nul_interleaved: bool = False
     #: Whether many tasks read one file with line breaks inside fields; None: where a file is larger than one task's share.
     split_multiline: bool | None = None
+    #: Of delimited text; None: UTF-8, and UTF-16LE where files are repaired.
+    encoding: str | None = None
 
     @property
     def read_format(self) -> str:
@@ -187,6 +189,7 @@ class FileFormat:
             unescaped_quotes=lookup(section, "UnescapedQuoteHandling", base.unescaped_quotes),
             nul_interleaved=as_flag(lookup(section, "StripEvenCharactersFromRawFile"), False),
             split_multiline=as_flag(lookup(section, "SplitMultiLine"), None),
+            encoding=lookup(section, "Encoding") or None,
         )
 
 

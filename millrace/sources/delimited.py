@@ -18,7 +18,8 @@ def listed(paths: Paths) -> list[str]:
 
 def csv_options(fmt: FileFormat) -> dict[str, str]:
     """Spark CSV options of a file format."""
-    return {
+    options = {"encoding": fmt.encoding} if fmt.encoding else {}
+    return options | {
         "header": str(fmt.header).lower(),
         "sep": fmt.delimiter,
         "escape": fmt.escape,

@@ -61,7 +61,8 @@ def read_entity_files(
     # Files named one by one keep the partition columns of the entity's folders.
     options = {} if isinstance(paths, str) else {"basePath": entity.path}
     if entity.fmt.nul_interleaved:
-        return read_repaired(spark, paths, entity.fmt.delimiter)
+        mode = "FAILFAST" if entity.fmt.fail_fast else "PERMISSIVE"
+        return read_repaired(spark, paths, entity.fmt.delimiter, entity.fmt.encoding or "UTF-16LE", mode=mode)
     if entity.fmt.read_format in _DELIMITED:
         if splits(spark, paths, entity.fmt) and not (by_name and not isinstance(paths, str)):
             return read_multiline(spark, paths, entity.fmt)

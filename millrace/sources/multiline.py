@@ -23,12 +23,17 @@ _QUOTE, _END = '"', "_end_of_record"
 SPLITTABLE = ("STOP_AT_DELIMITER", "STOP_AT_CLOSING_QUOTE")
 
 
+def _wide(fmt: FileFormat) -> bool:
+    """Whether characters are written in units of two or four bytes, in which a line feed's byte need not be one."""
+    return (fmt.encoding or "").upper().replace("_", "-").startswith(("UTF-16", "UTF16", "UTF-32", "UTF32"))
+
+
 def splits(spark: SparkSession, paths: Paths, fmt: FileFormat) -> bool:
     """Whether such files are read by many tasks each: as the format says, else if one is larger than a task's share.
 
     Only sizes are looked at. Files in folders that stand for columns are left to Spark's reader, which adds those.
     """
-    if not fmt.multiline or fmt.unescaped_quotes not in SPLITTABLE:
+    if not fmt.multiline or fmt.unescaped_quotes not in SPLITTABLE or _wide(fmt):
         return False
     if fmt.split_multiline is not None:
         return fmt.split_multiline
@@ -115,12 +120,13 @@ def read_multiline(
     as if it had one. What a quote that is not escaped means right before an escape character is not defined.
     """
     fmt = fmt or FileFormat()
-    if fmt.unescaped_quotes not in SPLITTABLE:
-        raise ValueError(f"files with unescaped quotes {fmt.unescaped_quotes} cannot be split; read them by one task each")
+    if fmt.unescaped_quotes not in SPLITTABLE or _wide(fmt):
+        raise ValueError(f"files with unescaped quotes {fmt.unescaped_quotes} in {fmt.encoding or 'UTF-8'} cannot be split; read them by one task each")
     names = list(columns) if columns else read_delimited(spark, paths, fmt, lineage=False).columns
-    lines = read_blocks(spark, listed(paths), "\n", F.col("value"))
+    value = F.col("value") if fmt.encoding is None else F.decode(F.col("value").cast("binary"), fmt.encoding)
+    lines = read_blocks(spark, listed(paths), "\n", value)
     records = _records(_with_maps(lines, fmt)).withColumn("segment", F.regexp_replace("segment", "\r$", ""))
-    options = {k: v for k, v in csv_options(fmt).items() if k not in ("header", "inferSchema")}
+    options = {k: v for k, v in csv_options(fmt).items() if k not in ("header", "inferSchema", "encoding")}
     schema = ", ".join(f"`{name}` string" for name in names)
     if fmt.header:
         header = F.from_csv("segment", schema, options)

@@ -302,6 +302,21 @@ def test_entity_format_chooses_the_repair(spark, tmp_path):
     assert later.filter(F.col("a").isNotNull()).count() == 0
 
 
+def test_encoding_and_mode_come_from_the_document(spark, tmp_path):
+    layout = {"Extension": ".dat", "ColumnDelimiter": "|*", "StripEvenCharactersFromRawFile": "true", "Encoding": "UTF-8", "FailFast": "false"}
+    text = 'a|*b|*c\r\n"1"|*"x"|*"y"\r\n"2"|*"cut'
+    write(tmp_path / "T" / "a.dat", "".join(ch + "\0" for ch in text))
+    entity = RawEntity(f"{tmp_path}/T", "T", FileFormat.from_document({"System": {"FileFormat": layout}}))
+    assert rows(incremental_read(spark, entity, path_filter="/*.dat").select("a", "c")) == [("1", "y"), ("2", None)]
+    strict = RawEntity(entity.path, "T", FileFormat.from_document({"System": {"FileFormat": {**layout, "FailFast": "true"}}}))
+    with pytest.raises(Exception, match="incomplete record"):
+        incremental_read(spark, strict, path_filter="/*.dat").collect()
+    write(tmp_path / "L" / "a.csv", "id,t\n1,é\n", "latin-1")
+    for split in (False, True):
+        latin = RawEntity(f"{tmp_path}/L", "L", FileFormat(encoding="ISO-8859-1", split_multiline=split))
+        assert rows(incremental_read(spark, latin, path_filter="/*.csv").select("id", "t")) == [("1", "é")]
+
+
 # -- line breaks inside fields, any quotes -----------------------------------
 def _odd_file(rng, escape, wild):
     if wild:
