@@ -2,12 +2,42 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
 
+class Union:
+    """Disjoint sets over 0 .. n-1; the least member stands for its set."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        parent = self.parent
+        while len(a):
+            a, b = parent[a], parent[b]
+            differ = a != b
+            a, b = a[differ], b[differ]
+            np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+            while (parent[parent] != parent).any():
+                parent[:] = parent[parent]
+
+    def tree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Adds pairs, first ones first, and gives the places of those that joined two sets."""
+        chosen, place = [], np.arange(len(a))
+        while True:
+            own = np.column_stack([self.parent[a[place]], self.parent[b[place]]])
+            place, own = place[own[:, 0] != own[:, 1]], own[own[:, 0] != own[:, 1]]
+            if not len(place):
+                return np.sort(np.concatenate([*chosen, place]))
+            best = np.unique(np.unique(own.ravel(), return_index=True)[1] // 2)  # each set's first pair
+            chosen.append(place[best])
+            self.add(a[place[best]], b[place[best]])
+
+
 def _with_least(edges: DataFrame) -> DataFrame:
     """``u, v`` with ``m``, the least of u and its neighbours v. A node of many neighbours is only hot on the side that can be split."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))

@@ -5,6 +5,12 @@ they are, the others by their hash. Of two sets with a Jaccard similarity of ``l
 shingles lie in the prefixes of both, as a prefix is a little longer than what a set may lack. So texts
 that share enough of their prefixes are candidates, and their whole sets decide. The sample changes what
 that costs, never which pairs are found.
+
+Pairs are written out only where a shingle is in few unconnected sets. The sets of a crowded shingle are
+compared where they meet, by parities: each set has some hundred bits, a bit says whether an odd number of its shingles fall on
+it, and two sets differ in at least as many shingles as their bits differ. In a few rounds each task proposes one tree of its likeliest
+pairs; those that hold connect most of a crowd. Then all pairs that are still unconnected and that the bits don't rule out
+are written out.
 """
 
 from __future__ import annotations
@@ -20,11 +26,16 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from .common import importable, map_columns, slices, stored, texts_of
+from .graph import Union, components
 
 #: Texts sampled for frequent shingles, at least, and their least share; texts a frequent shingle is in, about, and frequent shingles held.
 SAMPLED, SAMPLED_SHARE, FREQUENT, FREQUENT_HELD = 1 << 15, 1 / 32, 64, 1 << 18
 #: Common shingles that two prefixes must have; sets of a chunk of a frequent shingle; pairs and rows held at a time.
-COMMON, CHUNK, PAIRS_HELD, ROWS_HELD = 4, 1 << 12, 1 << 19, 1 << 16
+COMMON, CHUNK, PAIRS_HELD, ROWS_HELD = 4, 1 << 12, 1 << 18, 1 << 16
+#: Pairs that are written out for each set of a shingle, at most; beyond that it is crowded.
+PAIRS_EACH = 4
+#: Least and most bytes of a set's parities; rounds of trees; what likely pairs have above the least similarity.
+PARITY, PARITY_MOST, ROUNDS, LIKELY = 64, 256, 3, 0.03
 
 
 def hashes_of(words: list[bytes], shingle: int, seed: int) -> np.ndarray:
@@ -104,10 +115,20 @@ def _counts_of(shingles: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> np
     return np.where(known[at] == shingles, counts[at], 0)
 
 
-def candidates(docs: DataFrame, roots: DataFrame, shingle: int, least: float, id_col: str, text_col: str) -> DataFrame:
-    """``a, b``: pairs of different sets of shingles that may be as similar as ``least``; all that are, but for those of one root.
+def parities_of(found: np.ndarray) -> bytes:
+    """Which bits an odd number of shingles fall on; a set of many shingles has more bits."""
+    size = PARITY
+    while size < PARITY_MOST and len(found) > 8 * size:
+        size *= 2
+    bits = np.bincount((found & np.uint64(8 * size - 1)).astype(np.int64), minlength=8 * size) & 1
+    return np.packbits(bits.astype(bool), bitorder="little").tobytes()
+
 
-    ``roots`` has a ``root`` for some ``node`` s, others are their own.
+def meetings(docs: DataFrame, roots: DataFrame, shingle: int, least: float, id_col: str, text_col: str) -> DataFrame:
+    """``a, b, least``: pairs of different sets that share a shingle of their prefixes, once for each, and how many they must share; and,
+    with 0 for ``least``, a set ``a`` for each crowded shingle ``b`` of its prefix.
+
+    ``roots`` has a ``root`` for some ``node`` s, others are their own; sets of one root don't meet.
     """
     texts = texts_of(docs, id_col, text_col)
     often = docs.sparkSession.sparkContext.broadcast(frequent(texts, shingle))
@@ -133,55 +154,192 @@ def candidates(docs: DataFrame, roots: DataFrame, shingle: int, least: float, id
             shingles = np.frombuffer(b"".join(batch["prefix"]), np.uint64)
             row = np.repeat(np.arange(len(batch["node"])), [len(p) // 8 for p in batch["prefix"]])
             node, root, size = (np.array(batch[n], np.int64) for n in ("node", "root", "size"))
-            chunks = np.maximum(1, -(-_counts_of(shingles, often.value) // CHUNK))
-            own = node[row].view(np.uint64) % chunks.astype(np.uint64)
-            again = np.repeat(np.arange(len(row)), chunks)  # a chunk meets itself and every other
-            other = np.arange(len(again)) - (np.cumsum(chunks) - chunks)[again]
-            own, row = own.astype(np.int64)[again], row[again]
-            yield {
-                "shingle": shingles.view(np.int64)[again], "i": np.minimum(own, other), "j": np.maximum(own, other),
-                "own": own, "root": root[row], "node": node[row], "size": size[row],
-            }
-
-    dealt = map_columns(sets, deal, "shingle long, i int, j int, own int, root long, node long, size int")
+            chunks = -(-_counts_of(shingles, often.value) // CHUNK)
+            own = (node[row].view(np.uint64) % np.maximum(chunks, 1).astype(np.uint64)).astype(np.int64)
+            chunk = np.where(chunks > 1, own + 1, 0)  # parts of a shingle that is crowded anyway
+            yield {"shingle": shingles.view(np.int64), "chunk": chunk, "root": root[row], "node": node[row], "size": size[row]}
+
+    dealt = map_columns(sets, deal, "shingle long, chunk int, root long, node long, size int")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(n, "shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "own", "root")
+    dealt = dealt.repartition(n, "shingle", "chunk").sortWithinPartitions("shingle", "chunk", "root")
+    dealt = dealt.select("shingle", "chunk", F.col("chunk").alias("j"), F.col("chunk").alias("own"), "root", "node", "size")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _ in _whole_groups(batches):
+            crowded = _crowded(rows)
+            yield _pairs_batch(rows[crowded, 5], rows[crowded, 0], 0)
+            rows = rows[~crowded]
+            for x, y in _met(rows, least):
+                fewer = np.minimum(rows[x, 6], rows[y, 6])
+                yield _pairs_batch(*_ordered(rows[x, 5], rows[y, 5]), np.minimum(_least_common(fewer, least), COMMON))
+
     importable(docs.sparkSession)
-    kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("least", pa.int32())])
+    return dealt.mapInArrow(meet, "a long, b long, least int")
+
+
+def missing_links(
+    found: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, least: float, id_col: str, text_col: str
+) -> DataFrame:
+    """``found`` and further ``a, b`` whose similarity is ``least`` or more, so that all such pairs are connected.
+
+    ``nodes`` has ``node, first, size, parity`` of each set; the links found so far must hold.
+    """
+    how = (docs, nodes, shingle, least, id_col, text_col)
+    roots = components(found, "a", "b")
+    met = stored(meetings(docs, roots, shingle, least, id_col, text_col), "meetings")
+    crowds = met.where("least = 0").select(F.col("a").alias("node"), F.col("b").alias("shingle"))
+    for turn in range(ROUNDS):
+        tree = stored(unconnected(crowds, nodes, roots, least, turn).distinct(), "crowd-trees")
+        sure = stored(verified(tree, *how), "crowd-links")
+        if sure.isEmpty():
+            break
+        found = stored(found.union(sure), "links-so-far")
+        roots = components(found, "a", "b")
+    few = met.where("least > 0").groupBy("a", "b").agg(F.count("*").alias("n"), F.min("least").alias("least"))
+    few = few.where("n >= least").select("a", "b")
+    for side in ("a", "b"):
+        few = few.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+    few = few.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    rest = stored(few.union(unconnected(crowds, nodes, roots, least)).distinct(), "candidates")
+    return found.union(stored(verified(rest, *how), "missing-links"))
+
+
+def unconnected(crowds: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, turn: int | None = None) -> DataFrame:
+    """``a, b``: pairs of sets that share a crowded shingle, have different roots, and may be as similar as ``least``: all of them, or, with
+    ``turn``, of those that meet in a task a tree of likely ones. Pairs may repeat.
+    """
+    members = crowds.join(nodes.select("node", "size", "parity"), "node").join(roots, "node", "left")
+    members = members.select("shingle", F.coalesce("root", "node").alias("root"), "node", "size", "parity")
+    sizes = members.groupBy("shingle").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = sizes.where("low < high").select("shingle", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    dealt = members.join(sizes, "shingle").withColumn("own", F.pmod(F.xxhash64("node", F.lit(turn or 0)), F.col("chunks")).cast("int"))
+    if turn is None:  # a chunk meets itself and every other
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    else:
+        dealt = dealt.withColumn("other", F.col("own"))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    n = int(crowds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(n, "shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "own", "root")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_groups(batches):
-            node, size = rows[:, 5], rows[:, 6]
-            common = np.minimum(_least_common(size, least), COMMON)
-            ranges = _ranges(rows)
-            for x, y in all_pairs(ranges, (ranges[:, 1] - ranges[:, 0]) * (ranges[:, 3] - ranges[:, 2])):
-                near = np.minimum(size[x], size[y]) >= _least_common(np.maximum(size[x], size[y]), least)
-                x, y = x[near], y[near]
-                a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-                columns = [pa.array(a), pa.array(b), pa.array(np.minimum(common[x], common[y]).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, schema=kind)
-
-    met = dealt.mapInArrow(meet, "a long, b long, least int")
-    return met.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("least").alias("least")).where("n >= least").select("a", "b")
-
-
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Rows (shingle, i, j, own, root, node, size) in runs of whole groups."""
+        for rows, parity in _whole_groups(batches):
+            parities = Parities(parity, rows[:, 6], least)
+            union, root = Union(len(rows)), np.unique(rows[:, 4], return_inverse=True)[1]
+            for x, y in _met(rows, least):
+                open_ = union.parent[root[x]] != union.parent[root[y]]
+                x, y = parities.possible(x[open_], y[open_])
+                a, b = _ordered(rows[x, 5], rows[y, 5])
+                if turn is None:
+                    chosen = np.unique(np.column_stack([a, b]), axis=0, return_index=True)[1]
+                else:
+                    x, y, order = parities.likely(x, y, a ^ b, turn)
+                    a, b = a[order], b[order]
+                    chosen = union.tree(root[x], root[y])
+                yield _pairs_batch(a[chosen], b[chosen], None)
+
+    importable(crowds.sparkSession)
+    return dealt.select("shingle", "i", "j", "own", "root", "node", "size", "parity").mapInArrow(meet, "a long, b long")
+
+
+class Parities:
+    """Parities of sets, folded to the sizes that two sets have in common."""
+
+    def __init__(self, parity: np.ndarray, sizes: np.ndarray, least: float):
+        self.sizes, self.least = sizes, least
+        self.folded = {PARITY_MOST: parity}  # shorter ones end in zeros, which fold to themselves
+        width = PARITY_MOST
+        while width > PARITY:
+            half = self.folded[width]
+            width //= 2
+            self.folded[width] = half[:, : width // 8] ^ half[:, width // 8 :]
+        self.width = np.full(len(sizes), PARITY)
+        while (more := (self.width < PARITY_MOST) & (sizes > 8 * self.width)).any():
+            self.width[more] *= 2
+
+    def _differing(self, x: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
+        bits = self.folded[width]
+        return np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+
+    def possible(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs whose parities do not show that they differ in too many shingles."""
+        for width in sorted(self.folded):
+            common = np.minimum(self.width[x], self.width[y]) >= width
+            far = np.zeros(len(x), bool)
+            far[common] = self._differing(x[common], y[common], width) > self._allowed(x[common], y[common], self.least) + 1e-6
+            x, y = x[~far], y[~far]
+        return x, y
+
+    def _allowed(self, x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+        """Shingles that are in one of two sets only, at most."""
+        return (self.sizes[x] + self.sizes[y]) * (1 - similarity) / (1 + similarity)
+
+    def likely(self, x: np.ndarray, y: np.ndarray, pair: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs that are probably similar, likeliest first (in later turns with some chance), and their places."""
+        common = np.minimum(self.width[x], self.width[y])
+        differ, expected = np.zeros(len(x)), np.zeros(len(x))
+        for width in self.folded:
+            own, bits = common == width, 8 * width
+            differ[own] = self._differing(x[own], y[own], width)
+            most = self._allowed(x[own], y[own], min(1.0, self.least + LIKELY))
+            expected[own] = bits / 2 * (1 - (1 - 2 / bits) ** most)
+        share = differ / np.maximum(expected, 1e-9)
+        chance = ((pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * turn)) >> np.uint64(40)) / (1 << 24)
+        order = np.lexsort((pair, share + 0.3 * min(turn, 1) * chance))
+        order = order[share[order] <= 1]
+        return x[order], y[order], order
+
+
+def _ordered(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _pairs_batch(a: np.ndarray, b: np.ndarray, least: np.ndarray | int | None) -> pa.RecordBatch:
+    columns = {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
+    if least is not None:
+        columns["least"] = pa.array(np.broadcast_to(np.asarray(least, np.int32), len(a)), pa.int32())
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _met(rows: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a group that have different roots and sizes near enough."""
+    if not len(rows):
+        return
+    ranges = _ranges(rows)
+    size = rows[:, 6]
+    for x, y in all_pairs(ranges, (ranges[:, 1] - ranges[:, 0]) * (ranges[:, 3] - ranges[:, 2])):
+        near = np.minimum(size[x], size[y]) >= _least_common(np.maximum(size[x], size[y]), least)
+        yield x[near], y[near]
+
+
+def _crowded(rows: np.ndarray) -> np.ndarray:
+    """Rows of shingles dealt in chunks, or that have more than ``PAIRS_EACH`` pairs of different roots for each row."""
+    runs = np.concatenate([[0], np.flatnonzero((np.diff(rows[:, :5], axis=0) != 0).any(1)) + 1])
+    groups = np.concatenate([[0], np.flatnonzero((np.diff(rows[:, :3], axis=0) != 0).any(1)) + 1])
+    n = np.diff(np.append(groups, len(rows)))
+    alike = np.add.reduceat(np.diff(np.append(runs, len(rows))) ** 2, np.searchsorted(runs, groups))
+    return np.repeat((rows[groups, 1] > 0) | (n * n - alike > 2 * PAIRS_EACH * n), n)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (shingle, i, j, own, root, node, size) in runs of whole groups, and their parities, if there are any."""
     parts, held, wait = [], 0, ROWS_HELD
     for batch in batches:
-        parts.append(np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
+        parts.append((
+            np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:7]]),
+            np.frombuffer(b"".join(p.ljust(PARITY_MOST, b"\0") for c in batch.columns[7:] for p in c.to_pylist()), np.uint64).reshape(-1, PARITY_MOST // 8),
+        ))
         held += batch.num_rows
         if held < wait:
             continue
-        rows = np.concatenate(parts)
+        rows, parity = (np.concatenate(p) for p in zip(*parts))
         new = np.flatnonzero((np.diff(rows[:, :3], axis=0) != 0).any(1)) + 1
         if len(new):
-            yield rows[: new[-1]]
-            rows = rows[new[-1] :]
-        parts, held = [rows], len(rows)
+            yield rows[: new[-1]], parity[: new[-1]]
+            rows, parity = rows[new[-1] :], parity[new[-1] :]
+        parts, held = [(rows, parity)], len(rows)
         wait = held + ROWS_HELD
     if held:
-        yield np.concatenate(parts)
+        yield tuple(np.concatenate(p) for p in zip(*parts))
 
 
 def _ranges(rows: np.ndarray) -> np.ndarray:
@@ -212,7 +370,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int,
 
     ``nodes`` has the id of one text, ``first``, for each ``node``; rows of one id have one text.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "first"), "node")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first"), "node")
     texts = texts_of(docs, id_col, text_col).join(wanted.select("node", F.col("first").alias("doc_id")), "doc_id")
 
     def sets_of(batches: Iterator[dict]) -> Iterator[dict]:

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from .common import map_columns, slices, stored, texts_of
-from .graph import components
-from .shingles import all_pairs, bits_of, candidates, hashes_of, node_of, shingle_set, verified
+from .graph import Union, components
+from .shingles import all_pairs, bits_of, hashes_of, missing_links, node_of, parities_of, shingle_set, verified
 
 #: Shingles whose bits are counted at a time; entries of a bucket's chunk; node pairs held at a time.
 SHINGLES_HELD, CHUNK, PAIRS_HELD = 1 << 16, 1 << 14, 1 << 19
@@ -84,9 +84,9 @@ def fingerprints(
     docs: DataFrame, shingle: int = 3, distinct: bool = False, verify: tuple[int, float] | None = None,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, fingerprint`` (a long with the same bits), ``node`` of every row, and with ``verify`` its ``sketch`` and ``bits``.
+    """``doc_id, fingerprint`` (a long with the same bits), ``node`` of every row, and with ``verify`` its ``sketch``, ``bits``, ``size`` and ``parity``.
 
-    ``bits`` are a second fingerprint, of the shingles that decide.
+    ``bits`` are a second fingerprint, of the shingles that decide; the last two are their number and parities.
     """
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
@@ -97,29 +97,14 @@ def fingerprints(
             sets = [shingle_set(t, verify[0]) for t in batch["text"]] if verify else []
             nodes = [node_of(s) for s in sets] if verify else found
             bits = [bits_of(s) for s in sets] if verify else found
-            yield {"doc_id": batch["doc_id"], "fingerprint": found, "sketch": sketches, "bits": bits, "node": nodes}
+            out = {"doc_id": batch["doc_id"], "fingerprint": found, "sketch": sketches, "bits": bits, "node": nodes}
+            none = [None] * len(found)
+            yield out | {"size": [len(s) for s in sets] or none, "parity": [parities_of(s) for s in sets] or none}
 
-    kind = "doc_id long, fingerprint long, sketch binary, bits long, node long"
+    kind = "doc_id long, fingerprint long, sketch binary, bits long, node long, size int, parity binary"
     return map_columns(texts_of(docs, id_col, text_col), run, kind)
 
 
-class Union:
-    """Disjoint sets over 0 .. n-1; the least member stands for its set."""
-
-    def __init__(self, n: int):
-        self.parent = np.arange(n)
-
-    def add(self, a: np.ndarray, b: np.ndarray) -> None:
-        parent = self.parent
-        while len(a):
-            a, b = parent[a], parent[b]
-            differ = a != b
-            a, b = a[differ], b[differ]
-            np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
-            while (parent[parent] != parent).any():
-                parent[:] = parent[parent]
-
-
 def trie_join(keys: np.ndarray, starts: np.ndarray, budget: int, link: Callable[[np.ndarray, np.ndarray], None]) -> None:
     """Calls ``link`` with all pairs of entries of each two ranges ``(a, a end, b, b end)`` that differ in at most ``budget`` bits.
 
@@ -282,7 +267,7 @@ def near_duplicates(
     prints = stored(fingerprints(docs, shingle, distinct, verify, id_col, text_col), "fingerprints")
     entries = prints.groupBy("node").agg(
         F.min("doc_id").alias("first"), F.first("fingerprint").alias("fingerprint"), F.first("sketch").alias("sketch"),
-        F.first("bits").alias("bits"),
+        F.first("bits").alias("bits"), F.first("size").alias("size"), F.first("parity").alias("parity"),
     )
     entries = stored(entries, "fingerprint-classes")
     if not verify:
@@ -293,9 +278,7 @@ def near_duplicates(
         by_bits = entries.withColumn("fingerprint", F.col("bits"))
         found = stored(links(entries, budget, likely).union(links(by_bits, budget, likely)), "trie-links")
         found = stored(verified(found.distinct(), docs, entries, *verify, id_col, text_col), "sure-links")
-        missing = candidates(docs, components(found, "a", "b"), *verify, id_col, text_col)
-        missing = verified(stored(missing, "candidates"), docs, entries, *verify, id_col, text_col)
-        found = found.union(stored(missing, "missing-links"))
+        found = missing_links(found, docs, entries, *verify, id_col, text_col)
     rooted = entries.select("node", "first").join(components(found, "a", "b"), "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -349,9 +349,10 @@ def test_pairs_just_below_the_threshold_are_no_links(spark):
     assert got.where("doc_id <> component_id").count() == 0
 
 
-@pytest.mark.parametrize("chunk, often", [(1 << 12, 64), (3, 2)])
-def test_near_duplicates_at_the_threshold_equal_brute_force(spark, monkeypatch, chunk, often):
+@pytest.mark.parametrize("chunk, often, each", [(1 << 12, 64, 4), (3, 2, 4), (3, 2, 0), (1 << 12, 64, 0)])
+def test_near_duplicates_at_the_threshold_equal_brute_force(spark, monkeypatch, chunk, often, each):
     monkeypatch.setattr(shingles, "CHUNK", chunk)
+    monkeypatch.setattr(shingles, "PAIRS_EACH", each)
     monkeypatch.setattr(shingles, "FREQUENT", often)
     monkeypatch.setattr(shingles, "ROWS_HELD", 500)
     rng = random.Random(11)
@@ -601,15 +602,49 @@ def test_near_duplicates_do_not_depend_on_how_rows_are_read(spark, tmp_path):
     assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 40
 
 
-def test_near_duplicate_candidates_grow_with_the_group(spark):
-    """Of a group of near copies the second fingerprint links nearly all, so few pairs are left to write out."""
-    for n in (60, 120, 240):
-        texts_ = [(i, " ".join(f"e{i}" if k == i % 150 else f"w{k}" for k in range(150))) for i in range(n)]
-        docs = spark.createDataFrame(texts_, "doc_id long, text string")
-        prints = stored(simhash.fingerprints(docs, 1, True, (5, 0.8)), "prints")
-        entries = prints.groupBy("node").agg(
-            F.min("doc_id").alias("first"), F.first("bits").alias("fingerprint"), F.first("sketch").alias("sketch")
-        )
-        found = shingles.verified(simhash.links(entries, 7, 0.83).distinct(), docs, entries, 5, 0.8, "doc_id", "text")
-        left = shingles.candidates(docs, components(found, "a", "b"), 5, 0.8, "doc_id", "text").count()
-        assert found.count() < n and left <= n
+@pytest.mark.parametrize("edits, linked", [((2, 3), True), ((7, 8), False)])
+def test_near_duplicate_steps_grow_with_the_group(spark, monkeypatch, edits, linked):
+    """Of a group of near copies, above the least similarity or below it, no step writes out the pairs."""
+    rng, words, rows = random.Random(4), [f"w{i}" for i in range(4000)], []
+    base = rng.choices(words, k=250)
+    texts_ = []
+    for _ in range(400):
+        other = list(base)
+        for at in rng.sample(range(5, 245), rng.randint(*edits)):
+            other[at] = rng.choice(words)
+        texts_.append(" ".join(other))
+    pairs = [plain_similarity(*rng.sample(texts_, 2)) for _ in range(200)]
+    assert (min(pairs) > 0.78) if linked else (max(pairs) < 0.78)
+    keep = shingles.stored
+
+    def counted(df, label, *more, **options):
+        out = keep(df, label, *more, **options)
+        if label in ("meetings", "crowd-trees", "candidates"):
+            rows.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(shingles, "stored", counted)
+    for n in (100, 200, 400):
+        rows.clear()
+        docs = stored(spark.createDataFrame(list(enumerate(texts_[:n])), "doc_id long, text string"), "docs")
+        got = {r["component_id"] for r in simhash.near_duplicates(docs, 1, 7, True, (5, 0.8)).collect()}
+        assert len(got) == (1 if linked else n)
+        assert all(k <= (n * 80 if label == "meetings" else n) for label, k in rows), (n, rows)
+
+
+def test_parities_never_exclude_a_pair_that_is_alike():
+    rng = np.random.default_rng(2)
+    for size in (3, 40, 500, 900, 5000):
+        sets = [rng.integers(0, 1 << 63, size, dtype=np.int64).view(np.uint64)]
+        for k in range(60):  # sets from alike to unlike the first
+            new = rng.integers(0, 1 << 63, round(size * k / 200), dtype=np.int64).view(np.uint64)
+            sets.append(np.concatenate([sets[0][len(new) :], new, new[: k % 3] + np.uint64(1)]))
+        sets = [np.unique(s) for s in sets]
+        marks = [shingles.parities_of(s).ljust(shingles.PARITY_MOST, b"\0") for s in sets]
+        parity = np.frombuffer(b"".join(marks), np.uint64).reshape(len(sets), -1)
+        sizes = np.array([len(s) for s in sets])
+        x, y = np.triu_indices(len(sets), 1)
+        found = set(zip(*(v.tolist() for v in shingles.Parities(parity, sizes, 0.8).possible(x, y))))
+        alike = {(i, j) for i, j in zip(x.tolist(), y.tolist()) if shingles._alike(sets[i], sets[j], 0.8)}
+        assert alike and alike <= found
+        assert size < 40 or size > 900 or len(found) < len(x)
