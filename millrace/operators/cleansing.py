@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F,
 from millrace.catalogue import Catalogue, load_catalogue
 from millrace.functions.columns import mask_column
 from millrace.operators.casting import cast_attributes, observe_failures
+from millrace.session import work_path
 
 
 @dataclass(frozen=True)
@@ -116,16 +117,39 @@ def mask_attributes(df: DataFrame, argument, context: CleansingContext | None =
 
 
 def string_to_struct(df: DataFrame, argument, context: CleansingContext | None = None) -> DataFrame:
-    """``"col:k INT, v STRING"``: JSON text parsed in place with the given schema.
+    """``"col:k INT, v STRING"``: JSON text parsed in place with the given schema, or ``"col"``: with the merged schema of all rows.
 
-    Text that is not JSON gives a NULL struct field by field.
+    Text that is not JSON gives a NULL struct field by field. To merge the schema the
+    column is read once, when the step is declared: numbers get a type that holds all of them, and a
+    field whose kinds differ (number and text, object and array) is text. A column without JSON, or whose
+    documents are not all objects or all arrays, stays text.
     """
     columns = {}
     for entry in _entries(argument):
-        name, schema = split_pair(entry)
-        column = _resolve(df, name)
-        columns[column] = F.from_json(F.col(f"`{column}`"), schema)
-    return df.withColumns(columns)
+        if ":" in entry:
+            name, schema = split_pair(entry)
+            column = _resolve(df, name)
+        else:
+            column = _resolve(df, entry)
+            schema = json_schema(df, column)
+        if schema:
+            columns[column] = F.from_json(F.col(f"`{column}`"), schema)
+    return df.withColumns(columns) if columns else df
+
+
+_VARIANT_TYPES = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\b(?:VOID|VARIANT)\b(?!:)")
+
+
+def json_schema(df: DataFrame, column: str) -> str | None:
+    """The merged schema of a column of JSON text, as DDL; None where there is no common one.
+
+    One aggregation, partial in each task; only the schema comes to the driver.
+    """
+    merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(f"`{column}`"))).alias("schema")).first()["schema"]
+    if not merged.startswith(("OBJECT<", "ARRAY<")):
+        return None
+    types = {"OBJECT<": "STRUCT<", "VOID": "STRING", "VARIANT": "STRING"}
+    return _VARIANT_TYPES.sub(lambda found: types.get(found[0], found[0]), merged)
 
 
 def flatten_attribute(df: DataFrame, argument, context: CleansingContext | None = None) -> DataFrame:
@@ -201,11 +225,16 @@ def extract_json_value(df: DataFrame, argument, context: CleansingContext | None
 
     An element with attributes arrives as an object that holds its text under
     one of the usual keys; that text is preferred to the object. A path that
-    starts with ``/`` is an XPath on raw XML: ``"target:column/a/b"``.
+    starts with ``/`` is an XPath on raw XML: ``"target:column/a/b"``. ``"target:column<a INT, b ARRAY<STRING>>"`` is the
+    whole XML document as a struct of that schema, ``"target:column<>"`` of the merged schema of all rows (``xml_struct``).
     """
     columns = {}
     for entry in _entries(argument):
         target, source = split_pair(entry)
+        whole = re.match(r"([^./<]+)<(.*)>$", source, re.DOTALL)
+        if whole:
+            df = xml_struct(df, _resolve(df, whole[1]), target, whole[2].strip() or None, context)
+            continue
         xml = re.match(r"([^./]+)(/.*)$", source)
         if xml:
             columns[target] = F.xpath_string(F.col(f"`{_resolve(df, xml[1])}`"), F.lit(xml[2]))
@@ -214,7 +243,64 @@ def extract_json_value(df: DataFrame, argument, context: CleansingContext | None
         column = F.col(f"`{_resolve(df, root)}`")
         options = [F.get_json_object(column, _json_path([*path, key])) for key in _XML_TEXT_KEYS]
         columns[target] = F.coalesce(*options, F.get_json_object(column, _json_path(path)))
-    return df.withColumns(columns)
+    return df.withColumns(columns) if columns else df
+
+
+_UNREADABLE = "__unreadable"
+
+
+def xml_schema(df: DataFrame, column: str) -> T.StructType | None:
+    """The merged schema of a column of XML documents: an element that repeats in any of them is an array. None without documents.
+
+    The documents that are well-formed are written once to the shared folder, one a line, and Spark's XML reader
+    infers from all of them; their root elements must have one name.
+    """
+    path = work_path(df.sparkSession, "xml")
+    text = F.col(f"`{column}`")
+    # A document that breaks off would swallow those that follow it in the file.
+    probe = F.from_xml(text, f"__none STRING, {_UNREADABLE} STRING", {"columnNameOfCorruptRecord": _UNREADABLE})
+    whole = df.filter(text.isNotNull() & probe.getField(_UNREADABLE).isNull())
+    whole.select(F.regexp_replace(text, r"[\r\n]+", " ").alias("value")).write.text(path)
+    root = F.regexp_extract("value", r"<([A-Za-z_][^\s/>]*)", 1)
+    lines = df.sparkSession.read.text(path)
+    roots = [row[0] for row in lines.select(root.alias("root")).filter("root != ''").distinct().limit(2).collect()]
+    if len(roots) > 1:
+        raise ValueError(f"column {column!r} holds documents of several roots ({', '.join(sorted(roots))}, …): give a schema")
+    if not roots:
+        return None
+    # The newer parser takes a file for one document and stops after the first.
+    options = {"rowTag": roots[0], "mode": "DROPMALFORMED", "useLegacyXMLParser": "true"}
+    found = df.sparkSession.read.options(**options).xml(path).schema
+    return found if found.fields else None
+
+
+def xml_struct(
+    df: DataFrame, column: str, target: str, schema: str | T.StructType | None = None, context: CleansingContext | None = None
+) -> DataFrame:
+    """XML text as a typed struct ``target``: nested elements are structs, repeated ones arrays, attributes ``_name``.
+
+    Without a schema the merged one of all rows is taken, which reads the column when the step is declared; a column without
+    documents then gives NULL text. NULL, and a document that cannot be read in that schema, give a NULL struct; the
+    latter are counted with the casts that failed, and stop the load with ``on_error="fail"``.
+    """
+    kind = xml_schema(df, column) if schema is None else T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if kind is None:
+        return df.withColumn(target, F.lit(None).cast("string"))
+    context = context or CleansingContext()
+    fail = context.on_error == "fail"
+    options = {"mode": "FAILFAST"} if fail else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE}
+    read = kind if fail else T.StructType([*kind.fields, T.StructField(_UNREADABLE, T.StringType())])
+    text = F.col(f"`{column}`")
+    parsed = F.from_xml(text, read, options)
+    if fail:
+        return df.withColumn(target, parsed)
+    df = df.withColumn(target, parsed)
+    broken = F.col(f"`{target}`").getField(_UNREADABLE).isNotNull()
+    if context.cast_failures is not None:
+        context.cast_failures.append(Observation())
+        df = df.observe(context.cast_failures[-1], F.count(F.when(broken, True)).alias(target))
+    fields = F.struct(*[F.col(f"`{target}`").getField(f.name).alias(f.name) for f in kind.fields])
+    return df.withColumn(target, F.when(F.col(f"`{target}`").isNotNull() & ~broken, fields))
 
 
 def _order_terms(df: DataFrame, text: str) -> list[Column]:

@@ -13,6 +13,7 @@ from millrace.catalogue import Catalogue, FileFormat, as_flag, catalogue_from, l
 from millrace.operators.cleansing import CleansingContext
 from millrace.operators.pipeline import apply_pipeline, find_actions
 from millrace.operators.projection import add_audit_columns, add_history_columns, order_columns
+from millrace.operators.pushdown import past_mark
 from millrace.operators.watermark import HwmPolicy, filter_hwm, next_mark_column
 from millrace.session import work_path
 from millrace.sinks import folders
@@ -48,6 +49,9 @@ class JobConfig:
     partition_by: tuple[str, ...] = ()
     buckets: int = 0
     properties_root: str | None = None
+    #: Lets a date or timestamp mark reach the scan through the declared steps. Rows and files behind it are then not read, so
+    #: they count neither as read nor among failed casts.
+    push_mark: bool = False
     #: Further sources of the same target, each with the name its mark is kept under.
     more_sources: tuple[tuple[RawEntity, str | None], ...] = ()
     #: Reads sources that are not files, e.g. ``lambda spark, mark: read_jdbc(…)``.
@@ -107,6 +111,7 @@ class JobConfig:
             actions=tuple(lookup(cleanse, "ActionFunctions", ())),
             retention_days=int(keep) if keep else None,
             partition_by=column_list(lookup(sink_doc, "System.PartitionKey")),
+            push_mark=as_flag(lookup(cleanse, "PushHighWaterMark"), False),
         )
         return JobConfig(**{**values, **overrides})
 
@@ -127,7 +132,7 @@ class JobResult:
 
 
 def read_source(spark: SparkSession, config: JobConfig, mark: str, run_ts: str) -> DataFrame | None:
-    """New raw data. Only the file-time policy can skip files before reading them."""
+    """New raw data. The file-time policy skips files here; a date mark is carried to the scan when the batch is staged."""
     if config.reader is not None:
         raw = config.reader(spark, mark)
         return filter_hwm(raw, config.policy, mark) if config.policy.kind == "audit" else raw
@@ -141,11 +146,15 @@ def read_source(spark: SparkSession, config: JobConfig, mark: str, run_ts: str)
 
 def cleanse(df: DataFrame, config: JobConfig, run_ts: str, cast_failures: list[Observation] | None = None) -> DataFrame:
     """Declared transformations, then audit columns where they are not defined."""
-    context = CleansingContext(
+    context = cleansing_context(config, cast_failures)
+    return add_audit_columns(apply_pipeline(df, config.catalogue.transformations, context=context), run_ts)
+
+
+def cleansing_context(config: JobConfig, cast_failures: list[Observation] | None = None) -> CleansingContext:
+    return CleansingContext(
         catalogue=config.catalogue, default_tz=config.default_tz, on_error=config.on_error,
         properties_root=config.properties_root, cast_failures=cast_failures,
     )
-    return add_audit_columns(apply_pipeline(df, config.catalogue.transformations, context=context), run_ts)
 
 
 def target_table(spark: SparkSession, config: JobConfig) -> HistoryTable:
@@ -186,6 +195,9 @@ def stage(raw: DataFrame, config: JobConfig, mark: str, run_ts: str, target_colu
     a re-read of the batch and not of the raw files.
     """
     spark = raw.sparkSession
+    if config.push_mark and config.policy.kind in ("date", "timestamp"):
+        # Ahead of the counts, which filters don't pass.
+        raw = past_mark(raw, config.catalogue.transformations, config.policy, mark, cleansing_context(config))
     read_seen, staged_seen = Observation("read"), Observation("staged")
     casts_seen: list[Observation] = []
     frame = cleanse(raw.observe(read_seen, F.count(F.lit(1)).alias("rows")), config, run_ts, casts_seen)

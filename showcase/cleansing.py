@@ -102,6 +102,24 @@ def string_to_struct(spark: SparkSession, folder: str) -> DataFrame:
     return parsed.select("event_id", "props.k", "props.absent")
 
 
+@query("string_to_struct_inferred", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(event_id AS VARCHAR) AS id,
+       CAST(event_id % 3 AS BIGINT) AS tags, CAST(event_id % 2 + 0.5 AS DOUBLE) AS half FROM events""")
+def string_to_struct_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """The schema is merged over all rows: lists of several lengths, whole and broken numbers."""
+    events = table(spark, folder, "events")
+    tags = F.slice(F.array(F.lit("a"), F.lit("b")), F.lit(1), (F.col("event_id") % 3).cast("int"))
+    document = F.to_json(F.struct(
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.col("event_id").cast("string").alias("id"), tags.alias("tags"),
+        (F.col("event_id") % 2 + F.lit(0.5)).alias("half"),
+    ))
+    parsed = cleansing.string_to_struct(events.select("event_id", document.alias("doc")), "doc")
+    return parsed.select(
+        "event_id", "doc.k", "doc.id", F.coalesce(F.size("doc.tags"), F.lit(0)).cast("bigint").alias("tags"),
+        F.col("doc.half").cast("double").alias("half"),
+    )
+
+
 @query("flatten_struct", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(event_id AS VARCHAR) AS props_event_id
 FROM events""")
@@ -147,6 +165,28 @@ def extract_json_value(spark: SparkSession, folder: str) -> DataFrame:
     ]).drop("doc", "xml")
 
 
+@query("extract_from_xml_struct", """
+SELECT s_suppkey, s_suppkey AS id, s_name AS name, s_nationkey AS nation,
+       CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_suppkey % 3 END AS parts FROM supplier WHERE s_suppkey % 5 <> 0
+UNION ALL SELECT s_suppkey, NULL, NULL, NULL, NULL FROM supplier WHERE s_suppkey % 5 = 0""")
+def extract_from_xml_struct(spark: SparkSession, folder: str) -> DataFrame:
+    """Attributes, nested and repeated elements under one schema for all rows; every fifth document breaks off."""
+    key = F.col("s_suppkey")
+    parts = F.array_join(F.transform(F.sequence(F.lit(1), key % 3), lambda n: F.concat(F.lit("<part>"), n, F.lit("</part>"))), "")
+    whole = F.concat(
+        F.lit('<supplier id="'), key, F.lit('"><name>'), F.col("s_name"), F.lit("</name>\n<place><nation>"), F.col("s_nationkey"),
+        F.lit("</nation></place>"), F.when(key % 3 > 0, parts).otherwise(""), F.lit("</supplier>"),
+    )
+    documents = table(spark, folder, "supplier").select(
+        "s_suppkey", F.when(key % 5 == 0, F.substring_index(whole, "</name>", 1)).otherwise(whole).alias("xml")
+    )
+    found = cleansing.extract_json_value(documents, "doc:xml<>")
+    return found.select(
+        "s_suppkey", F.col("doc._id").cast("bigint").alias("id"), "doc.name", F.col("doc.place.nation").cast("bigint").alias("nation"),
+        F.when(F.col("doc").isNotNull(), F.coalesce(F.size("doc.part"), F.lit(0))).cast("bigint").alias("parts"),
+    )
+
+
 @query("catalogue_order", """
 SELECT s_acctbal AS "S_AcctBal", s_suppkey, s_name FROM supplier""")
 def catalogue_order(spark: SparkSession, folder: str) -> DataFrame:

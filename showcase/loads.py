@@ -367,6 +367,36 @@ def job_two_sources(spark: SparkSession, folder: str) -> DataFrame:
     return HwmState(spark, config.state_path).frame().select("source", "hwm", "rows_affected").crossJoin(stored)
 
 
+@query("hwm_pushed_through", """
+SELECT o_orderkey AS "OrderReference", o_orderstatus AS "Status", make_date(CAST(year(o_orderdate) AS INTEGER), 12, 31) AS "fileDate"
+FROM orders WHERE year(o_orderdate) > 1996""")
+def hwm_pushed_through(spark: SparkSession, folder: str) -> DataFrame:
+    """A date mark passes renaming, casts, a calculation and a de-duplication, and chooses folders: a broken old file is never opened."""
+    root = f"{work_path(spark, 'years')}/orders"
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("ORD_REF"), F.col("o_orderstatus").alias("STATUS_CD"), F.year("o_orderdate").alias("year")
+    )
+    orders.union(orders).write.partitionBy("year").option("header", True).csv(root)
+    broken = spark.createDataFrame([("ORD_REF,STATUS_CD",), ("1,O,too,many,fields",)], "value string").coalesce(1)
+    broken.write.text(f"{root}/year=1980")
+    catalogue = catalogue_from({
+        "Catalogue": {"Schema": {"NaturalKey": ["OrderReference"], "Attributes": [
+            {"Name": "OrderReference", "Type": "bigint", "OrdinalPosition": 1}, {"Name": "Status", "Type": "string", "OrdinalPosition": 2},
+            {"Name": "fileDate", "Type": "date", "OrdinalPosition": 3}]}},
+        "Extended": {"Cleanse": {"CleansingTransformations": [
+            {"RenameAttributes": "ORD_REF:OrderReference, STATUS_CD:Status"}, {"CastAttributes": "true"},
+            {"CalculateAttribute": "landed:make_date(year, 12, 31)"}, {"DropDuplicatesByKey": "OrderReference: landed"},
+            {"RenameAttributes": "landed:fileDate"}]}},
+    }, "orders")
+    config = JobConfig(
+        "orders", catalogue, RawEntity(root, "orders", FileFormat(multiline=False)), work_path(spark, "pushed"), work_path(spark, "pushed-state"),
+        policy=HwmPolicy("date", "fileDate"), push_mark=True,
+    )
+    HwmState(spark, config.state_path).write("orders", "1996-12-31", 0, None, "1999-01-01 00:00:00")
+    run_job(spark, config, "2020-01-01 00:00:00")
+    return HistoryTable(spark, config.target_path).read().select("OrderReference", "Status", "fileDate")
+
+
 @query("stream_by_format", f"""{_LOADED_SQL.split("SELECT \"OrderReference\"")[0]}
 SELECT "OrderReference", "CustomerReference", "OrderDate", status AS "Status", "Price" FROM cleansed WHERE early""")
 def stream_by_format(spark: SparkSession, folder: str) -> DataFrame:

@@ -104,6 +104,48 @@ def test_extract_json_value(spark):
     assert out.select("a", "b", "c", "d", "e").first() == ("t", "plain", "1", "q", None)
 
 
+def test_json_schema_is_merged_over_all_rows(spark):
+    data = ['{"a": 1, "o": {"x": [1, 2]}, "s": "t", "mixed": 1}', '{"a": 2.25, "o": {"x": [], "y": true}, "mixed": {"z": 1}}',
+            '{"odd ` name": null, "VOID": "v"}', "no json", "", None]
+    df = spark.createDataFrame(list(enumerate(data)), "id int, doc string")
+    out = c.string_to_struct(df, "DOC")
+    fields = {f.name: f.dataType.simpleString() for f in out.schema["doc"].dataType.fields}
+    assert fields == {"a": "decimal(22,2)", "o": "struct<x:array<bigint>,y:boolean>", "s": "string", "mixed": "string",
+                      "odd ` name": "string", "VOID": "string"}
+    got = {r["id"]: r["doc"] for r in out.collect()}
+    assert (float(got[0]["a"]), got[0]["o"]["x"], got[0]["mixed"], float(got[1]["a"])) == (1.0, [1, 2], "1", 2.25)
+    assert (got[1]["mixed"], got[1]["o"]["y"], got[2]["VOID"]) == ('{"z":1}', True, "v")
+    assert got[3]["a"] is None and got[5] is None
+    for other in (["[1]", '{"a": 1}'], ["no json", None], ["1", "2"]):
+        kept = spark.createDataFrame([(t,) for t in other], "doc string")
+        assert rows(c.string_to_struct(kept, "doc")) == rows(kept)
+    assert rows(c.string_to_struct(df.where("id < 0"), "doc")) == []
+
+
+def test_xml_documents_become_structs(spark):
+    data = ['<?xml version="1.0"?><r id="7"><v>1</v><p><q>x</q></p></r>', "<r><v>2</v>\n<v>3</v></r>", "<r><v>4</r>", "no xml", None]
+    df = spark.createDataFrame(list(enumerate(data)), "id int, doc string")
+    seen = []
+    out = c.extract_json_value(df, "e:doc<>", c.CleansingContext(cast_failures=seen))
+    assert out.columns == ["id", "doc", "e"]
+    assert out.schema["e"].dataType.simpleString() == "struct<_id:bigint,p:struct<q:string>,v:array<bigint>>"
+    got = {r["id"]: r["e"] for r in out.collect()}
+    assert (got[0]["_id"], got[0]["v"], got[0]["p"]["q"]) == (7, [1], "x") and got[1]["v"] == [2, 3]
+    assert got[2] is None and got[3] is None and got[4] is None
+    assert [s.get for s in seen] == [{"e": 2}]
+    typed = c.extract_json_value(df.where("id < 2"), "doc:doc<v ARRAY<STRING>, none DATE>")
+    assert [r["doc"]["v"] for r in typed.sort("id").collect()] == [["1"], ["2", "3"]]
+    with pytest.raises(Exception):
+        c.extract_json_value(df, "e:doc<v ARRAY<INT>>", c.CleansingContext(on_error="fail")).collect()
+    many = spark.createDataFrame([("<r><v>1</v></r>",), ("<r><v>1</v><v>2</v></r>",), ("<r><w>1</w></r>",)], "doc string").coalesce(1)
+    assert c.xml_schema(many, "doc").simpleString() == "struct<v:array<bigint>,w:bigint>"
+    two = spark.createDataFrame([("<a>1</a>",), ("<b>1</b>",)], "doc string")
+    with pytest.raises(ValueError, match="several roots"):
+        c.extract_json_value(two, "e:doc<>")
+    for nothing in (df.where("id < 0"), df.where("id = 4"), df.where("id = 3")):
+        assert {r["e"] for r in c.extract_json_value(nothing, "e:doc<>").collect()} <= {None}
+
+
 def test_pipeline_forms_and_empty_arguments(people):
     assert flatten_steps({"NullAttributes": "name"}) == [("NullAttributes", "name")]
     assert flatten_steps([{"NullAttributes": ""}, {"RemoveAttributes": None}, {"DropDuplicates": "true"}]) == [
