@@ -19,13 +19,14 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-from pyspark.sql import DataFrame
+from numpy.lib.stride_tricks import sliding_window_view
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_rows, map_columns, slices, texts_of
+from .common import keep_rows, map_columns, slices, stored, texts_of
 
-#: Bytes of benchmark text that are broadcast at a time; a larger benchmark is searched in several passes.
-BENCHMARK_BYTES = 32 << 20
+#: Bytes of benchmark text that are on the driver and broadcast at a time; a larger benchmark is searched in several passes.
+BENCHMARK_BYTES = 8 << 20
 #: Positions that one stretch of a text covers.
 STRETCH = 512
 
@@ -43,18 +44,22 @@ def words_of(text: bytes | None) -> list[bytes]:
 class Patterns:
     """The patterns of one length with their shift table and buckets."""
 
-    def __init__(self, rows: np.ndarray, items: list[list[int]]):
+    def __init__(self, rows: np.ndarray, pattern_of: np.ndarray, items: np.ndarray):
+        """``items`` has the numbers of the items, and ``pattern_of``, in order, the pattern each of them has."""
         self.rows, self.items = rows, items
         self.count, self.length = rows.shape
+        self.first_item = np.searchsorted(pattern_of, np.arange(self.count + 1))
         self.block = min(2, self.length)
-        self.mask = (1 << max(16, int(4 * rows.size).bit_length())) - 1
+        # Windows overlap, so they have about as many different blocks as there are windows.
+        self.mask = (1 << max(16, int(16 * len(rows)).bit_length())) - 1
         # A block that is in no pattern lets the search move past it.
         self.shift = np.full(self.mask + 1, self.length - self.block + 1, np.int32)
         for end in range(self.block - 1, self.length):
             np.minimum.at(self.shift, self.hash(rows, end), self.length - 1 - end)
         suffix = self.hash(rows, self.length - 1)
         self.order = np.argsort(suffix, kind="stable")
-        self.bucket = np.concatenate([[0], np.cumsum(np.bincount(suffix, minlength=self.mask + 1))])
+        self.bucket = np.zeros(self.mask + 2, np.int32)
+        np.cumsum(np.bincount(suffix, minlength=self.mask + 1), out=self.bucket[1:])
 
     def hash(self, rows: np.ndarray, end: int) -> np.ndarray:
         return self._hash(rows[:, end - 1] if self.block > 1 else 0, rows[:, end])
@@ -103,16 +108,18 @@ class Benchmark:
         self.names = sorted({name for name, _ in items})
         number = {name: i for i, name in enumerate(self.names)}
         self.words: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple, set]] = defaultdict(lambda: defaultdict(set))
+        rows: dict[int, list[np.ndarray]] = defaultdict(list)
+        owners: dict[int, list[np.ndarray]] = defaultdict(list)
         for name, text in items:
-            ids = [self.words.setdefault(w, len(self.words) + 1) for w in words_of(text)]
-            length = min(window, len(ids))
-            for at in range(len(ids) - length + 1 if length else 0):
-                by_length[length][tuple(ids[at : at + length])].add(number[name])
-        self.by_length = [
-            Patterns(np.array(list(found), np.int64).reshape(len(found), length), [sorted(i) for i in found.values()])
-            for length, found in sorted(by_length.items())
-        ]
+            ids = np.array([self.words.setdefault(w, len(self.words) + 1) for w in words_of(text)], np.int32)
+            if length := min(window, len(ids)):
+                rows[length].append(sliding_window_view(ids, length))
+                owners[length].append(np.full(len(ids) - length + 1, number[name], np.int64))
+        self.by_length = []
+        for length in sorted(rows):
+            distinct, pattern = np.unique(np.concatenate(rows.pop(length)), axis=0, return_inverse=True)
+            pairs = np.unique(pattern.ravel() * len(self.names) + np.concatenate(owners.pop(length)))
+            self.by_length.append(Patterns(distinct, pairs // len(self.names), pairs % len(self.names)))
 
     def search(self, texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[str]]]:
         """For each text its hit words as spans, and the items with occurring windows."""
@@ -128,7 +135,8 @@ class Benchmark:
             texts_hit = np.searchsorted(ends, starts, "right")
             for text, start, pattern in zip(texts_hit.tolist(), (starts - firsts[texts_hit]).tolist(), found.tolist()):
                 spans[text].append((start, start + patterns.length))
-                names[text].update(self.names[i] for i in patterns.items[pattern])
+                own = patterns.items[patterns.first_item[pattern] : patterns.first_item[pattern + 1]]
+                names[text].update(self.names[i] for i in own)
         return [(merge_spans(spans[i]) if i in spans else [], names[i] if i in names else set()) for i in range(len(texts))]
 
 
@@ -169,42 +177,95 @@ def find_leaks(
     count as one; an item with a null id is named by the empty string. Repeated rows
     stay rows; an empty benchmark hits nothing. Only the named columns are read.
 
-    The benchmark is broadcast, ``BENCHMARK_BYTES`` at a time; documents are not shuffled.
+    Documents are searched once for each part of ``BENCHMARK_BYTES`` of the benchmark, of which one at a time is on the driver and
+    broadcast. A benchmark of one part shuffles no document; of more, what each part finds is stored by the text's
+    hash, and only numbers of words and hashes are joined with it.
     """
-    empty = "array()"
-    out = texts_of(docs, id_col, text_col).selectExpr(
-        "doc_id", "text", "0L AS n_words", f"cast({empty} AS array<string>) AS items",
-        f"cast({empty} AS array<int>) AS starts", f"cast({empty} AS array<int>) AS ends",
-    )
     parts = _benchmark_parts(benchmark, item_col, item_text_col)
-    for k, shared in enumerate(parts):
-        out = map_columns(out, _search(shared, window, k == len(parts) - 1), out.schema)
+    texts = texts_of(docs, id_col, text_col)
+    if len(parts) == 1:
+        found = map_columns(texts, _search(_shared(parts[0]), window, ("doc_id",)), f"doc_id long, n_words long, {_FOUND}")
+    else:
+
+        def count(batches: Iterator[dict]) -> Iterator[dict]:
+            for batch in slices(batches):
+                yield {"doc_id": batch["doc_id"], "n_words": [len(words_of(t)) for t in batch["text"]], **{k: batch[k] for k in _KEYS}}
+
+        keyed = texts.select("doc_id", "text", *_text_keys(F.col("text")))
+        counts = map_columns(keyed, count, "doc_id long, n_words long, __text_a long, __text_b long")
+        found = counts.join(_by_text(keyed.select(*_KEYS, "text"), parts, window), list(_KEYS), "left")
+        nothing = [F.coalesce(F.col(n), F.array().cast(kind)).alias(n) for n, kind in (("items", "array<string>"), ("starts", "array<int>"), ("ends", "array<int>"))]
+        found = found.select("doc_id", "n_words", *nothing)
     n_hit = F.aggregate(
         F.zip_with("starts", "ends", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda n, x: n + x
     )
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "starts", "ends")
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "starts", "ends")
+
+
+_FOUND = "items array<string>, starts array<int>, ends array<int>"
+_KEYS = ("__text_a", "__text_b")
+
+
+def _text_keys(text: Column) -> list[Column]:
+    """Two hashes that stand for a text; what is found in a text depends on nothing else."""
+    whole = F.coalesce(text.cast("string").cast("binary"), F.lit(b""))
+    return [F.xxhash64(F.lit(seed), whole).alias(name) for seed, name in enumerate(_KEYS)]
+
+
+def _by_text(keyed: DataFrame, parts: list[DataFrame], window: int) -> DataFrame:
+    """``items, starts, ends`` of each text in which any part of a benchmark occurs, by its hashes."""
+    found = None
+    for part in parts:
+        shared = _shared(part)
+        hits = map_columns(keyed, _search(shared, window, _KEYS, hits_only=True), f"__text_a long, __text_b long, n_words long, {_FOUND}")
+        hits = stored(hits.groupBy(*_KEYS).agg(F.first(F.struct("items", "starts", "ends")).alias("hit")), "leaks")
+        shared.destroy()
+        found = hits if found is None else found.union(hits)
+
+    def merge(batches: Iterator[dict]) -> Iterator[dict]:
+        for batch in batches:
+            spans = [merge_spans([s for hit in hits for s in zip(hit["starts"], hit["ends"])]) for hits in batch["hits"]]
+            yield {
+                **{k: batch[k] for k in _KEYS},
+                "items": [sorted({i for hit in hits for i in hit["items"]}) for hits in batch["hits"]],
+                "starts": [[a for a, _ in s] for s in spans],
+                "ends": [[b for _, b in s] for s in spans],
+            }
+
+    # A list has one entry for a part at most.
+    merged = found.groupBy(*_KEYS).agg(F.collect_list("hit").alias("hits"))
+    return map_columns(merged, merge, f"__text_a long, __text_b long, {_FOUND}")
 
 
-def _benchmark_parts(benchmark: DataFrame, item_col: str, item_text_col: str) -> list:
-    """The items as broadcast values of about ``BENCHMARK_BYTES`` each; all items of an id are in one."""
+def _benchmark_parts(benchmark: DataFrame, item_col: str, item_text_col: str) -> list[DataFrame]:
+    """The items in parts of about ``BENCHMARK_BYTES`` each; all items of an id are in one."""
     items = benchmark.select(
         F.coalesce(benchmark[item_col].cast("string"), F.lit("")).alias("name"),
         F.coalesce(benchmark[item_text_col].cast("string"), F.lit("")).cast("binary").alias("text"),
     )
     passes = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // BENCHMARK_BYTES))
-    parts = [items.where(F.pmod(F.xxhash64("name"), F.lit(passes)) == k) for k in range(passes)] if passes > 1 else [items]
-    broadcast = benchmark.sparkSession.sparkContext.broadcast
-    return [broadcast([(r["name"], bytes(r["text"])) for r in part.collect()]) for part in parts]
+    return [items.where(F.pmod(F.xxhash64("name"), F.lit(passes)) == k) for k in range(passes)] if passes > 1 else [items]
+
+
+def _shared(part: DataFrame):
+    return part.sparkSession.sparkContext.broadcast([(r["name"], bytes(r["text"])) for r in part.collect()])
 
 
 def without_leaks(
     docs: DataFrame, benchmark: DataFrame, window: int = 10,
     text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` whose text has no window of any item, all columns as they are. A null text has none."""
-    for shared in _benchmark_parts(benchmark, item_col, item_text_col):
-        docs = keep_rows(docs, _clean(shared, window), text_col)
-    return docs
+    """The rows of ``docs`` whose text has no window of any item, all columns as they are. A null text has none.
+
+    Repeated rows stay rows; an empty benchmark or table is no trouble. With a benchmark of several parts documents are shuffled once.
+    """
+    parts = _benchmark_parts(benchmark, item_col, item_text_col)
+    if len(parts) == 1:
+        return keep_rows(docs, _clean(_shared(parts[0]), window), text_col)
+    text = docs[text_col].cast("string").cast("binary")
+    leaked = _by_text(docs.select(text.alias("text"), *_text_keys(docs[text_col])), parts, window).select(*_KEYS)
+    own = docs.select(F.struct("*").alias("row"), *_text_keys(docs[text_col]))
+    return own.join(leaked, list(_KEYS), "left_anti").select("row.*")
 
 
 def _clean(shared, window: int):
@@ -216,7 +277,7 @@ def _clean(shared, window: int):
     return decide
 
 
-def _search(shared, window: int, last: bool):
+def _search(shared, window: int, carried: tuple[str, ...], hits_only: bool = False):
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
@@ -224,16 +285,13 @@ def _search(shared, window: int, last: bool):
         for batch in slices(batches):
             texts = [words_of(t) for t in batch["text"]]
             found = patterns.search(texts)
-            spans = [
-                merge_spans([*zip(a or (), b or ()), *new]) for a, b, (new, _) in zip(batch["starts"], batch["ends"], found)
-            ]
+            rows = [i for i, (spans, _) in enumerate(found) if spans or not hits_only]
             yield {
-                "doc_id": batch["doc_id"],
-                "text": [None] * len(texts) if last else batch["text"],
-                "n_words": [len(t) for t in texts],
-                "items": [sorted({*(old or ()), *new}) for old, (_, new) in zip(batch["items"], found)],
-                "starts": [[a for a, _ in s] for s in spans],
-                "ends": [[b for _, b in s] for s in spans],
+                **{n: [batch[n][i] for i in rows] for n in carried},
+                "n_words": [len(texts[i]) for i in rows],
+                "items": [sorted(found[i][1]) for i in rows],
+                "starts": [[a for a, _ in found[i][0]] for i in rows],
+                "ends": [[b for _, b in found[i][0]] for i in rows],
             }
 
     return run
