@@ -144,8 +144,18 @@ def read_properties_frame(spark: SparkSession, paths: str | Sequence[str], field
     ``fields`` maps output names to dotted paths, e.g.
     ``{"extension": "System.FileFormat.Extension"}``. ``extension`` also gives
     ``read_format``, the extension without its dot.
+
+    The schema is that of all documents, inferred by as many tasks as read them: the reader's own
+    inference would look up each file on the driver, one after the other.
     """
-    documents = spark.read.option("multiLine", True).json(paths)
+
+    def texts(row: T.Row) -> str:
+        content = bytes(row[0])
+        return content.decode(json.detect_encoding(content), "replace")
+
+    contents = spark.read.text(paths, wholetext=True).select(F.col("value").cast("binary"))
+    schema = spark.read.json(contents.rdd.map(texts)).schema
+    documents = spark.read.schema(schema).option("multiLine", True).json(paths)
     frame = documents.select(*[F.col(path).alias(name) for name, path in fields.items()])
     if "extension" in fields:
         frame = frame.withColumn("read_format", F.regexp_replace("extension", r"\.", ""))

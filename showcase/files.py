@@ -7,6 +7,7 @@ under test and reads them back.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -29,6 +30,9 @@ from millrace.sources import (
 from showcase.fixtures import CUT, NTZ
 from showcase.registry import query, table
 
+#: Files a task writes, at most, where every row becomes one.
+FILES_EACH = 256
+
 _TALK_SQL = 'SELECT conv_id, turn, role, text, TRUE AS has_lineage FROM conversations'
 
 
@@ -178,6 +182,12 @@ def overwrite_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return back.select(F.col("p_partkey").cast("bigint"), "p_name", F.col("p_size").cast("int"))
 
 
+def write_file_per_row(lines: DataFrame, path: str) -> None:
+    """Each value as a file of its own, written by many tasks however few hold the rows."""
+    tasks = max(ceil(lines.count() / FILES_EACH), lines.sparkSession.sparkContext.defaultParallelism)
+    lines.repartition(tasks).write.option("maxRecordsPerFile", 1).text(path)
+
+
 @query("whole_file_text", """
 SELECT page_id, html, TRUE AS has_lineage FROM pages""")
 def whole_file_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -202,7 +212,7 @@ def nested_config_fields(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.lit(".csv").alias("Extension")).alias("FileFormat"),
     ).alias("System"))
     suppliers = table(spark, folder, "supplier").select(F.to_json(document, {"pretty": "true"}).alias("value"))
-    suppliers.write.option("maxRecordsPerFile", 1).text(path)
+    write_file_per_row(suppliers, path)
     return read_properties_frame(spark, path, {
         "entity": "System.EntityName", "extension": "System.FileFormat.Extension",
         "retention": "System.AllowedRetention",

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import random
 import re
 import time
@@ -7,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.catalogue import EntityRegistry, FileFormat, load_catalogue, load_properties, lookup
+from millrace.catalogue import EntityRegistry, FileFormat, load_catalogue, load_properties, lookup, read_properties_frame
 from millrace.sources import (
     RawEntity,
     append_log,
@@ -30,6 +31,8 @@ from millrace.sources import (
 )
 from millrace.sources.incremental import read_entity_files
 from millrace.sources.multiline import _line_patterns, splits
+from showcase import files
+from showcase.registry import QUERIES
 from tests.conftest import rows
 
 
@@ -150,6 +153,33 @@ def test_properties_and_registry(spark, tmp_path):
 
 
 # -- processing log --------------------------------------------------------
+def test_properties_frame_infers_from_all_documents_by_tasks(spark, tmp_path):
+    folder = tmp_path / "properties"
+    folder.mkdir()
+    (folder / "a.json").write_text('{\n "System": {"Name": "a", "Days": 3}\n}')
+    (folder / "b.json").write_text('[{"System": {"Name": "b", "Extra": {"x": "y"}}}, {"System": {"Days": 1.5}}]')
+    (folder / "c.json").write_bytes('{"System": {"Name": "ç"}}'.encode("utf-16"))
+    (folder / "d.json.gz").write_bytes(gzip.compress(b'\xef\xbb\xbf{"System": {"Name": "d"}}'))
+    (folder / "e.json").write_text("")
+    found = read_properties_frame(spark, str(folder), {"name": "System.Name", "days": "System.Days", "x": "System.Extra.x"})
+    plain = spark.read.option("multiLine", True).json(str(folder)).select("System.Name", "System.Days", "System.Extra.x")
+    assert found.toDF(*plain.columns).schema == plain.schema
+    assert rows(found) == rows(plain)
+    assert [r[0] for r in rows(found) if r[0]] == ["a", "b", "d", "ç"]
+
+
+@pytest.mark.parametrize("name, source, columns", [
+    ("nested_config_fields", "supplier", ["'s' || id AS s_name", "id AS s_nationkey"]),
+])
+def test_a_file_per_row_is_written_by_many_tasks(spark, tmp_path, monkeypatch, name, source, columns):
+    spark.range(0, 40, 1, 1).selectExpr(*columns).write.parquet(f"{tmp_path}/{source}.parquet")
+    monkeypatch.setattr(files, "work_path", lambda spark, label: f"{tmp_path}/work")
+    assert QUERIES[name](spark, str(tmp_path)).count() == 40
+    written = [p.name for p in (tmp_path / "work").glob("part-*")]
+    assert len(written) == 40
+    assert len({n.split("-")[1] for n in written}) >= 4
+
+
 def test_files_to_process(spark, tmp_path):
     path = log_path(str(tmp_path), "T")
     assert path.endswith("/T.meta")
