@@ -195,7 +195,7 @@ def whole_file_text(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "pages")
     pages = table(spark, folder, "pages").select(
         F.to_json(F.struct("page_id", "html")).alias("value"))
-    pages.write.option("maxRecordsPerFile", 1).text(path)
+    write_file_per_row(pages, path)
     whole = read_whole_text(spark, path)
     page = F.from_json(F.col("text"), "page_id bigint, html string")
     return whole.select(page.alias("page"), _lineage()).select("page.page_id", "page.html", "has_lineage")

@@ -169,6 +169,7 @@ def test_properties_frame_infers_from_all_documents_by_tasks(spark, tmp_path):
 
 
 @pytest.mark.parametrize("name, source, columns", [
+    ("whole_file_text", "pages", ["id AS page_id", "'h' || id AS html"]),
     ("nested_config_fields", "supplier", ["'s' || id AS s_name", "id AS s_nationkey"]),
 ])
 def test_a_file_per_row_is_written_by_many_tasks(spark, tmp_path, monkeypatch, name, source, columns):
