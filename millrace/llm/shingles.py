@@ -10,7 +10,7 @@ Pairs are written out only where a shingle is in few unconnected sets. The sets
 compared where they meet, by parities: each set has some hundred bits, a bit says whether an odd number of its shingles fall on
 it, and two sets differ in at least as many shingles as their bits differ. In a few rounds each task proposes one tree of its likeliest
 pairs; those that hold connect most of a crowd. Then all pairs that are still unconnected and that the bits don't rule out
-are written out.
+are written out, each where the least crowded shingle of both is.
 """
 
 from __future__ import annotations
@@ -31,11 +31,13 @@ from .graph import Union, components
 #: Texts sampled for frequent shingles, at least, and their least share; texts a frequent shingle is in, about, and frequent shingles held.
 SAMPLED, SAMPLED_SHARE, FREQUENT, FREQUENT_HELD = 1 << 15, 1 / 32, 64, 1 << 18
 #: Common shingles that two prefixes must have; sets of a chunk of a frequent shingle; pairs and rows held at a time.
-COMMON, CHUNK, PAIRS_HELD, ROWS_HELD = 4, 1 << 12, 1 << 18, 1 << 16
+COMMON, CHUNK, PAIRS_HELD, ROWS_HELD = 4, 1 << 12, 1 << 16, 1 << 16
 #: Pairs that are written out for each set of a shingle, at most; beyond that it is crowded.
 PAIRS_EACH = 4
 #: Least and most bytes of a set's parities; rounds of trees; what likely pairs have above the least similarity.
 PARITY, PARITY_MOST, ROUNDS, LIKELY = 64, 256, 3, 0.03
+#: Crowded shingles of a set, the least ones, by which a pair knows whether it has met elsewhere; pairs whose bits are compared at a time.
+LOWEST, COMPARED = 32, 1 << 13
 
 
 def hashes_of(words: list[bytes], shingle: int, seed: int) -> np.ndarray:
@@ -165,7 +167,7 @@ def meetings(docs: DataFrame, roots: DataFrame, shingle: int, least: float, id_c
     dealt = dealt.select("shingle", "chunk", F.col("chunk").alias("j"), F.col("chunk").alias("own"), "root", "node", "size")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _ in _whole_groups(batches):
+        for rows, *_ in _whole_groups(batches):
             crowded = _crowded(rows)
             yield _pairs_batch(rows[crowded, 5], rows[crowded, 0], 0)
             rows = rows[~crowded]
@@ -206,10 +208,15 @@ def missing_links(
 
 def unconnected(crowds: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, turn: int | None = None) -> DataFrame:
     """``a, b``: pairs of sets that share a crowded shingle, have different roots, and may be as similar as ``least``: all of them, or, with
-    ``turn``, of those that meet in a task a tree of likely ones. Pairs may repeat.
+    ``turn``, of those that meet in a task a tree of likely ones. Pairs may repeat, of all pairs but few do.
     """
-    members = crowds.join(nodes.select("node", "size", "parity"), "node").join(roots, "node", "left")
-    members = members.select("shingle", F.coalesce("root", "node").alias("root"), "node", "size", "parity")
+    known = nodes.select("node", "size", "parity")
+    if turn is None:
+        lowest = crowds.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("shingle")), 1, LOWEST).alias("lowest"))
+    else:
+        lowest = crowds.select("node").distinct().withColumn("lowest", F.array().cast("array<long>"))
+    members = crowds.join(known.join(lowest, "node"), "node").join(roots, "node", "left")
+    members = members.select("shingle", F.coalesce("root", "node").alias("root"), "node", "size", "parity", "lowest")
     sizes = members.groupBy("shingle").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     sizes = sizes.where("low < high").select("shingle", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
     dealt = members.join(sizes, "shingle").withColumn("own", F.pmod(F.xxhash64("node", F.lit(turn or 0)), F.col("chunks")).cast("int"))
@@ -222,12 +229,15 @@ def unconnected(crowds: DataFrame, nodes: DataFrame, roots: DataFrame, least: fl
     dealt = dealt.repartition(n, "shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "own", "root")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, parity in _whole_groups(batches):
+        for rows, parity, lowest in _whole_groups(batches):
             parities = Parities(parity, rows[:, 6], least)
             union, root = Union(len(rows)), np.unique(rows[:, 4], return_inverse=True)[1]
             for x, y in _met(rows, least):
                 open_ = union.parent[root[x]] != union.parent[root[y]]
                 x, y = parities.possible(x[open_], y[open_])
+                if turn is None:
+                    met = met_before(lowest, x, y, rows[x, 0])
+                    x, y = x[~met], y[~met]
                 a, b = _ordered(rows[x, 5], rows[y, 5])
                 if turn is None:
                     chosen = np.unique(np.column_stack([a, b]), axis=0, return_index=True)[1]
@@ -238,7 +248,20 @@ def unconnected(crowds: DataFrame, nodes: DataFrame, roots: DataFrame, least: fl
                 yield _pairs_batch(a[chosen], b[chosen], None)
 
     importable(crowds.sparkSession)
-    return dealt.select("shingle", "i", "j", "own", "root", "node", "size", "parity").mapInArrow(meet, "a long, b long")
+    columns = ("shingle", "i", "j", "own", "root", "node", "size", "parity", "lowest")
+    return dealt.select(*columns).mapInArrow(meet, "a long, b long")
+
+
+def met_before(lowest: np.ndarray, x: np.ndarray, y: np.ndarray, shingle: np.ndarray) -> np.ndarray:
+    """Whether a pair has a lesser shingle in common, of those listed for both: it meets there too, as all sets of a shingle do."""
+    met = np.zeros(len(x), bool)
+    for at in range(0, len(x), COMPARED):
+        own = slice(at, at + COMPARED)
+        of_x, of_y = lowest[x[own]], lowest[y[own]]
+        for k in range(of_x.shape[1]):
+            one = of_x[:, k]
+            met[own] |= (one < shingle[own]) & (of_y == one[:, None]).any(1)
+    return met
 
 
 class Parities:
@@ -257,8 +280,11 @@ class Parities:
             self.width[more] *= 2
 
     def _differing(self, x: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
-        bits = self.folded[width]
-        return np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+        bits, out = self.folded[width], np.empty(len(x), np.int64)
+        for at in range(0, len(x), COMPARED):
+            own = slice(at, at + COMPARED)
+            out[own] = np.bitwise_count(bits[x[own]] ^ bits[y[own]]).sum(1, dtype=np.int64)
+        return out
 
     def possible(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs whose parities do not show that they differ in too many shingles."""
@@ -320,28 +346,38 @@ def _crowded(rows: np.ndarray) -> np.ndarray:
     return np.repeat((rows[groups, 1] > 0) | (n * n - alike > 2 * PAIRS_EACH * n), n)
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows (shingle, i, j, own, root, node, size) in runs of whole groups, and their parities, if there are any."""
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows (shingle, i, j, own, root, node, size) in runs of whole groups, their parities and lowest shingles, if there are any."""
     parts, held, wait = [], 0, ROWS_HELD
     for batch in batches:
+        parities = [p.ljust(PARITY_MOST, b"\0") for c in batch.columns[7:8] for p in c.to_pylist()]
         parts.append((
             np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:7]]),
-            np.frombuffer(b"".join(p.ljust(PARITY_MOST, b"\0") for c in batch.columns[7:] for p in c.to_pylist()), np.uint64).reshape(-1, PARITY_MOST // 8),
+            np.frombuffer(b"".join(parities), np.uint64).reshape(-1, PARITY_MOST // 8),
+            _listed(batch.columns[8]) if batch.num_columns > 8 else np.zeros((0, 0), np.int64),
         ))
         held += batch.num_rows
         if held < wait:
             continue
-        rows, parity = (np.concatenate(p) for p in zip(*parts))
+        rows, *more = (np.concatenate(p) for p in zip(*parts))
         new = np.flatnonzero((np.diff(rows[:, :3], axis=0) != 0).any(1)) + 1
         if len(new):
-            yield rows[: new[-1]], parity[: new[-1]]
-            rows, parity = rows[new[-1] :], parity[new[-1] :]
-        parts, held = [(rows, parity)], len(rows)
+            yield rows[: new[-1]], *(m[: new[-1]] for m in more)
+            rows, *more = (m[new[-1] :] for m in (rows, *more))
+        parts, held = [(rows, *more)], len(rows)
         wait = held + ROWS_HELD
     if held:
         yield tuple(np.concatenate(p) for p in zip(*parts))
 
 
+def _listed(column: pa.Array) -> np.ndarray:
+    """Lists of at most ``LOWEST`` longs as rows, filled up with the greatest."""
+    n = np.diff(column.offsets.to_numpy())
+    out = np.full((len(column), LOWEST), np.iinfo(np.int64).max)
+    out[np.arange(LOWEST) < n[:, None]] = column.flatten().to_numpy()
+    return out
+
+
 def _ranges(rows: np.ndarray) -> np.ndarray:
     """Two ranges of rows each (start, end, start, end), for all pairs of rows of a group with different roots that are to meet."""
 

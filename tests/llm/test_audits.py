@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import permutations
@@ -359,3 +360,32 @@ def test_audit_on_odd_input(spark, odd):
 @pytest.mark.parametrize("name", ["op12_conversations", "op13_filter_audit"])
 def test_new_queries_equal_their_sql(spark, name):
     assert difference(spark, connect(SMALL), name, SMALL) is None
+
+
+def test_pairs_of_crowded_shingles_are_written_once(spark):
+    from itertools import combinations
+
+    from millrace.llm import shingles
+
+    # 60 sets of equal parities, none connected; each has 50 of 55 crowded shingles, more than are listed for a set.
+    has = {a: {s for s in range(-20, 35) if (s + a) % 11} for a in range(60)}
+    nodes = spark.createDataFrame([(a, 100, bytearray(b"\x05" * shingles.PARITY)) for a in has], "node long, size int, parity binary")
+    crowds = spark.createDataFrame([(a, s) for a in has for s in has[a]], "node long, shingle long")
+    roots = spark.createDataFrame([(1, 0), (0, 0)], "node long, root long")
+    met = [tuple(r) for r in shingles.unconnected(crowds, nodes, roots, 0.8).collect()]
+    assert set(met) == set(combinations(has, 2)) - {(0, 1)}
+    assert len(met) == len(set(met))
+
+
+def test_stored_leaves_no_shuffle_files(spark, tmp_path):
+    from millrace.llm import common
+
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = set(blocks.getAllBlocks().mkString(" ").split())
+    setting = spark.conf.get(common.SHUFFLES_GO, None)
+    common.stored(spark.range(1000).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert spark.conf.get(common.SHUFFLES_GO, "false") == (setting or "false")
+    deadline = time.time() + 10
+    while (left := {b for b in set(blocks.getAllBlocks().mkString(" ").split()) - before if b.startswith("shuffle")}) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left
