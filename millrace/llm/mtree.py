@@ -8,8 +8,9 @@ pivot. A query visits the pages of a shard best first. The stored distances
 bound an entry's distance before it is computed; where even the bound can't
 reach the best k so far, the entry is passed over.
 
-Queries come in blocks; a block meets every shard, in a task for each pair,
-and returns k rows a query and shard.
+Queries and shards are dealt in parts and groups; a part meets a group in one task, which holds the part's queries and one
+tree at a time, and returns k rows a query. The rows of both sides are united and shuffled, not joined: a join of exploded
+blocks looks small enough to broadcast by the size of its files.
 """
 
 from __future__ import annotations
@@ -17,13 +18,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from .common import map_columns, stored
+from .common import importable, stored
 
 #: Vectors of a shard, about; queries of a block; entries of a page; children of an inner node.
 SHARD, BLOCK, PAGE, FANOUT = 16_384, 1_024, 128, 8
+#: Blocks of a part and shards of a group, about, at most.
+BLOCKS, SHARDS = 16, 8
 #: Slack on bounds for rounding; scores themselves are whole numbers and exact.
 SLACK = 1e-6
 
@@ -76,9 +82,13 @@ class Tree:
             groups = np.array_split(rows, 2)
         return groups
 
-    def search(self, queries: np.ndarray, own: np.ndarray, k: int, top: float) -> tuple[np.ndarray, ...]:
+    def search(
+        self, queries: np.ndarray, own: np.ndarray, k: int, top: float, best: tuple[np.ndarray, ...] | None = None
+    ) -> tuple[np.ndarray, ...]:
         """Query number, score and id of each query's k best; ties go to smaller ids. ``own`` are ids that take no part.
 
+        ``best`` are those of other trees, in the same form; the result is then the best of all.
+
         All queries search together, in rounds. In each a query takes the best of its
         open pages, one in the first round and twice as many in each that follows, and
         queries that take the same page share its reading.
@@ -86,7 +96,9 @@ class Tree:
         lifted = np.column_stack([queries, np.zeros(len(queries))])
         norms = (queries**2).sum(1)
         worst = np.full(len(queries), -np.inf)  # the k-th best score so far
-        best = tuple(np.zeros(0, np.int64) for _ in range(3))
+        best = best or tuple(np.zeros(0, np.int64) for _ in range(3))
+        last = np.arange(len(best[0])) - np.searchsorted(best[0], best[0]) == k - 1
+        worst[best[0][last]] = best[1][last]
         start = _distances(lifted, self.pivots[self.root])
         # Open pages: query, page, least distance of anything in it, distance to its pivot.
         open_ = (np.arange(len(queries)), np.full(len(queries), self.root), np.maximum(0, start - self.radii[self.root]), start)
@@ -157,30 +169,51 @@ def _distances(points: np.ndarray, pivot: np.ndarray) -> np.ndarray:
     return np.sqrt(((points - pivot) ** 2).sum(1))
 
 
-def _pack(vectors: DataFrame, by: str) -> DataFrame:
-    """One row for each value of ``by``: ids and components as binary columns, in order of id."""
-
-    def pack(batches: Iterator[dict]) -> Iterator[dict]:
-        held: dict[str, list] = {}
-        for batch in batches:
-            for number, i, q in zip(batch[by], batch["vec_id"], batch["q"]):
-                if held and held[by] != number:
-                    yield flush(held)
-                    held = {}
-                if not held:
-                    held = {by: number, "vec_id": [], "q": []}
-                held["vec_id"].append(i)
-                held["q"].append(np.array(q, "<f8"))
-        if held:
-            yield flush(held)
-
-    def flush(held: dict) -> dict:
-        ids = np.array(held["vec_id"], "<i8").tobytes()
-        return {by: [held[by]], "ids": [ids], "data": [np.array(held["q"], "<f8").tobytes()], "n": [len(held["vec_id"])]}
-
-    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = vectors.select(by, "vec_id", "q").repartition(n, by).sortWithinPartitions(by, "vec_id")
-    return map_columns(dealt, pack, f"{by} long, ids binary, data binary, n int")
+class Meeting:
+    """A part of the queries and what a group of shards has found for it."""
+
+    def __init__(self, k: int, width: int, top: float):
+        self.k, self.width, self.top = k, width, top
+        self.blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # numbers, ids, components
+        self.best: list[tuple[np.ndarray, ...] | None] = []
+
+    def ask(self, number: np.ndarray, ids: np.ndarray, q: np.ndarray) -> None:
+        for at in range(0, len(ids), BLOCK):
+            own = slice(at, at + BLOCK)
+            self.blocks.append((number[own], ids[own], q[own].astype("<f8")))
+            self.best.append(None)
+
+    def meet(self, ids: np.ndarray, q: np.ndarray) -> None:
+        tree = Tree(q.astype("<f8"), ids, self.top)
+        for i, (_, own, queries) in enumerate(self.blocks):
+            self.best[i] = tree.search(queries, own, self.k, self.top, self.best[i])
+
+    def found(self) -> Iterator[dict[str, np.ndarray]]:
+        for (number, own, _), best in zip(self.blocks, self.best):
+            if best is not None:
+                query, score, ids = best
+                yield {"query": number[query], "query_id": own[query], "vec_id": ids, "score": score}
+
+
+def _runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tuple[int, int, int], np.ndarray, np.ndarray, np.ndarray]]:
+    """``(part, group, shard), query, vec_id, q`` of rows that follow each other, at most twice ``SHARD`` of them."""
+    key, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.column_stack([batch.column(c).to_numpy() for c in ("part", "group", "shard")])
+        ids = [batch.column(c).to_numpy() for c in ("query", "vec_id")]
+        q = batch.column("q").flatten().to_numpy().reshape(-1, width)
+        edges = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1), len(keys)]
+        for low, high in zip(edges, edges[1:]):
+            now = tuple(keys[low].tolist())
+            if held and (now != key or sum(len(h[0]) for h in held) + high - low > 2 * SHARD):
+                yield key, *(np.concatenate(c) for c in zip(*held))
+                held = []
+            key = now
+            held.append([c[low:high] for c in (*ids, q)])
+    if held:
+        yield key, *(np.concatenate(c) for c in zip(*held))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
@@ -191,49 +224,66 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     are vectors of their own, also as queries. Vectors whose number of components is not the most common
     one raise an error. Empty tables give no rows.
 
-    Scores are exact while they stay below 2**53, which is checked. A shard's and a block's size
+    Scores are exact while they stay below 2**53, which is checked. A shard's, a block's and a part's size
     is fixed, so a task's memory does not grow with the table.
     """
+    spark = vectors.sparkSession
+    squares = F.aggregate("q", F.lit(0.0), lambda s, v: s + v.cast("double") * v)
     facts = vectors.agg(
-        F.count("*").alias("n"), F.min(F.size("q")).alias("least"), F.max(F.size("q")).alias("most"),
-        F.max(F.aggregate("q", F.lit(0.0), lambda s, v: s + v.cast("double") * v)).alias("top"),
+        F.count("*").alias("n"), F.min(F.size("q")).alias("least"), F.max(F.size("q")).alias("most"), F.max(squares).alias("top")
     ).first()
     kind = "query_id long, rank int, vec_id long, score long"
     if not facts["n"]:
-        return vectors.sparkSession.createDataFrame([], kind)
+        return spark.createDataFrame([], kind)
     if facts["least"] != facts["most"]:
         raise ValueError("vectors of different lengths")
     if facts["top"] >= 2.0**52:
         raise ValueError("inner products may exceed 53 bits")
-    top, width, n_queries = float(facts["top"]), facts["most"], queries.count()
+    top, width = float(facts["top"]), facts["most"]
+    # The number tells repeated ids apart in every group, so it is given once and stored.
+    asked = stored(queries.select(F.monotonically_increasing_id().alias("query"), "vec_id", "q"), "queries")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_queries, longest = asked.agg(F.count("*"), F.max(squares)).first()
     shards, blocks = -(-facts["n"] // SHARD), max(1, -(-n_queries // BLOCK))
-    number = F.xxhash64("vec_id", F.lit(9))
-    trees = _pack(vectors.withColumn("shard", F.pmod(number, F.lit(shards))), "shard")
-    asked = stored(_pack(queries.withColumn("block", F.pmod(number, F.lit(blocks))), "block"), "query-blocks")
-    trees = stored(trees, "tree-shards", codec="none")
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    asked = asked.select(everywhere, F.col("block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-
-    def search(batches: Iterator[dict]) -> Iterator[dict]:
-        last, tree = None, None
-        for batch in batches:
-            for shard, block, ids, data, q_ids, q_data in zip(
-                *(batch[c] for c in ("shard", "block", "ids", "data", "q_ids", "q_data"))
-            ):
-                if shard != last:
-                    tree = Tree(np.frombuffer(data, "<f8").reshape(-1, width), np.frombuffer(ids, "<i8"), top)
-                    last = shard
-                own = np.frombuffer(q_ids, "<i8")
-                query, score, found = tree.search(np.frombuffer(q_data, "<f8").reshape(-1, width), own, k, top)
-                yield {
-                    "block": [block] * len(query), "query": query, "query_id": own[query], "vec_id": found, "score": score
-                }
-
-    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = asked.join(trees.select("shard", "ids", "data"), "shard")
-    pairs = pairs.repartition(max(n, 1), "shard", "block").sortWithinPartitions("shard", "block")
-    found = map_columns(pairs, search, "block long, query int, query_id long, vec_id long, score long")
-    ranked = found.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("block", "query").orderBy(F.desc("score"), "vec_id"))
-    )
+    parts = max(-(-blocks // BLOCKS), min(blocks, -(-n // shards)))
+    groups = max(-(-shards // SHARDS), min(shards, -(-n // parts)))
+
+    def dealt(column, into: int):
+        return F.pmod(F.xxhash64(column, F.lit(9)), F.lit(into)).cast("int")
+
+    def all_of(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    asked = asked.select(dealt("query", parts).alias("part"), all_of(groups).alias("group"), F.lit(-1).alias("shard"), "query", "vec_id", "q")
+    met = vectors.select(dealt("vec_id", shards).alias("shard"), "vec_id", "q")
+    met = met.select(all_of(parts).alias("part"), F.pmod("shard", F.lit(groups)).alias("group"), "shard", F.lit(-1).cast("long").alias("query"), "vec_id", "q")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, meeting = None, None
+        for (*place, shard), number, ids, q in _runs(batches, width):
+            if place != last:
+                if meeting:
+                    yield from map(batch_of, meeting.found())
+                last, meeting = place, Meeting(k, width, top)
+            if shard < 0:
+                meeting.ask(number, ids, q)
+            else:
+                meeting.meet(ids, q)
+        if meeting:
+            yield from map(batch_of, meeting.found())
+
+    out = StructType.fromDDL("query long, query_id long, vec_id long, score long")
+    arrow = to_arrow_schema(out)
+
+    def batch_of(found: dict[str, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in arrow], schema=arrow)
+
+    importable(spark)
+    longest = max(top, longest or 0)  # no component is longer than its vector
+    component = "byte" if longest < 127**2 else "short" if longest < 32767**2 else "long"
+    both = asked.union(met).withColumn("q", F.col("q").cast(f"array<{component}>"))
+    # More partitions than tasks, as places are dealt by hash.
+    both = both.repartition(max(n, 2 * parts * groups), "part", "group").sortWithinPartitions("part", "group", "shard")
+    found = both.mapInArrow(search, out)
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

@@ -261,6 +261,24 @@ def test_top_k_ties_and_bad_vectors(spark, monkeypatch, shard, block):
     assert mtree.top_k(vectors.where("vec_id < 0"), vectors.where("vec_id < 0"), 5).count() == 0
 
 
+def test_top_k_joins_nothing_and_deals_parts(spark, monkeypatch):
+    """Queries and shards meet by a shuffle: a join's planner took exploded blocks for small ones and broadcast them. Repeated ids, and
+    components too large for a byte or a short, are as good as any."""
+    for name, value in (("SHARD", 20), ("BLOCK", 3), ("BLOCKS", 2), ("SHARDS", 2)):
+        monkeypatch.setattr(mtree, name, value)
+    rng = random.Random(3)
+    for most in (1, 100, 40_000):
+        data = [(i % 150, [float(rng.randint(-most, most)) for _ in range(4)]) for i in range(200)]
+        vectors = mtree.quantize(spark.createDataFrame(data, "vec_id long, embedding array<double>"), scale=1)
+        found = mtree.top_k(vectors, vectors.where("vec_id % 10 = 0"), 6)
+        assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+        want = []
+        for q, a in (r for r in data if r[0] % 10 == 0):
+            best = sorted((-int(sum(x * y for x, y in zip(a, b))), i) for i, b in data if i != q)[:6]
+            want += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+        assert ordered(map(tuple, found.collect())) == ordered(want)
+
+
 # -- near-duplicates -----------------------------------------------------------
 def plain_fingerprint(text, n=3):
     words = (text or "").encode().lower().split()
