@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import passing, stored
 
 
 class Union:
@@ -62,6 +62,15 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Each round is stored in the shared folder, so lineage stays short and nothing but
     three numbers comes to the driver. Links may repeat and point either way.
     """
+    with passing(links.sparkSession):
+        edges = _starred(links, a, b)
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    )
+
+
+def _starred(links: DataFrame, a: str, b: str) -> DataFrame:
+    """``u, v``: every node but the least of its component, and that one."""
     edges = stored(
         links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u != v").distinct(), "links"
     )
@@ -71,8 +80,6 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)"))
         ).first()
         if not n or (n, *sums) == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            )
+            return edges
         before = (n, *sums)
         edges = stored(_small_star(_large_star(edges).distinct()), "links")

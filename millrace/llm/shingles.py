@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import importable, map_columns, slices, stored, texts_of
+from .common import importable, map_columns, passing, slices, stored, texts_of
 from .graph import Union, components
 
 #: Texts sampled for frequent shingles, at least, and their least share; texts a frequent shingle is in, about, and frequent shingles held.
@@ -102,7 +102,8 @@ def frequent(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
             yield {"shingle": np.concatenate([shingle_set(t, shingle) for t in batch["text"]]).view(np.int64)}
 
     counts = map_columns(sample.select("text"), run, "shingle long").groupBy("shingle").count()
-    often = counts.where(F.col("count") >= max(4, FREQUENT * share)).orderBy(F.desc("count"), "shingle").limit(FREQUENT_HELD).collect()
+    often = counts.where(F.col("count") >= max(4, FREQUENT * share)).orderBy(F.desc("count"), "shingle").limit(FREQUENT_HELD)
+    often = stored(often, "frequent-shingles").collect()  # the sample's shuffle files go
     found = np.array([r[0] for r in often], np.int64).view(np.uint64)
     order = np.argsort(found)
     return found[order], (np.array([r[1] for r in often], np.int64)[order] / share).astype(np.int64)
@@ -192,7 +193,7 @@ def missing_links(
     crowds = met.where("least = 0").select(F.col("a").alias("node"), F.col("b").alias("shingle"))
     for turn in range(ROUNDS):
         tree = stored(unconnected(crowds, nodes, roots, least, turn).distinct(), "crowd-trees")
-        sure = stored(verified(tree, *how), "crowd-links")
+        sure = verified(tree, *how)
         if sure.isEmpty():
             break
         found = stored(found.union(sure), "links-so-far")
@@ -203,7 +204,7 @@ def missing_links(
         few = few.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
     few = few.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
     rest = stored(few.union(unconnected(crowds, nodes, roots, least)).distinct(), "candidates")
-    return found.union(stored(verified(rest, *how), "missing-links"))
+    return found.union(verified(rest, *how))
 
 
 def unconnected(crowds: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, turn: int | None = None) -> DataFrame:
@@ -402,10 +403,15 @@ def _ranges(rows: np.ndarray) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, least: float, id_col: str, text_col: str) -> DataFrame:
-    """The ``a, b`` whose sets of shingles have a Jaccard similarity of ``least`` or more.
+    """The ``a, b`` whose sets of shingles have a Jaccard similarity of ``least`` or more, stored; the sets are not kept.
 
     ``nodes`` has the id of one text, ``first``, for each ``node``; rows of one id have one text.
     """
+    with passing(docs.sparkSession):
+        return stored(_verified(pairs, docs, nodes, shingle, least, id_col, text_col), "sure-links")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, least: float, id_col: str, text_col: str) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first"), "node")
     texts = texts_of(docs, id_col, text_col).join(wanted.select("node", F.col("first").alias("doc_id")), "doc_id")
 

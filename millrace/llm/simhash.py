@@ -20,6 +20,7 @@ finds the links that are still missing.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from .common import map_columns, slices, stored, texts_of
+from .common import map_columns, passing, slices, stored, texts_of
 from .graph import Union, components
 from .shingles import all_pairs, bits_of, hashes_of, missing_links, node_of, parities_of, shingle_set, verified
 
@@ -36,6 +37,8 @@ from .shingles import all_pairs, bits_of, hashes_of, missing_links, node_of, par
 SHINGLES_HELD, CHUNK, PAIRS_HELD = 1 << 16, 1 << 14, 1 << 19
 #: Entries joined at a time, at least; a group is never parted.
 BATCH = 1 << 16
+#: Tables of buckets dealt at a time.
+TABLES = 8
 #: Bins of a sketch.
 SKETCH = 128
 
@@ -165,16 +168,27 @@ def links(entries: DataFrame, budget: int = 3, least: float | None = None) -> Da
     """``a, b``: links between the ``node`` s of ``entries`` that connect them as all pairs within ``budget`` bits of ``fingerprint`` would.
 
     ``entries`` has distinct nodes. With ``least`` only pairs whose ``sketch`` es are that similar count.
+
+    A table has all entries with their sketches. So a few tables at a time are dealt and their links stored: more entries
+    make more tables, but what lies on disk at once is a fixed number of times the entries.
     """
     masks = block_choices(budget, entries.count())
-    keys = F.array(*[F.col("fingerprint").bitwiseAND(F.lit(_signed(m))) for m in masks])
-    keyed = entries.select("node", "fingerprint", "sketch", F.posexplode(keys).alias("table", "key"))
-    sizes = keyed.groupBy("table", "key").count().where("count > 1")
-    chunks = F.ceil(F.col("count") / CHUNK).cast("int")
+    passes = [range(len(masks))[at : at + TABLES] for at in range(0, len(masks), TABLES)]
+    return reduce(DataFrame.union, [stored(_links_in(tables, entries, masks, budget, least), "trie-links") for tables in passes])
+
+
+def _links_in(tables: range, entries: DataFrame, masks: list[int], budget: int, least: float | None) -> DataFrame:
+    """The links of some tables, by their numbers."""
+    keys = F.array(*[F.col("fingerprint").bitwiseAND(F.lit(_signed(masks[t]))) for t in tables])
+    keyed = entries.select("node", "fingerprint", "sketch", F.posexplode(keys).alias("place", "key"))
+    keyed = keyed.withColumn("table", (F.col("place") + tables[0]).cast("int"))
+    # Only buckets of several chunks need their size known, and there are few: the entries are shuffled once, not for a join too.
+    large = keyed.groupBy("table", "key").count().where(F.col("count") > CHUNK)
+    chunks = F.coalesce(F.ceil(F.col("count") / CHUNK), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     dealt = (
-        keyed.join(sizes, ["table", "key"])
+        keyed.join(F.broadcast(large), ["table", "key"], "left")
         .withColumn("chunks", chunks)
         .withColumn("own", own)
         .withColumn("other", other)
@@ -271,13 +285,13 @@ def near_duplicates(
     )
     entries = stored(entries, "fingerprint-classes")
     if not verify:
-        found = stored(links(entries, budget), "trie-links")
+        found = links(entries, budget)
     else:
         # Proposals that are likely to hold, so that the forest of them stays whole when the sets have decided.
         likely = min(verify[1] + 0.03, 1.0)
         by_bits = entries.withColumn("fingerprint", F.col("bits"))
-        found = stored(links(entries, budget, likely).union(links(by_bits, budget, likely)), "trie-links")
-        found = stored(verified(found.distinct(), docs, entries, *verify, id_col, text_col), "sure-links")
+        found = links(entries, budget, likely).union(links(by_bits, budget, likely))
+        found = verified(found.distinct(), docs, entries, *verify, id_col, text_col)
         found = missing_links(found, docs, entries, *verify, id_col, text_col)
     rooted = entries.select("node", "first").join(components(found, "a", "b"), "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
@@ -303,18 +317,19 @@ def without_near_duplicates(
     place = F.xxhash64(F.lit(7), *[docs[c] for c in columns])
     placed = docs.select(place.alias("__place"), F.struct("*").alias("row"))
     id_of, text_of = F.col("row")[id_col], F.col("row")[text_col]
-    found = near_duplicates(
-        placed.select("__place", text_of.alias("text")), shingle, budget, distinct, verify, id_col="__place", text_col="text"
-    )
-    found = found.groupBy(F.col("doc_id").alias("__place")).agg(
-        F.first("component_id").alias("component_id"), F.count("*").alias("n")
-    )
-    ids = placed.groupBy("__place").agg(F.first(id_of).alias("id"))
-    order = F.struct(F.col("id").isNull().alias("n"), "id", "__place")
-    best = ids.join(found, "__place").groupBy("component_id").agg(
-        F.min(F.struct(order.alias("order"), "n")).alias("best")
-    )
-    chosen = stored(best.select("best.order.__place", "best.n"), "kept-places")
+    with passing(docs.sparkSession):
+        found = near_duplicates(
+            placed.select("__place", text_of.alias("text")), shingle, budget, distinct, verify, id_col="__place", text_col="text"
+        )
+        found = found.groupBy(F.col("doc_id").alias("__place")).agg(
+            F.first("component_id").alias("component_id"), F.count("*").alias("n")
+        )
+        ids = placed.groupBy("__place").agg(F.first(id_of).alias("id"))
+        order = F.struct(F.col("id").isNull().alias("n"), "id", "__place")
+        best = ids.join(found, "__place").groupBy("component_id").agg(
+            F.min(F.struct(order.alias("order"), "n")).alias("best")
+        )
+        chosen = stored(best.select("best.order.__place", "best.n"), "kept-places")
     once = placed.join(chosen.where("n = 1"), "__place", "left_semi").select("row.*")
     again = placed.join(chosen.where("n > 1"), "__place", "left_semi").groupBy("__place").agg(F.first("row").alias("row"))
     return once.union(again.select("row.*"))

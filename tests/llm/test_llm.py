@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -18,7 +19,7 @@ from millrace.llm import shingles, suffix_dedup, token_counts, tokenizing, toxic
 from millrace.llm.common import stored
 from millrace.llm.graph import components
 from millrace.llm.queries import QUERIES
-from millrace.session import work_path
+from millrace.session import shared_folder, work_path
 from tests.compare import connect, difference
 
 SMALL = "/root/testdata/sf0.001"
@@ -339,6 +340,36 @@ def test_trie_join_finds_all_links(spark, monkeypatch, chunk, budget):
     assert ordered(map(sorted, mine.values())) == ordered(map(sorted, theirs.values()))
 
 
+def test_trie_tables_are_dealt_a_few_at_a_time(spark, monkeypatch):
+    """So many entries that there are 36 tables of them: all at once they would lie on disk 36 times."""
+    masks, labels, keep = simhash.block_choices(7, 1 << 22), [], simhash.stored
+    assert len(masks) == 36
+    monkeypatch.setattr(simhash, "block_choices", lambda budget, entries: masks)
+    monkeypatch.setattr(simhash, "stored", lambda df, label, **options: (labels.append(label), keep(df, label, **options))[1])
+    rng, items = random.Random(5), []
+    for _ in range(40):
+        value = rng.getrandbits(63)
+        items += [value, value ^ sum(1 << b for b in rng.sample(range(63), 7)), value ^ sum(1 << b for b in rng.sample(range(63), 8))]
+    entries = spark.createDataFrame([(v,) for v in items], "node long").selectExpr("node", "node AS fingerprint", "cast(null AS binary) AS sketch")
+    root = {r["node"]: r["root"] for r in components(simhash.links(entries, 7), "a", "b").collect()}
+    want = groups_of(items, lambda a, b: (a ^ b).bit_count() <= 7)
+    assert labels == ["trie-links"] * 5
+    assert len({root.get(v, v) for v in items}) == len(set(want))
+    assert all((root.get(v, v) == root.get(u, u)) == (w == x) for v, w in zip(items, want) for u, x in zip(items, want))
+
+
+def test_tables_between_steps_go(spark):
+    folder = shared_folder(spark)
+    words = [f"w{i}" for i in range(400)]
+    base = random.Random(12).choices(words, k=200)
+    data = [(1, " ".join(base)), (2, " ".join([*base[:199], "other"])), (3, " ".join(base[::-1])), (4, None), (None, "")]
+    docs = stored(spark.createDataFrame(data, "doc_id long, text string"), "docs")
+    before = set(os.listdir(folder))
+    kept = simhash.without_near_duplicates(docs)
+    assert {r["doc_id"] for r in kept.collect()} == {1, 3, 4}
+    assert [name.rpartition("-")[0] for name in set(os.listdir(folder)) - before] == ["kept-places"]
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(500)] + [(1000 + i, 1000) for i in range(300)] + [(7, 7)]
     found = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
